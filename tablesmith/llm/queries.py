@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablesmith.llm import forest
+from pyspark.sql import functions as F
+
+from tablesmith.llm import forest, packing, quality
 from tablesmith.llm.common import table
 
 
@@ -14,8 +16,19 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.jaccard_join(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket")
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_jaccard_join": op4_jaccard_join,
+    "op7_packing": op7_packing,
+    "op9_quality": op9_quality,
 }
 
 #: DuckDB SQL of those queries that SQL can express at whole tables.
