@@ -158,7 +158,7 @@ def jaccard_join(docs: DataFrame, threshold: float = SIMILARITY, trees: int = TR
     sizes = families.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("m"))
     placed = families.join(sizes, "family").withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.col("m")).cast("int"))
     dealt = (
-        placed.join(texts, "doc_id")
+        placed.hint("merge").join(texts, "doc_id")
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
         .select("family", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "doc_id", "chunk", "text")
         .repartition("family", "i", "j")
