@@ -8,14 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tablesmith.llm import forest, packing, quality
+from tablesmith.llm import forest, packing, pii, quality, secrets
 from tablesmith.llm.common import table
+from tablesmith.llm.findings import digest
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.jaccard_join(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", *digest("findings", secrets.KINDS))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket")
@@ -25,10 +30,16 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.extract(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", *digest("findings", pii.KINDS))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_jaccard_join": op4_jaccard_join,
+    "op6_secrets": op6_secrets,
     "op7_packing": op7_packing,
     "op9_quality": op9_quality,
+    "op10_pii": op10_pii,
 }
 
 #: DuckDB SQL of those queries that SQL can express at whole tables.
