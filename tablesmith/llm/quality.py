@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablesmith.llm.common import arrow_batches, map_rows, text_of
@@ -85,38 +85,38 @@ def references(docs: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray, np.nd
                 held.add(lang, keys_of_classes, classes[own].sum(0).astype(np.int64))
 
     def commonest(table: pa.Table) -> pa.Table:
-        out = {"lang": [], "key": [], "n": [], "rest": []}
+        out: dict[str, list] = {k: [] for k in ("lang", "keys", "counts", "classes", "words")}
         for lang, (keys, counts) in merged(table).items():
-            classes = np.isin(keys, keys_of_classes)
-            words = np.flatnonzero(~classes)
-            top = words[np.lexsort((keys[words], -counts[words]))[:COMMON_WORDS]]
-            picked = np.concatenate([np.flatnonzero(classes), top])
-            out["lang"] += [lang] * (len(picked) + 1)
-            out["key"] += [*keys[picked].view(np.int64).tolist(), None]
-            out["n"] += [*counts[picked].tolist(), int(counts[words].sum())]
-            out["rest"] += [False] * len(picked) + [True]
-        return pa.table(out, pa.schema([("lang", pa.string()), ("key", pa.int64()), ("n", pa.int64()), ("rest", pa.bool_())]))
+            is_class = np.isin(keys, keys_of_classes)
+            classes = np.array([counts[keys == k].sum() for k in keys_of_classes])
+            keys, counts = keys[~is_class], counts[~is_class]
+            top = np.lexsort((keys, -counts))[:COMMON_WORDS]
+            for k, v in zip(out, (lang, keys[top].view(np.int64).tolist(), counts[top].tolist(), classes.tolist(), int(counts.sum()))):
+                out[k].append(v)
+        return pa.table(out, _TOPS)
+
+    def whole(table: pa.Table) -> pa.Table:
+        """The tops of all ranges of one language: at most 2**14 ranges of COMMON_WORDS words."""
+        keys, counts = (np.concatenate(table.column(c).to_pylist()).astype(np.int64) for c in ("keys", "counts"))
+        top = np.lexsort((keys.view(U), -counts))[:COMMON_WORDS]
+        classes = np.sum(table.column("classes").to_pylist(), axis=0)
+        return pa.table([[table.column("lang")[0].as_py()], [keys[top].tolist()], [counts[top].tolist()], [classes.tolist()], [sum(table.column("words").to_pylist())]], _TOPS)
 
     tagged = docs.select(text_of().alias("text"), "lang").filter(F.col("lang").rlike(LANGUAGE))
-    parts = tagged.mapInArrow(tally(fill, bits), BLOCKS).groupBy("part").applyInArrow(commonest, "lang string, key long, n long, rest boolean")
-    totals = parts.withColumn("class", F.col("key").isin([int(k) for k in keys_of_classes.view(np.int64)]))
-    best = Window.partitionBy("lang", "rest", F.coalesce("class", F.lit(False))).orderBy(F.desc("n"), "key")
-    rows = totals.filter("not rest").withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= COMMON_WORDS).select("lang", "key", "n", "class")
-    words = totals.filter("rest").groupBy("lang").agg(F.lit(None).cast("long").alias("key"), F.sum("n").alias("n"), F.lit(False).alias("class"))
-    found: dict[str, dict] = {}
-    for r in rows.unionByName(words).collect():
-        found.setdefault(r["lang"], {})[r["key"], r["class"]] = r["n"]
+    columns = "lang string, keys array<long>, counts array<long>, classes array<long>, words long"
+    parts = tagged.mapInArrow(tally(fill, bits), BLOCKS).groupBy("part").applyInArrow(commonest, columns)
     out = {}
-    for lang, counts in found.items():
-        n_words = counts.get((None, False), 0)
-        if n_words >= LEAST_REFERENCE:
-            own = {k & 0xFFFFFFFFFFFFFFFF: n for (k, is_class), n in counts.items() if k is not None and not is_class}
-            keys = np.array(sorted(own), U)
-            classes = np.array([counts.get((int(k), True), 0) for k in keys_of_classes.view(np.int64)])
-            out[lang] = classes, keys, np.array([*(own[int(k)] for k in keys), n_words - sum(own.values())])
+    for r in parts.groupBy("lang").applyInArrow(whole, columns).filter(F.col("words") >= LEAST_REFERENCE).collect():
+        keys = np.array(r["keys"], np.int64).view(U)
+        order = np.argsort(keys)
+        counts = np.array(r["counts"], np.int64)[order]
+        out[r["lang"]] = np.array(r["classes"]), keys[order], np.append(counts, r["words"] - counts.sum())
     return out
 
 
+_TOPS = pa.schema([("lang", pa.string()), ("keys", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64())), ("classes", pa.list_(pa.int64())), ("words", pa.int64())])
+
+
 def _measure(refs: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]]):
     def run(batch: pa.RecordBatch) -> dict:
         columns: dict[str, list] = {k: [] for k in ("n_words", "word_chars", "n_symbols", "n_repeat_words", "n_chars", "chars_apart", "words_apart")}
