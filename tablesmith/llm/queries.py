@@ -8,11 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tablesmith.llm import forest, packing, pii, quality, secrets
+from tablesmith.llm import decontaminate, forest, packing, pii, quality, secrets
 from tablesmith.llm.common import table
 from tablesmith.llm.findings import digest
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.jaccard_join(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -35,6 +39,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_decontamination": op3_decontamination,
     "op4_jaccard_join": op4_jaccard_join,
     "op6_secrets": op6_secrets,
     "op7_packing": op7_packing,

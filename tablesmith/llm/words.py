@@ -12,7 +12,9 @@ SHINGLE_WORDS, SIMILARITY = 5, 0.8
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_powers = np.ones(1, U)
+#: A byte's value in a word's hash; spaces add nothing.
+_VALUE = np.where(_SPACE, U(0), np.arange(1, 257, dtype=U))
+_powers = {False: np.ones(1, U), True: np.ones(1, U)}
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -25,11 +27,12 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def powers(n: int) -> np.ndarray:
-    global _powers
-    while len(_powers) < n:
-        _powers = np.concatenate([_powers, _powers * _powers[-1] * BASE])
-    return _powers
+def powers(n: int, inverse: bool = False) -> np.ndarray:
+    """Powers of BASE, or of its inverse modulo 2**64, from 0 to n - 1 at least."""
+    while len(_powers[inverse]) < n:
+        base = U(pow(int(BASE), -1, 1 << 64)) if inverse else BASE
+        _powers[inverse] = np.concatenate([_powers[inverse], _powers[inverse] * _powers[inverse][-1] * base])
+    return _powers[inverse]
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -54,13 +57,12 @@ def spans(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
 
 
 def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit polynomial hash of each word's bytes."""
+    """A 64-bit polynomial hash of each word's bytes; starts and ends are those of all words of raw, in order."""
     if not len(starts):
         return np.zeros(0, U)
-    length = ends - starts
-    inside = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
-    values = (raw[np.repeat(starts, length) + inside].astype(U) + U(1)) * powers(int(length.max()))[inside]
-    return mix(np.add.reduceat(values, np.cumsum(length) - length) + length.astype(U))
+    values = _VALUE[raw]
+    values *= powers(len(raw))[: len(raw)]
+    return mix(np.add.reduceat(values, starts) * powers(len(raw), True)[starts] + (ends - starts).astype(U))
 
 
 def ngram_hashes(words: np.ndarray, n: int) -> np.ndarray:
@@ -98,7 +100,7 @@ def shingles(column: pa.Array, n: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.n
     return value, np.searchsorted(owner, np.arange(len(count) + 1))
 
 
-def chunks(at: np.ndarray, most: int = 1 << 22):
+def chunks(at: np.ndarray, most: int = 1 << 20):
     """Ranges of texts that together have about most bytes at most."""
     i, n = 0, len(at) - 1
     while i < n:
