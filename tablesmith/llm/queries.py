@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tablesmith.llm import decontaminate, forest, packing, pii, quality, secrets
+from tablesmith.llm import decontaminate, forest, lines, packing, pii, quality, secrets
 from tablesmith.llm.common import table
 from tablesmith.llm.findings import digest
 
@@ -30,6 +30,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket")
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
@@ -43,6 +47,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_jaccard_join": op4_jaccard_join,
     "op6_secrets": op6_secrets,
     "op7_packing": op7_packing,
+    "op8_line_dedup": op8_line_dedup,
     "op9_quality": op9_quality,
     "op10_pii": op10_pii,
 }
