@@ -8,11 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tablesmith.llm import decontaminate, forest, lines, packing, pii, quality, secrets
+from tablesmith.llm import decontaminate, forest, lines, packing, pii, quality, secrets, toxicity
 from tablesmith.llm.common import table
 from tablesmith.llm.findings import digest
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    lexicon = toxicity.learn(docs, table(spark, sf_dir, "labels").filter(~held_out))
+    scored = toxicity.score(docs, lexicon)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= toxicity.TOXIC).cast("int").alias("predicted"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
 
@@ -43,6 +51,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_toxicity": op2_toxicity,
     "op3_decontamination": op3_decontamination,
     "op4_jaccard_join": op4_jaccard_join,
     "op6_secrets": op6_secrets,
