@@ -8,11 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tablesmith.llm import decontaminate, forest, lines, packing, pii, quality, secrets, toxicity
+from tablesmith.llm import decontaminate, forest, licenses, lines, packing, pii, quality, secrets, toxicity
 from tablesmith.llm.common import table
 from tablesmith.llm.findings import digest
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
@@ -51,6 +55,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_licenses": op1_licenses,
     "op2_toxicity": op2_toxicity,
     "op3_decontamination": op3_decontamination,
     "op4_jaccard_join": op4_jaccard_join,
