@@ -12,7 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablesmith.llm.common import arrow_batches, map_rows, text_of
+from tablesmith.llm.common import Stash, arrow_batches, map_rows, text_of
+from tablesmith.llm.sieve import Sieve
 
 #: Labelled rows that the lexicon and the calibration are learnt from, at most: those of the least hashes of doc_id.
 TRAIN_ROWS = 20_000
@@ -156,7 +157,10 @@ def learn(docs: DataFrame, labels: DataFrame) -> Lexicon:
     spread = F.xxhash64("doc_id", F.lit("toxicity"))
     known = labels.filter(F.col("toxic").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("toxic") == 1).alias("toxic"))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(spread, "doc_id").limit(TRAIN_ROWS)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).join(known, "doc_id").repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id")
+    stash = Stash(docs.sparkSession, "toxicity")
+    known = stash(known)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
+    rows = stash(Sieve(known, "doc_id").keep(texts, "doc_id").hint("merge").join(known, "doc_id"))
     part = F.pmod(spread, F.lit(4)) == 0
     lesson = rows.filter(~part).select("text", "toxic")
     n = lesson.groupBy("toxic").count().collect()
