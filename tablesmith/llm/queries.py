@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tablesmith.llm import decontaminate, forest, licenses, lines, packing, pii, quality, secrets, toxicity
+from tablesmith.llm import decontaminate, forest, licenses, lines, lm, packing, pii, quality, secrets, toxicity
 from tablesmith.llm.common import table
 from tablesmith.llm.findings import digest
 
@@ -33,6 +33,14 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.jaccard_join(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1
+    model = lm.train(docs.filter(~held_out))
+    scored = lm.score(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.figures["tokens"]).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", *digest("findings", secrets.KINDS))
 
@@ -59,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_decontamination": op3_decontamination,
     "op4_jaccard_join": op4_jaccard_join,
+    "op5_language_model": op5_language_model,
     "op6_secrets": op6_secrets,
     "op7_packing": op7_packing,
     "op8_line_dedup": op8_line_dedup,
