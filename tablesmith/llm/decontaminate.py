@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations, islice
 
 import numpy as np
@@ -20,6 +22,8 @@ ALIKE, STEPS = 1.08, 8
 ITEMS = 4096
 #: A shingle's weight: the mean length of its words in bytes, in whole numbers up to this.
 HEAVIEST = 8
+#: Shingles of an item that are searched as one; a longer item is searched in parts of this length, and any part counts.
+LONGEST = 4096
 MATCH = "doc_id long, item_id long, start_word long, n_words long, similarity double"
 
 
@@ -36,18 +40,29 @@ def weighted_shingles(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.n
     return hashes, np.clip(mean, 1, HEAVIEST), first[:-1], np.maximum(first[:-1], first[1:] - SHINGLE_WORDS + 1)
 
 
-def signed_sums(hashes: np.ndarray, weights: np.ndarray, kind) -> np.ndarray:
-    """Running sums, from 0 on, of each bit's sign times the weight; differences hold modulo the type's range."""
-    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(kind)
-    bits *= (2 * weights).astype(kind)[:, None]
-    bits -= weights.astype(kind)[:, None]
-    out = np.zeros((len(hashes) + 1, 64), kind)
-    np.cumsum(bits, axis=0, out=out[1:], dtype=kind)
-    return out
+#: For each value of a byte, its bits as eight lanes of 16 bits in two words.
+_LANES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.uint16).view(U)
 
 
-def fingerprints(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    return np.packbits(sums[end] - sums[start] > 0, axis=1, bitorder="little").view(U).reshape(-1)
+def lane_sums(hashes: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Running sums, from 0 on, of the weights in each of 64 lanes (where a hash has the bit), four lanes a word, and of all weights.
+
+    A word's sums carry over into each other, yet differences of words are right if every lane's own is below 2**16.
+    """
+    lanes = np.take(_LANES, hashes.view(np.uint8), axis=0).reshape(-1, 16)
+    lanes *= weights.astype(U)[:, None]
+    sums = np.zeros((len(hashes) + 1, 16), U)
+    np.cumsum(lanes, axis=0, out=sums[1:])
+    return sums, np.concatenate([[0], np.cumsum(weights)])
+
+
+def fingerprints(sums: tuple[np.ndarray, np.ndarray], start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Bits of a window that more than half of its weight has."""
+    lanes, weights = sums
+    window = np.take(lanes, end, axis=0)
+    window -= np.take(lanes, start, axis=0)
+    half = ((weights[end] - weights[start]) // 2).astype(np.uint16)
+    return np.packbits(window.view(np.uint16) > half[:, None], axis=1, bitorder="little").view(U).reshape(-1)
 
 
 class Lengths:
@@ -57,22 +72,23 @@ class Lengths:
         self.size, self.items = size, items
         self.prints = np.array([x[3] for x in items], U)
         near = [sum(1 << b for b in bits) for r in range(RADIUS // BLOCKS + 1) for bits in combinations(range(16), r)]
-        self.tables = np.zeros((BLOCKS, 1 << 16), U)
+        self.kind = next(k for k in (np.uint8, np.uint16, np.uint32, U) if len(items) <= 8 * np.dtype(k).itemsize)
+        self.tables = np.zeros((BLOCKS, 1 << 16), self.kind)
         for k, value in enumerate(self.prints.tolist()):
             for block in range(BLOCKS):
-                self.tables[block, (value >> 16 * block & 0xFFFF) ^ np.array(near)] |= U(1 << k)
+                self.tables[block, (value >> 16 * block & 0xFFFF) ^ np.array(near)] |= self.kind(1 << k)
 
     def hits(self, prints: np.ndarray) -> list[tuple[np.ndarray, int]]:
         """For each item, the prints within RADIUS: all of them, as one of four blocks must be near."""
         words = prints.view(np.uint16).reshape(-1, BLOCKS)
-        mask = self.tables[0][words[:, 0]]
+        mask = np.take(self.tables[0], words[:, 0])
         for block in range(1, BLOCKS):
-            mask |= self.tables[block][words[:, block]]
+            mask |= np.take(self.tables[block], words[:, block])
         some = np.flatnonzero(mask)
         mask, prints = mask[some], prints[some]
         out = []
         for k, item in enumerate(self.prints):
-            mine = np.flatnonzero(mask & U(1 << k))
+            mine = np.flatnonzero(mask & self.kind(1 << k))
             mine = mine[np.bitwise_count(prints[mine] ^ item) <= RADIUS]
             if len(mine):
                 out.append((some[mine], k))
@@ -86,9 +102,11 @@ def index(items: list[tuple[int, str]]) -> list[Lengths]:
         raw, at = utf8(pa.array([text or ""], pa.large_string()))
         hashes, weights, _, end = weighted_shingles(raw, at)
         if end[0]:
-            print_ = fingerprints(signed_sums(hashes, weights, np.int64), np.array([0]), np.array([end[0]]))[0]
-            keys, first = np.unique(hashes, return_index=True)
-            made.append((item, keys, weights[first], int(print_), int(end[0])))
+            for low in range(0, int(end[0]), LONGEST):
+                high = min(int(end[0]), low + LONGEST)
+                print_ = fingerprints(lane_sums(hashes, weights), np.array([low]), np.array([high]))[0]
+                keys, first = np.unique(hashes[low:high], return_index=True)
+                made.append((item, keys, weights[low:high][first], int(print_), high - low))
     made.sort(key=lambda x: x[4])
     groups: list[list] = []
     for x in made:
@@ -119,8 +137,6 @@ def similarity(hashes: np.ndarray, weights: np.ndarray, keys: np.ndarray, key_we
 
 
 def _search(lengths: list[Lengths], threshold: float):
-    kind = np.int16 if max((x.size for x in lengths), default=0) * 2 * HEAVIEST < 1 << 15 else np.int64
-
     def run(batch: pa.RecordBatch) -> dict:
         text, ids = batch.column("text"), batch.column("doc_id").to_pylist()
         rows: dict[tuple[int, int], tuple] = {}
@@ -129,7 +145,7 @@ def _search(lengths: list[Lengths], threshold: float):
             hashes, weights, first, end = weighted_shingles(raw, at)
             if not len(hashes):
                 continue
-            sums = signed_sums(hashes, weights, kind)
+            sums = lane_sums(hashes, weights)
             for group in lengths:
                 start, stop = _starts(group.size, first, end, threshold)
                 if not len(start):
@@ -174,22 +190,40 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = SIMIL
     The documents are the large side and never shuffled; the benchmark goes to the tasks in blocks of ITEMS items, a
     pass over the documents for each, so that a large benchmark needs more passes and no more memory. Null is the
     empty text. Texts and items of fewer than five words have no shingles and never match. Very long texts are
-    searched whole. Repeated rows of docs give the same rows twice; repeated items are items of their own. Extra
+    searched whole. An item of over LONGEST shingles is found
+    by any of its parts. Repeated rows of docs give the same rows twice; repeated items are items of their own. Extra
     columns are ignored; an empty table of either kind gives no rows.
     """
     arrow_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    rows = iter(benchmark.select(F.col("item_id").cast("long"), text_of()).toLocalIterator())
-    found = None
-    while found is None or block:
-        block = [(r[0], r[1]) for r in islice(rows, ITEMS)]
-        if block or found is None:
-            part = map_rows(texts, _search(index(block), threshold), MATCH)
-            found = part if found is None else found.unionAll(part)
-    return found
-
-
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """Rows of docs that hold no item, with the columns of docs."""
-    bad = contaminated(docs, benchmark, **options).select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
+    parts = [map_rows(texts, _search(index(block), threshold), MATCH) for block in _blocks(benchmark)]
+    return reduce(DataFrame.unionAll, parts)
+
+
+def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
+    """The benchmark's rows, ITEMS at a time; one empty block if there are none."""
+    rows = (tuple(r) for r in benchmark.select(F.col("item_id").cast("long"), text_of()).toLocalIterator())
+    yield list(islice(rows, ITEMS))
+    while block := list(islice(rows, ITEMS)):
+        yield block
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
+    """Rows of docs that hold no item, with the columns of docs: a filter for each block of items, without a join."""
+    arrow_batches(docs.sparkSession)
+    for block in _blocks(benchmark):
+        docs = docs.mapInArrow(_clean(_search(index(block), threshold)), docs.schema)
+    return docs
+
+
+def _clean(search):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                places = pa.array(np.arange(batch.num_rows))
+                found = search(pa.RecordBatch.from_pydict({"doc_id": places, "text": batch.column("text").fill_null("")}))
+                clean = np.ones(batch.num_rows, bool)
+                clean[found["doc_id"]] = False
+                yield batch.filter(pa.array(clean))
+
+    return run
