@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tablesmith.llm.common import Stash, arrow_batches, map_rows, text_of
 from tablesmith.llm.components import components
+from tablesmith.llm.sieve import without
 from tablesmith.llm.words import SIMILARITY, U, chunks, mix, shingles, utf8
 
 TREES, DEPTH, RECALL, SEED = 24, 10, 0.999, 7
@@ -175,6 +176,6 @@ def jaccard_join(docs: DataFrame, threshold: float = SIMILARITY, trees: int = TR
 
 
 def one_of_each_class(docs: DataFrame, **options) -> DataFrame:
-    """Rows of docs, one a class: that of the least doc_id. Columns stay; a repeated doc_id keeps one row."""
-    kept = jaccard_join(docs, **options).groupBy("class_id").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"])
+    """Rows of docs without those of a class that are not of its least doc_id; columns stay. Only few rows are shuffled."""
+    others = Stash(docs.sparkSession, "others")(jaccard_join(docs, **options).filter("doc_id <> class_id").select("doc_id"))
+    return without(docs, others, "doc_id")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -151,8 +153,11 @@ def _measure(refs: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]]):
             columns["chars_apart"].append(chars)
             columns["words_apart"].append(words)
         out = {k: pa.array(np.concatenate(v)) for k, v in columns.items()}
-        out["n_dup_lines"] = [_dup_lines(t) for t in text.to_pylist()]
-        return out | {"doc_id": batch.column("doc_id")}
+        out["n_dup_lines"] = pa.array([_dup_lines(t) for t in text.to_pylist()], pa.int64())
+        n, repeated, chars, words = (np.asarray(out[k]) for k in ("n_words", "n_repeat_words", "chars_apart", "words_apart"))
+        failed = (n < 50) | (100 * repeated > 50 * n)
+        apart = ((np.asarray(out["n_chars"]) >= LEAST_CHARS) & (chars >= CHARS_APART)) | ((n >= LEAST_WORDS) & (words >= WORDS_APART))
+        return out | {"doc_id": batch.column("doc_id"), "base_failed": pa.array(failed), "kept": pa.array(~failed & ~apart)}
 
     return run
 
@@ -193,14 +198,19 @@ def quality(docs: DataFrame) -> DataFrame:
     """
     arrow_batches(docs.sparkSession)
     refs = references(docs)
-    schema = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_chars long, chars_apart double, words_apart double"
-    measured = map_rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"), F.coalesce("lang", F.lit("")).alias("lang")), _measure(refs), schema)
-    base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    apart = ((F.col("n_chars") >= LEAST_CHARS) & (F.col("chars_apart") >= CHARS_APART)) | ((F.col("n_words") >= LEAST_WORDS) & (F.col("words_apart") >= WORDS_APART))
-    return measured.withColumn("base_failed", base).withColumn("kept", ~base & ~apart)
+    schema = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_chars long, chars_apart double, words_apart double, base_failed boolean, kept boolean"
+    return map_rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"), F.coalesce("lang", F.lit("")).alias("lang")), _measure(refs), schema)
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """Rows of docs that quality() keeps, with the columns of docs; rows of one doc_id stay if all are kept."""
-    bad = quality(docs).filter("not kept").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
+    """Rows of docs(doc_id, text, lang, ...) that quality() keeps, with the columns of docs: a filter without a join."""
+    arrow_batches(docs.sparkSession)
+    measure = _measure(references(docs))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                plain = {"doc_id": batch.column("doc_id"), "text": batch.column("text").fill_null(""), "lang": batch.column("lang").fill_null("")}
+                yield batch.filter(measure(pa.RecordBatch.from_pydict(plain))["kept"])
+
+    return docs.mapInArrow(run, docs.schema)
