@@ -275,18 +275,19 @@ def season_key_parse(spark, sf_dir):
     return docs.select("doc_id", league.season_number(F.col("k")).alias("number"), league.slug_season_key(F.col("k")).alias("year"))
 
 
-@query("""with spans as (select l_orderkey, l_linenumber, case when l_linenumber % 3 = 1 then l_returnflag end as note, case when l_linenumber % 3 = 1 then 1 + cast(l_quantity as int) % 3 end as span from lineitem),
+@query("""with spans as (select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, case when l_linenumber % 3 = 1 then l_returnflag end as note, case when l_linenumber % 3 = 1 then 1 + cast(l_quantity as int) % 3 end as span from lineitem),
   carried as (select *, last_value(note ignore nulls) over w as last_note, last_value(span ignore nulls) over w as last_span, max(case when span is not null then l_linenumber end) over w as opened from spans
-  window w as (partition by l_orderkey order by l_linenumber rows unbounded preceding))
-  select l_orderkey, l_linenumber, case when l_linenumber < opened + last_span then last_note end as note from carried""")
+  window w as (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_extendedprice rows unbounded preceding))
+  select l_orderkey, l_linenumber, l_partkey, case when l_linenumber < opened + last_span then last_note end as note from carried""")
 def rowspan_carry(spark, sf_dir):
     """Notes that span rows, carried down as a set-based scan."""
     opens = F.col("l_linenumber") % 3 == 1
-    rows = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.when(opens, F.col("l_returnflag")).alias("note"), F.when(opens, 1 + F.col("l_quantity").cast("int") % 3).alias("span"))
-    so_far = Window.partitionBy("l_orderkey").orderBy("l_linenumber").rowsBetween(Window.unboundedPreceding, 0)
+    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+    rows = read(spark, sf_dir, "lineitem").select("l_orderkey", *order, F.when(opens, F.col("l_returnflag")).alias("note"), F.when(opens, 1 + F.col("l_quantity").cast("int") % 3).alias("span"))
+    so_far = Window.partitionBy("l_orderkey").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     last = lambda c: F.last(c, ignorenulls=True).over(so_far)
-    at = F.max(F.when(F.col("span").isNotNull(), F.col("l_linenumber"))).over(so_far)
-    return rows.select("l_orderkey", "l_linenumber", F.when(F.col("l_linenumber") < at + last("span"), last("note")).alias("note"))
+    opened = F.max(F.when(F.col("span").isNotNull(), F.col("l_linenumber"))).over(so_far)
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", F.when(F.col("l_linenumber") < opened + last("span"), last("note")).alias("note"))
 
 
 @query("""select o_orderkey, cast(o_orderkey % 90 + 1 as bigint) as pos, concat('TEAM ', o_custkey % 50) as team, cast(p as bigint) as played, cast(a + h as bigint) as goals_for, cast(b + v as bigint) as goals_against, cast(pts as bigint) as points
