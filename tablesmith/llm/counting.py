@@ -65,24 +65,22 @@ class Tally:
         return self.size > HELD
 
     def blocks(self) -> Iterator[pa.RecordBatch]:
+        """One row for each range that has keys: the tags' sorted blocks of that range."""
         self.squeeze()
+        rows: list[list[tuple[str, bytes, bytes]]] = [[] for _ in range(1 << self.bits)]
         for tag, [(keys, counts)] in self.parts.items():
-            cuts = np.searchsorted(keys, np.arange(1 << self.bits, dtype=U) << U(64 - self.bits)) if self.bits else np.zeros(1, int)
-            bounds = np.append(cuts, len(keys))
-            some = np.flatnonzero(np.diff(bounds))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(some.astype(np.int32)),
-                    pa.array([tag] * len(some), pa.string()),
-                    pa.array([pack_keys(keys[bounds[i] : bounds[i + 1]]) for i in some], pa.binary()),
-                    pa.array([planes(counts[bounds[i] : bounds[i + 1]]) for i in some], pa.binary()),
-                ],
-                ["part", "tag", "keys", "counts"],
-            )
+            bounds = np.append(np.searchsorted(keys, np.arange(1 << self.bits, dtype=U) << U(64 - self.bits)), len(keys))
+            for i in np.flatnonzero(np.diff(bounds)):
+                cut = slice(bounds[i], bounds[i + 1])
+                rows[i].append((tag, pack_keys(keys[cut]), planes(counts[cut])))
+        some = [i for i, row in enumerate(rows) if row]
+        columns = [[[x[k] for x in rows[i]] for i in some] for k in range(3)]
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *(pa.array(c, f.type) for c, f in zip(columns, list(BLOCK_SCHEMA)[1:]))], schema=BLOCK_SCHEMA)
         self.parts, self.size = {}, 0
 
 
-BLOCKS = "part int, tag string, keys binary, counts binary"
+BLOCKS = "part int, tags array<string>, keys array<binary>, counts array<binary>"
+BLOCK_SCHEMA = pa.schema([("part", pa.int32()), ("tags", pa.list_(pa.string())), ("keys", pa.list_(pa.binary())), ("counts", pa.list_(pa.binary()))])
 
 
 def tally(fill: Callable[[pa.RecordBatch, Tally], None], bits: int):
@@ -103,8 +101,9 @@ def tally(fill: Callable[[pa.RecordBatch, Tally], None], bits: int):
 def merged(table: pa.Table) -> dict[str, tuple[np.ndarray, np.ndarray]]:
     """The sorted keys and counts of all blocks of one range, by tag."""
     out: dict[str, list] = {}
-    for tag, keys, counts in zip(table.column("tag").to_pylist(), table.column("keys").to_pylist(), table.column("counts").to_pylist()):
-        out.setdefault(tag, []).append((unpack_keys(keys), from_planes(counts, np.int64)))
+    for row in zip(*(table.column(c).to_pylist() for c in ("tags", "keys", "counts"))):
+        for tag, keys, counts in zip(*row):
+            out.setdefault(tag, []).append((unpack_keys(keys), from_planes(counts, np.int64)))
     return {t: total(np.concatenate([k for k, _ in p]), np.concatenate([c for _, c in p])) for t, p in out.items()}
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablesmith.llm.common import Stash, arrow_batches, map_rows, text_of
-from tablesmith.llm.counting import BLOCKS, HELD, U, Tally, from_planes, merged, pack_keys, planes, range_bits, unpack_keys
+from tablesmith.llm.counting import BLOCK_SCHEMA, BLOCKS, HELD, U, Tally, from_planes, merged, pack_keys, planes, range_bits, unpack_keys
 from tablesmith.llm.words import chunks, mix, spans, utf8, word_hashes
 
 #: Hashes of a text's end, which is a token, and of its start, which is a context alone.
@@ -90,7 +90,7 @@ def _write(folder: str, name: str, **arrays: np.ndarray) -> None:
 
 
 def _bigrams(folder: str, bits: int):
-    """Writes a range of bigrams, and hands on what contexts and words need of them."""
+    """Writes a range of bigrams, and hands on what contexts and words need of them, for 2**bits ranges of these."""
 
     def run(table: pa.Table) -> pa.Table:
         columns = [table.column(c).to_pylist() for c in ("keys", "firsts", "counts")]
@@ -106,7 +106,7 @@ def _bigrams(folder: str, bits: int):
         held.add("contexts", seconds, one)
         held.add("count", seconds, counts)
         held.add("bigrams", np.arange(1, 5, dtype=U), np.array([(counts == k).sum() for k in range(1, 5)]))
-        return pa.Table.from_batches(list(held.blocks()), pa.schema([("part", pa.int32()), ("tag", pa.string()), ("keys", pa.binary()), ("counts", pa.binary())]))
+        return pa.Table.from_batches(list(held.blocks()), BLOCK_SCHEMA)
 
     return run
 
@@ -144,7 +144,8 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> np.ndarray:
 class Model:
     """Where a trained model's arrays lie, and its few figures."""
 
-    def __init__(self, folder: str, bits: int, figures: dict[str, int]):
+    def __init__(self, folder: str, bits: dict[str, int], figures: dict[str, int]):
+        """bits: 2**bits ranges of keys that a table's arrays are split into."""
         self.folder, self.bits, self.figures = folder, bits, figures
         self.discount = {k: discounts(*(figures.get(f"{k}{n}", 0) for n in range(1, 5))) for k in ("word", "bigram")}
 
@@ -171,7 +172,7 @@ class Model:
     def find(self, table: str, queries: np.ndarray, kinds: dict[str, tuple]) -> dict[str, np.ndarray]:
         """Values of sorted distinct keys, 0 where the table lacks one: {kind: (dtype, width)} to arrays of width columns."""
         out = {k: np.zeros((len(queries), width), np.int64) for k, (_, width) in kinds.items()}
-        bounds = np.append(np.searchsorted(queries, np.arange(1 << self.bits, dtype=U) << U(64 - self.bits)), len(queries))
+        bounds = np.append(np.searchsorted(queries, np.arange(1 << self.bits[table], dtype=U) << U(64 - self.bits[table])), len(queries))
         for part in np.flatnonzero(np.diff(bounds)):
             mine = slice(bounds[part], bounds[part + 1])
             keys = self.array(f"{table}-{part}", "keys", U)
@@ -186,7 +187,7 @@ class Model:
         """Counts of sorted distinct bigram keys."""
         found = self.find("bigram", keys, {"counts": (np.uint8, 1)})["counts"][:, 0]
         for k in np.flatnonzero(found == 255):
-            part = int(keys[k]) >> (64 - self.bits)
+            part = int(keys[k]) >> (64 - self.bits["bigram"])
             big = self.array(f"bigram-{part}", "big_keys", U)
             found[k] = self.array(f"bigram-{part}", "big_counts", np.int64)[np.searchsorted(big, keys[k])]
         return found
@@ -225,10 +226,11 @@ def train(docs: DataFrame) -> Model:
     system, path = fs.FileSystem.from_uri(folder)
     system.create_dir(path, recursive=True)
     counted = docs.select(text_of().alias("text")).mapInArrow(_count(bits), _BIGRAMS)
-    singles = counted.groupBy("part").applyInArrow(_bigrams(folder, bits), BLOCKS)
+    fewer = max(2, bits - 2)  # a block from each range of bigrams to each of these
+    singles = counted.groupBy("part").applyInArrow(_bigrams(folder, fewer), BLOCKS)
     figures = singles.groupBy("part").applyInArrow(_singles(folder), "name string, value long").groupBy("name").agg(F.sum("value").alias("value"))
     zero = {k: 0 for k in ("tokens", "words", "pairs", "word1", "word2", "word3", "word4")}
-    return Model(folder, bits, zero | {r["name"]: r["value"] for r in figures.collect()})
+    return Model(folder, {"bigram": bits, "context": fewer, "word": fewer}, zero | {r["name"]: r["value"] for r in figures.collect()})
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
