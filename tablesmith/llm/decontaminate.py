@@ -8,6 +8,7 @@ from itertools import combinations, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,12 +28,12 @@ LONGEST = 4096
 MATCH = "doc_id long, item_id long, start_word long, n_words long, similarity double"
 
 
-def weighted_shingles(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def weighted_shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hash and weight of the five words from each place on, and each text's first place and the one after its last.
 
-    Places count words; the last four of a text have no shingle and lie beyond its end. A-Z are lower-cased.
+    Places count words; the last four of a text have no shingle and lie beyond its end. Letters are lower-cased.
     """
-    raw = np.where((raw >= 65) & (raw <= 90), raw + np.uint8(32), raw)
+    raw, at = utf8(pc.utf8_lower(column))
     starts, ends, first = spans(raw, at)
     hashes = ngram_hashes(word_hashes(raw, starts, ends), SHINGLE_WORDS)
     length = np.concatenate([[0], np.cumsum(ends - starts)])
@@ -99,8 +100,7 @@ def index(items: list[tuple[int, str]]) -> list[Lengths]:
     """Groups of up to 64 items of lengths within ALIKE of the shortest, each item by its own whole fingerprint."""
     made = []
     for item, text in items:
-        raw, at = utf8(pa.array([text or ""], pa.large_string()))
-        hashes, weights, _, end = weighted_shingles(raw, at)
+        hashes, weights, _, end = weighted_shingles(pa.array([text or ""], pa.large_string()))
         if end[0]:
             for low in range(0, int(end[0]), LONGEST):
                 high = min(int(end[0]), low + LONGEST)
@@ -141,8 +141,7 @@ def _search(lengths: list[Lengths], threshold: float):
         text, ids = batch.column("text"), batch.column("doc_id").to_pylist()
         rows: dict[tuple[int, int], tuple] = {}
         for i, j in chunks(utf8(text)[1], 1 << 18):
-            raw, at = utf8(text[i:j])
-            hashes, weights, first, end = weighted_shingles(raw, at)
+            hashes, weights, first, end = weighted_shingles(text[i:j])
             if not len(hashes):
                 continue
             sums = lane_sums(hashes, weights)
@@ -188,8 +187,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = SIMIL
     threshold, with its first word, its number of words and the similarity.
 
     The documents are the large side and never shuffled; the benchmark goes to the tasks in blocks of ITEMS items, a
-    pass over the documents for each, so that a large benchmark needs more passes and no more memory. Null is the
-    empty text. Texts and items of fewer than five words have no shingles and never match. Very long texts are
+    pass over the documents for each, so that a large benchmark needs more passes and no more memory. Letters are compared in lower
+    case. Null is the empty text. Texts and items of fewer than five words have no shingles and never match. Very long texts are
     searched whole. An item of over LONGEST shingles is found
     by any of its parts. Repeated rows of docs give the same rows twice; repeated items are items of their own. Extra
     columns are ignored; an empty table of either kind gives no rows.

@@ -36,7 +36,8 @@ def planted():
             at = rng.randint(0, len(words))
             words[at:at] = passage
         docs.append((d, " ".join(words), "x"))
-    return docs + [(900, None, "x"), (901, "", "x"), (902, items[7][1], "x"), (902, items[7][1], "x")], items
+    items.append((40, " ".join(f"ñandú{k} éa" for k in range(20))))
+    return docs + [(900, None, "x"), (901, "", "x"), (902, items[7][1], "x"), (902, items[7][1], "x"), (903, "x " + " ".join(f"ñandú{k} éa" for k in range(20)).upper(), "x")], items
 
 
 def test_exact_and_near_passages_are_found(spark, planted):
