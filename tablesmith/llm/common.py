@@ -39,10 +39,12 @@ class Stash:
         self.base = f"{stash_dir(spark)}/{tag}-{uuid.uuid4().hex}"
         self.count = 0
 
-    def __call__(self, df: DataFrame) -> DataFrame:
+    def __call__(self, df: DataFrame, plain: bool = False) -> DataFrame:
+        """df from its written copy; plain: neither dictionaries nor compression, for columns of hashes."""
         self.count += 1
         path = f"{self.base}/{self.count}"
-        df.write.parquet(path)
+        writer = df.write.option("compression", "none").option("parquet.enable.dictionary", "false") if plain else df.write
+        writer.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out.stash_path = path
         return out

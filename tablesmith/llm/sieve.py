@@ -1,16 +1,22 @@
-"""A Bloom filter of fixed size out of SQL's bitmap functions: most rows that a join would drop never reach its shuffle."""
+"""A Bloom filter of fixed size as a table of bit words: most rows that a join would drop never reach its shuffle."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Bits of the filter: 4 MiB, which is all that is ever broadcast, however many keys there are.
-BITS = 1 << 25
+#: Bits of the filter: 2**18 words of 64 bits, a few MB, which is all that is ever broadcast, however many keys there are.
+BITS = 1 << 24
+#: The column that split() adds.
+MAYBE = "__sieve_maybe"
 
 
 def _place(key: Column) -> Column:
-    return F.pmod(F.xxhash64(key, F.lit("sieve")), F.lit(BITS)) + 1
+    return F.pmod(F.xxhash64(key, F.lit(0x51E7E)), F.lit(BITS))
+
+
+def _bit(place: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))
 
 
 class Sieve:
@@ -18,24 +24,29 @@ class Sieve:
 
     def __init__(self, keys: DataFrame, column: str):
         place = keys.select(_place(F.col(column)).alias("place"))
-        maps = place.groupBy(F.bitmap_bucket_number("place").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("_bits"))
-        self.maps = F.broadcast(maps)
+        words = place.groupBy(F.expr("place div 64").alias("__sieve_word")).agg(F.bit_or(_bit(F.col("place"))).alias("__sieve_bits"))
+        self.words = F.broadcast(words)
 
     def split(self, df: DataFrame, column: str) -> DataFrame:
-        """df with a boolean `_maybe`: false where the keys surely lack the row's value."""
-        place = df.withColumn("_place", _place(F.col(column))).withColumn("_bucket", F.bitmap_bucket_number("_place")).withColumn("_at", F.bitmap_bit_position("_place"))
-        byte = F.conv(F.hex(F.expr("substring(_bits, cast(_at div 8 as int) + 1, 1)")), 16, 10).cast("int")
-        bit = F.expr("cast(_at % 8 as int)")
-        tested = place.join(self.maps, "_bucket", "left").withColumn("_maybe", F.coalesce(F.call_function("getbit", byte, bit) == 1, F.lit(False)))
-        return tested.select(*df.columns, "_maybe")
+        """df with a boolean MAYBE: false where the keys surely lack the row's value."""
+        placed = df.withColumn("__sieve_place", _place(F.col(column))).withColumn("__sieve_word", F.expr("__sieve_place div 64"))
+        maybe = F.coalesce(F.col("__sieve_bits").bitwiseAND(_bit(F.col("__sieve_place"))) != 0, F.lit(False))
+        return placed.join(self.words, "__sieve_word", "left").select(*df.columns, maybe.alias(MAYBE))
 
     def keep(self, df: DataFrame, column: str) -> DataFrame:
         """Rows of df that the keys may hold."""
-        return self.split(df, column).filter("_maybe").select(df.columns)
+        placed = df.withColumn("__sieve_place", _place(F.col(column))).withColumn("__sieve_word", F.expr("__sieve_place div 64"))
+        return placed.join(self.words, "__sieve_word").filter(F.col("__sieve_bits").bitwiseAND(_bit(F.col("__sieve_place"))) != 0).select(df.columns)
+
+
+def packed(df: DataFrame, column: str) -> DataFrame:
+    """(key, row): a column and whole rows of df, so that no name of df can clash with one of a plan's own."""
+    return df.select(F.col(f"`{column}`").alias("key"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
 
 
 def without(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
-    """Rows of df whose value the keys lack; only rows that the filter can't clear are joined and shuffled."""
-    both = Sieve(keys, column).split(df, column)
-    clear = both.filter("not _maybe").select(df.columns)
-    return clear.unionAll(both.filter("_maybe").select(df.columns).join(keys.select(column).distinct(), column, "left_anti").select(df.columns))
+    """Rows of df whose value the keys lack; only rows that the filter can't clear are joined and shuffled. Null values stay."""
+    listed = keys.select(F.col(column).alias("key")).distinct()
+    both = Sieve(listed, "key").split(packed(df, column), "key")
+    clear = both.filter(f"not {MAYBE}").select("row.*")
+    return clear.unionAll(both.filter(MAYBE).join(listed, "key", "left_anti").select("row.*"))
