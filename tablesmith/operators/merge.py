@@ -68,6 +68,13 @@ def combine(datasets: list[Dataset], include_empty: bool = False) -> tuple[Datas
     return data, figures.crossJoin(inputs)
 
 
+def overwrite(datasets: list[Dataset]) -> Dataset:
+    """The merged dataset in which a season comes whole from the last source that has it."""
+    whole = union(datasets)
+    chosen = last_wins(whole.tiers.select("season_key", "source_rank"))
+    return Dataset(*(part.join(chosen, ["season_key", "source_rank"], "left_semi").select(part.columns) for part in (whole.tiers, whole.entries)))
+
+
 def missing_by_war(figures: DataFrame) -> DataFrame:
     """(bucket, seasons): the missing seasons of figures by first war, second war, and other."""
     season = F.col("season")
