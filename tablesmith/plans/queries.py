@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tablesmith.functions import league
 from tablesmith.functions.js import js_number, js_parse_float, js_parse_int, js_trim
-from tablesmith.operators import lint, merge, standings
+from tablesmith.operators import html, lint, merge, standings, textpages
+from tablesmith.operators.dataset import normalise, raw_tiers
 from tablesmith.operators.legends import legend_flags
 from tablesmith.operators.seasons import major_tiers
 from tablesmith.operators.textpages import table_rows
@@ -346,3 +347,77 @@ def number_forms(spark, sf_dir):
         "o_orderkey", js_number(F.concat(F.lit(" "), (k % 1000).cast("string"), F.lit(" "))).alias("number"), js_parse_int(F.concat(c.cast("string"), F.lit("px"))).alias("whole"),
         js_parse_float(F.concat((c % 7).cast("string"), F.lit(".5.7"))).alias("part"), league.cell_number(F.concat(F.lit("−"), (c % 9).cast("string"), F.lit("[")), True).alias("minus"),
     )
+
+
+# Extraction and normalising, over pages and JSON that are put together from the league tables.
+
+_CELLS = ("pos", "team", "played", "won", "draw", "lost", "goals_for", "goals_against", "points")
+_NOTE = "case when pos = 1 then 'Promoted' when pos > size - 2 then 'Relegated to the next tier' end"
+
+
+def _noted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size = F.count("*").over(Window.partitionBy("season", "tier"))
+    return standings.league_table(matches(spark, sf_dir)).withColumn("size", size).withColumn("note", F.expr(_NOTE))
+
+
+def _pages(noted: DataFrame, titles: str, wrap: str) -> DataFrame:
+    """(season, html): a page a season, with a table a tier; titles: header cells, wrap: what stands before a table, by tier."""
+    cells = F.concat(*[F.concat(F.lit("<td>"), F.col(c).cast("string"), F.lit("</td>")) for c in _CELLS], F.lit("<td>"), F.coalesce("note", F.lit("")), F.lit("</td>"))
+    line = F.struct("pos", F.concat(F.lit("<tr>"), cells, F.lit("</tr>")).alias("line"))
+    lines = F.array_join(F.transform(F.array_sort(F.collect_list(line)), lambda r: r["line"]), "")
+    head = F.concat(F.lit('<table class="wikitable"><tr>'), *[F.lit(f"<th>{t}</th>") for t in titles.split("|")], F.lit("</tr>"))
+    tables = noted.groupBy("season", "tier").agg(F.concat(F.expr(wrap), head, lines, F.lit("</table>")).alias("html"))
+    return tables.groupBy("season").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("tier", "html"))), lambda r: r["html"]), "").alias("html"))
+
+
+_TITLES = "Pos|Team|Pld|W|D|L|GF|GA|Pts|Notes"
+_OUT = "cast(pos as double) as pos, team, cast(played as double) as played, cast(won as double) as won, cast(goals_for as double) as goals_for, cast(points as double) as points"
+
+
+@query(f"""with {_SIDES} select season, case when tier = 1 then 'first' else 'second' end as division, cast(pos - 1 as int) as row_ord, {_OUT}, {_NOTE} as notes,
+  pos > size - 2 and pos > 1 as was_relegated, tier = 2 and pos = 1 as was_promoted from ranked""")
+def division_tables(spark, sf_dir):
+    """Division pages made of the league tables, and parsed."""
+    wrap = """concat('<div><span class="mw-headline" id="', if(tier = 1, 'First', 'Second'), '_Division">x</span></div>')"""
+    rows = html.division_rows(_pages(_noted(spark, sf_dir), _TITLES, wrap), ["season"])
+    return rows.select("season", "division", "row_ord", "pos", "team", "played", "won", "goals_for", "points", "notes", "was_relegated", "was_promoted")
+
+
+@query(f"""with {_SIDES}, t as (select distinct season, tier from ranked), n as (select *, cast(row_number() over (partition by season order by tier) - 1 as int) as table_no from t)
+  select r.season, n.table_no, case when r.tier = 1 then 'Premier League' else 'Second Division' end as title, r.tier = 1 as is_top_flight, {_OUT}, {_NOTE} as notes, r.tier = 2 and pos = 1 as was_promoted
+  from ranked r join n on n.season = r.season and n.tier = r.tier""")
+def overview_tables(spark, sf_dir):
+    """Overview pages made of the league tables, and parsed."""
+    wrap = """concat('<div class="mw-heading mw-heading3"><h3 id="t', tier, '">', if(tier = 1, 'Premier League', 'Second Division'), '</h3></div>')"""
+    pages = _pages(_noted(spark, sf_dir), _TITLES, wrap)
+    whole = pages.withColumn("html", F.concat(F.lit('<div class="mw-heading mw-heading2"><h2 id="League_tables">League tables</h2></div>'), "html"))
+    rows = html.overview_rows(whole, ["season"])
+    return rows.select("season", "table_no", "title", "is_top_flight", "pos", "team", "played", "won", "goals_for", "points", "notes", "was_promoted")
+
+
+@query(f"""with {_SIDES} select season, tier, cast(pos as bigint) as pos, concat(upper(team[1]), lower(team[2:])) as team, cast(played as bigint) as played, cast(goals_for as bigint) as goals_for, cast(points as bigint) as points from ranked""")
+def text_block_tables(spark, sf_dir):
+    """Fixed-column pages made of the league tables, and parsed: all goals at home, none away."""
+    noted = _noted(spark, sf_dir)
+    figures = [F.col(c).cast("string") for c in ("played", "won", "draw", "lost", "goals_for", "goals_against")] + [F.lit("0")] * 5 + [F.col("points").cast("string")]
+    line = F.concat_ws(" ", F.concat(F.lit(" "), F.col("pos").cast("string"), F.lit(".")), F.initcap("team"), *figures)
+    lines = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", line.alias("line")))), lambda r: r["line"]), "\n")
+    head = F.concat(F.lit("\nLeague - "), F.col("season").cast("string"), F.lit("\n\n P W D L F A W D L F A Pts\n"))
+    blocks = noted.groupBy("season", "tier").agg(lines.alias("lines")).select(F.col("season").alias("page_id"), (F.col("tier") - 1).alias("block_no"), F.concat(head, "lines").alias("text"))
+    rows = textpages.competitions(blocks)[1]
+    return rows.select(F.col("page_id").alias("season"), (F.col("block_no") + 1).cast("int").alias("tier"), "pos", "team", "played", "goals_for", "points")
+
+
+@query(f"""with {_SIDES} select cast(season as varchar) as season_key, concat('tier', tier) as tier_key, team, cast(pos as double) as pos, cast(goal_difference as double) as goal_difference,
+  pos > size - 2 and pos > 1 as was_relegated, pos = 1 as was_promoted from ranked""")
+def normalised_entries(spark, sf_dir):
+    """JSON of seasons made of the league tables, numbers as text and flags left to the notes, read and normalised."""
+    noted = _noted(spark, sf_dir)
+    text = lambda c: F.concat(F.lit(" "), F.col(c).cast("string"))
+    row = F.struct("pos", text("pos").alias("p"), F.concat(F.lit(" "), "team").alias("team"), text("goals_for").alias("goalsFor"), text("goals_against").alias("goalsAgainst"), F.lit(999).alias("goalDifference"), F.col("note").alias("notes"))
+    rows = F.transform(F.array_sort(F.collect_list(row)), lambda r: F.struct(r["p"].alias("pos"), r["team"], r["goalsFor"], r["goalsAgainst"], r["goalDifference"], r["notes"]))
+    tiers = noted.groupBy("season", "tier").agg(rows.alias("rows"))
+    seasons = tiers.groupBy("season").agg(F.map_from_entries(F.collect_list(F.struct(F.concat(F.lit("tier"), F.col("tier").cast("string")), "rows"))).alias("s"))
+    texts = seasons.select(F.lit(0).alias("source_rank"), F.to_json(F.struct(F.create_map(F.col("season").cast("string"), "s").alias("seasons"))).alias("value"))
+    entries = normalise(raw_tiers(texts)).entries
+    return entries.select("season_key", "tier_key", "team", "pos", "goal_difference", "was_relegated", "was_promoted")
