@@ -151,7 +151,7 @@ def parser() -> argparse.ArgumentParser:
                 p.add_argument(flag, action="store_true")
         return p
 
-    for name, start, end, output in (("build", 1888, 2000, "wiki_promotion_relegations_by_season.json"), ("overview", 2008, 2008, "wiki_overview_tables_by_season.json"), ("combined", 1888, 2000, "wiki_combined.json"), ("scrape", None, None, "rsssf.json")):
+    for name, start, end, output in (("build", 1888, 2000, "promotion_seasons.json"), ("overview", 2008, 2008, "overview_seasons.json"), ("combined", 1888, 2000, "combined_seasons.json"), ("scrape", None, None, "text_seasons.json")):
         p = command(name, start, end)
         p.add_argument("-o", "--output", default=f"data-output/{output}")
         p.add_argument("--compact", action="store_true")
