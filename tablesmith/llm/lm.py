@@ -89,14 +89,20 @@ def _write(folder: str, name: str, **arrays: np.ndarray) -> None:
         system.move(temporary, f"{path}/{name}.{kind}")
 
 
+def _narrow(kind: str, counts: np.ndarray, dtype) -> dict[str, np.ndarray]:
+    """Counts as arrays to write: in a narrow type, whose largest value sends to the few larger counts by their places."""
+    flat, most = counts.reshape(-1), np.iinfo(dtype).max
+    big = np.flatnonzero(flat >= most)
+    return {kind: np.minimum(flat, most).astype(dtype), f"{kind}_at": big.astype(np.int64), f"{kind}_big": flat[big].astype(np.int64)}
+
+
 def _bigrams(folder: str, bits: int):
     """Writes a range of bigrams, and hands on what contexts and words need of them, for 2**bits ranges of these."""
 
     def run(table: pa.Table) -> pa.Table:
         columns = [table.column(c).to_pylist() for c in ("keys", "firsts", "counts")]
         keys, firsts, counts = _sum([(unpack_keys(k), np.frombuffer(f, U), from_planes(c, np.int64)) for k, f, c in zip(*columns)])
-        big = counts >= 255
-        _write(folder, f"bigram-{table.column('part')[0].as_py()}", keys=keys, counts=np.minimum(counts, 255).astype(np.uint8), big_keys=keys[big], big_counts=counts[big])
+        _write(folder, f"bigram-{table.column('part')[0].as_py()}", keys=keys, **_narrow("counts", counts, np.uint8))
         held = Tally(bits)
         seconds, one = keys - firsts * FIRST, np.ones(len(keys), np.int64)
         held.add("total", firsts, counts)
@@ -122,10 +128,10 @@ def _singles(folder: str):
         for kind, tag in zip(kinds, ("n1", "n2", "n3")):
             own, counts = by.get(tag, none)
             kind[np.searchsorted(keys, own)] = counts
-        _write(folder, f"context-{part}", keys=keys, total=totals, kinds=np.column_stack(kinds).astype(np.uint32))
+        _write(folder, f"context-{part}", keys=keys, **_narrow("total", totals, np.uint16), **_narrow("kinds", np.column_stack(kinds), np.uint16))
         words, counts = by.get("count", none)
         met = by.get("contexts", none)[1]
-        _write(folder, f"word-{part}", keys=words, count=counts, contexts=met)
+        _write(folder, f"word-{part}", keys=words, **_narrow("count", counts, np.uint16), **_narrow("contexts", met, np.uint16))
         out = {"tokens": int(counts.sum()), "words": len(words), "pairs": int(met.sum())}
         out |= {f"word{k}": int((met == k).sum()) for k in range(1, 5)}
         out |= {f"bigram{k}": int(c) for k, c in zip(*by["bigrams"])} if "bigrams" in by else {}
@@ -180,33 +186,30 @@ class Model:
                 at = np.minimum(np.searchsorted(keys, queries[mine]), len(keys) - 1)
                 there = np.flatnonzero(keys[at] == queries[mine])
                 for kind, (dtype, width) in kinds.items():
-                    out[kind][bounds[part] + there] = self.array(f"{table}-{part}", kind, dtype).reshape(-1, width)[at[there]]
+                    places = at[there][:, None] * width + np.arange(width)
+                    values = self.array(f"{table}-{part}", kind, dtype)[places].astype(np.int64)
+                    big = values == np.iinfo(dtype).max
+                    if big.any():
+                        where = np.searchsorted(self.array(f"{table}-{part}", f"{kind}_at", np.int64), places[big])
+                        values[big] = self.array(f"{table}-{part}", f"{kind}_big", np.int64)[where]
+                    out[kind][bounds[part] + there] = values
         return out
 
-    def counts(self, keys: np.ndarray) -> np.ndarray:
-        """Counts of sorted distinct bigram keys."""
-        found = self.find("bigram", keys, {"counts": (np.uint8, 1)})["counts"][:, 0]
-        for k in np.flatnonzero(found == 255):
-            part = int(keys[k]) >> (64 - self.bits["bigram"])
-            big = self.array(f"bigram-{part}", "big_keys", U)
-            found[k] = self.array(f"bigram-{part}", "big_counts", np.int64)[np.searchsorted(big, keys[k])]
-        return found
-
     def log10(self, hashes: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """log10 probability of each token after the one before, and the tokens' counts in training."""
         f, (dw, db) = self.figures, (self.discount["word"], self.discount["bigram"])
         words, word = np.unique(hashes, return_inverse=True)
-        own = self.find("word", words, {"count": (np.int64, 1), "contexts": (np.int64, 1)})
+        own = self.find("word", words, {"count": (np.uint16, 1), "contexts": (np.uint16, 1)})
         count, met = own["count"][:, 0], own["contexts"][:, 0]
         pairs = max(1, f["pairs"])
         rest = sum(dw[k] * f[f"word{k}"] for k in (1, 2)) + dw[3] * (f["words"] - f["word1"] - f["word2"])
         unigram = (met - dw[np.minimum(met, 3)]) / pairs + (rest / pairs if f["pairs"] else 1.0) / (f["words"] + 1)
         firsts, first = np.unique(before, return_inverse=True)
-        context = self.find("context", firsts, {"total": (np.int64, 1), "kinds": (np.uint32, 3)})
+        context = self.find("context", firsts, {"total": (np.uint16, 1), "kinds": (np.uint16, 3)})
         mass, kinds = context["total"][:, 0], context["kinds"]
         left = np.where(mass > 0, kinds @ db[1:] / np.maximum(mass, 1), 1.0)
         keys, key = np.unique(before * FIRST + hashes, return_inverse=True)
-        c = self.counts(keys)[key]
+        c = self.find("bigram", keys, {"counts": (np.uint8, 1)})["counts"][key, 0]
         p = (c - db[np.minimum(c, 3)]) / np.maximum(mass, 1)[first] + left[first] * unigram[word]
         return np.log10(p), count[word]
 
@@ -250,7 +253,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> dict:
         column, out = batch.column("text"), {k: [] for k in ("n_tokens", "n_known", "base_score", "score")}
-        for i, j in chunks(utf8(column)[1], 1 << 22):
+        for i, j in chunks(utf8(column)[1]):
             hashes, first = tokens(column[i:j])
             logs, counts = model.log10(hashes, contexts(hashes, first))
             out["n_tokens"].append(np.diff(first))

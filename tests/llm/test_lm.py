@@ -46,7 +46,7 @@ def brute(train, tests):
 def test_scores_match_plain_counting(spark):
     rng = random.Random(1)
     text = lambda: " ".join(rng.choice(WORDS[: rng.choice([3, 10, 30])]) for _ in range(rng.randint(0, 40)))
-    train = [text() for _ in range(200)] + [None, "", "ba " * 900]
+    train = [text() for _ in range(200)] + [None, "", "ba " * 900, "be bi " * 70000]
     tests = [text() + rng.choice(["", " zz", " BA\nDe"]) for _ in range(60)] + [None, "", "never seen words"]
     model = lm.train(spark.createDataFrame([(t, 1) for t in train], "text string, part int"))
     assert model.figures["tokens"] == sum(len((t or "").split()) + 1 for t in train)
