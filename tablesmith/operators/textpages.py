@@ -22,11 +22,13 @@ def table_rows(lines: DataFrame, n_lines: Column, first_division: Column) -> Dat
     """
     wide, narrow = len(STATS), len(STATS) - 1
     ints = lambda at, n: f"forall(slice(rest, {at} + 1, {n}), t -> t rlike '^-?[0-9]+$')"
-    words = lines.withColumn("words", F.split(F.trim(F.regexp_replace("line", r"\s+", " ")), " "))
-    rest = words.filter(F.size("words") > narrow).withColumn("rest", F.expr("slice(words, 2, size(words))")).withColumn("place", F.regexp_replace(F.col("words")[0], r"\D", "").try_cast("long"))
-    starts = rest.withColumn("at", F.expr(f"get(filter(if(size(rest) < {narrow}, cast(array() as array<int>), sequence(0, size(rest) - {narrow})), i -> {ints('i', narrow)}), 0)"))
-    found = starts.filter("at > 0 and place is not null").withColumn("width", F.expr(f"if(size(rest) >= at + {wide} and {ints('at', wide)}, {wide}, {narrow})"))
-    parts = found.withColumn("team", F.expr("array_join(slice(rest, 1, at), ' ')")).withColumn("v", F.expr("transform(slice(rest, at + 1, width), t -> cast(t as bigint))")).withColumn("markers", F.expr("slice(rest, at + width + 1, size(rest))"))
+    starts = f"filter(if(size(rest) < {narrow}, cast(array() as array<int>), sequence(0, size(rest) - {narrow})), i -> {ints('i', narrow)})"
+    parsed = f"transform(array(slice(words, 2, size(words))), rest -> struct(words[0] as first, rest, get({starts}, 0) as at))[0]"
+    # Bound within one expression and filtered within the generator, so that no part of it is evaluated again.
+    bound = f"transform(array(split(trim(regexp_replace(line, '\\\\s+', ' ')), ' ')), words -> {parsed})"
+    rows = lines.select(*lines.columns, F.explode(F.expr(f"filter({bound}, p -> p.at > 0 and p.first rlike '[0-9]')")).alias("p"))
+    found = rows.select(*lines.columns, F.regexp_replace("p.first", r"\D", "").try_cast("long").alias("place"), "p.rest", "p.at").withColumn("width", F.expr(f"if(size(rest) >= at + {wide} and {ints('at', wide)}, {wide}, {narrow})"))
+    parts = found.select(*lines.columns, "place", "width", F.expr("array_join(slice(rest, 1, at), ' ')").alias("team"), F.expr("transform(slice(rest, at + 1, width), t -> try_cast(t as bigint))").alias("v"), F.expr("slice(rest, at + width + 1, size(rest))").alias("markers"))
     stat = {name: F.col("v")[k] for k, name in enumerate(STATS[:11])}
     total = lambda side: stat[f"home_{side}"] + stat[f"away_{side}"]
     goals_for, goals_against = total("for"), total("against")
