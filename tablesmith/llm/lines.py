@@ -12,9 +12,6 @@ from tablesmith.llm.words import SIMILARITY
 
 #: Characters of a shingle.
 SHINGLE = 8
-#: Lines of ENOUGH words or more are compared by their shingles at words' starts, others by all their shingles; lines of
-#: fewer words than FEW have both kinds, so that lines near the limit can be compared.
-ENOUGH, FEW = 6, 12
 #: A band: the least ROWS hashes from the start of one of 8 parts of the hash range on.
 ROWS = 3
 #: More than any text's lines.
@@ -22,17 +19,15 @@ LINES = 1 << 32
 #: Lines of one side of a block of pairs.
 BLOCK = 128
 
-_ALL = f"if(length(line) < {SHINGLE}, array(line), regexp_extract_all(line, '(?s)(?=(.{{{SHINGLE}}}))', 1))"
-_AT_WORDS = f"regexp_extract_all(concat(' ', line), '(?s) (?=(.{{{SHINGLE}}}))', 1)"
-_NONE = "cast(array() as array<string>)"
 
+def _hashes(line: str) -> str:
+    """Sorted hashes of all of a line's shingles; four bytes a character make each of them a slice."""
+    every = f"transform(sequence(0, greatest(0, octet_length(b) div 4 - {SHINGLE})), i -> xxhash64(substring(b, 4 * i + 1, {4 * SHINGLE})))"
+    return f"sort_array(array_distinct(transform(array(encode({line}, 'UTF-32')), b -> {every})[0]))"
 
-def _bands(hashes: str) -> str:
-    """For each part of the hash range that has a hash: ROWS successive hashes from there on, round the range's end."""
-    rows = ", ".join(f"{hashes}[(i + {k}) % size({hashes})]" for k in range(1, ROWS))
-    first = f"i = 0 or shiftrightunsigned(x ^ {hashes}[i - 1], 61) <> 0"
-    kind = 1 if hashes == "at_words" else 2
-    return f"array_compact(transform({hashes}, (x, i) -> if({first}, xxhash64({kind}, x, {rows}), null)))"
+
+#: The starts of 8 parts of the hash range, in order.
+_PARTS = [f"cast({(k << 61) - (1 << 63)} as bigint)" for k in range(8)]
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -41,32 +36,31 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return texts.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).filter(F.expr(r"trim(BOTH ' \t\n\u000B\u000C\r' FROM line) <> ''"))
 
 
-def shingled(lines: DataFrame, *keep: str) -> DataFrame:
-    """keep columns of lines(line, ...), with the hashes of each line's shingles: at_words and all_of_few, sorted."""
-    cut = lines.select(*keep, "line", F.expr(_AT_WORDS).alias("at_words"))
-    few = F.expr(f"if(size(at_words) < {FEW}, {_ALL}, {_NONE})").alias("all_of_few")
-    chosen = cut.select(*keep, few, F.expr(f"if(size(at_words) >= {ENOUGH}, at_words, {_NONE})").alias("at_words"))
-    return chosen.select(*keep, *[F.expr(f"sort_array(array_distinct(transform({c}, s -> xxhash64(s))))").alias(c) for c in ("at_words", "all_of_few")])
-
-
 def signatures(lines: DataFrame) -> DataFrame:
-    """(doc_id, line_no, h, bands): a line's hash, which stands for its text, and the bands of its signature."""
-    bands = F.expr(f"concat({_bands('all_of_few')}, {_bands('at_words')})")
-    return shingled(lines.withColumn("h", F.xxhash64("line")), "doc_id", "line_no", "h").select("doc_id", "line_no", "h", bands.alias("bands"))
+    """(doc_id, line_no, h, bands): a line's hash, which stands for its text, and the bands of its signature.
+
+    For each part of the hash range that has a hash a band is ROWS successive hashes from there on, round the range's end.
+    """
+    keep = ("doc_id", "line_no", F.xxhash64("line").alias("h"))
+    hashed = lines.select(*keep, F.expr(_hashes("line")).alias("shingles"))
+    # Among the hashes and the parts' starts in order, the place of a start tells how many hashes lie before.
+    parted = hashed.withColumn("parted", F.expr(f"sort_array(concat(shingles, array({', '.join(_PARTS)})))"))
+    starts = ", ".join(f"cast(array_position(parted, {part}) as int) - {k + 1}" for k, part in enumerate(_PARTS))
+    rows = ", ".join(f"shingles[(at + {k}) % size(shingles)]" for k in range(ROWS))
+    band = f"(at, k) -> if(at < coalesce(get(starts, k + 1), size(shingles)), xxhash64({rows}), null)"
+    placed = parted.select("doc_id", "line_no", "h", "shingles", F.expr(f"array({starts})").alias("starts"))
+    return placed.select("doc_id", "line_no", "h", F.expr(f"array_compact(transform(starts, {band}))").alias("bands"))
 
 
 def _labels(threshold: float) -> Column:
-    """Components of a block's `lines`, array<struct<h, at_words, all_of_few>>: for each line the place of another one of its component.
+    """Components of a block's `lines`, array<struct<h, shingles>>: for each line the place of another one of its component.
 
     Lines are taken in turn and compared with those before. A line that is already in a component that the new line has
     joined is not compared again, nor is one whose number of shingles alone rules the similarity out.
     """
-    def alike(kind: str) -> str:
-        a, b = f"lines[i].{kind}", f"lines[j].{kind}"
-        sizes = f"least(size({a}), size({b})) >= {threshold} * greatest(size({a}), size({b})) - 1e-9"
-        return f"({sizes} and size(array_intersect({a}, {b})) >= {threshold} / (1 + {threshold}) * (size({a}) + size({b})) - 1e-9)"
-
-    similar = f"if(size(lines[i].at_words) > 0 and size(lines[j].at_words) > 0, {alike('at_words')}, size(lines[i].all_of_few) > 0 and size(lines[j].all_of_few) > 0 and {alike('all_of_few')})"
+    a, b = "lines[i].shingles", "lines[j].shingles"
+    sizes = f"least(size({a}), size({b})) >= {threshold} * greatest(size({a}), size({b})) - 1e-9"
+    similar = f"({sizes} and size(array_intersect({a}, {b})) >= {threshold} / (1 + {threshold}) * (size({a}) + size({b})) - 1e-9)"
     joined = f"aggregate(sequence(0, i - 1), array(label[i]), (met, j) -> if(array_contains(met, label[j]) or not {similar}, met, array_append(met, label[j])))"
     renamed = f"transform(array({joined}), met -> if(size(met) = 1, label, transform(label, x -> if(array_contains(met, x), array_min(met), x))))[0]"
     every = "sequence(0, size(lines) - 1)"
@@ -85,10 +79,11 @@ def fuzzy_edges(docs: DataFrame, signed: DataFrame, stash: Stash, threshold: flo
     placed = stash(members.join(sized, "band").withColumn("chunk", F.pmod(F.xxhash64("h", F.lit("chunk")), F.col("m")).cast("int")))
     hashed = lines_of(docs).select("line").withColumn("h", F.xxhash64("line"))
     texts = Sieve(placed, "h").keep(hashed, "h").groupBy("h").agg(F.min("line").alias("line"))
-    sets = shingled(texts, "h")
-    dealt = placed.hint("merge").join(sets, "h").withColumn("other", F.explode(F.expr("if(m = 1, array(0), filter(sequence(0, m - 1), o -> o <> chunk))")))
-    blocks = dealt.groupBy("band", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j")).agg(F.collect_list(F.struct("h", "at_words", "all_of_few")).alias("lines"))
-    labelled = blocks.withColumn("label", _labels(threshold))
+    dealt = placed.hint("merge").join(texts, "h").withColumn("other", F.explode(F.expr("if(m = 1, array(0), filter(sequence(0, m - 1), o -> o <> chunk))")))
+    blocks = dealt.groupBy("band", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j")).agg(F.collect_list(F.struct("h", "line")).alias("lines"))
+    # Texts are dealt, as hashes of all their shingles are eight times as long.
+    sets = blocks.select(F.expr(f"transform(lines, x -> struct(x.h as h, {_hashes('x.line')} as shingles))").alias("lines"))
+    labelled = sets.withColumn("label", _labels(threshold))
     member = labelled.select(F.explode(F.expr("transform(sequence(0, size(lines) - 1), i -> struct(lines[i].h as src, lines[label[i]].h as dst))")).alias("e"))
     return member.select("e.src", "e.dst").filter("src <> dst")
 
@@ -98,9 +93,7 @@ def line_classes(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
 
     Equal lines, and lines whose sets of 8-character shingles have a Jaccard similarity of the threshold or more, are
     linked; of each connected component the line of the least (doc_id, line_no) is kept, which keep_doc_id and
-    keep_line_no name. A line's set are its shingles at words' starts if it and the other have ENOUGH words with one, else
-    all its shingles if both have fewer than FEW; other pairs are of too different lengths. Lines of fewer than 8
-    characters are one shingle.
+    keep_line_no name. Lines of fewer than 8 characters are one shingle.
 
     Signatures are bottom-k MinHash bands: in each of 8 parts of the hash range the ROWS least hashes. A pair at the
     threshold shares a band with a chance of 0.51, so of 8 bands it misses all in 0.3 % of cases. All pairs of lines that
