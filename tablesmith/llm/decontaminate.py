@@ -116,11 +116,10 @@ def index(items: list[tuple[int, str]]) -> list[Lengths]:
     return [Lengths((g[0][4] + g[-1][4] + 1) // 2, g) for g in groups]
 
 
-def _starts(size: int, first: np.ndarray, end: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of windows: at each step of a text, the last one flush with its end; a shorter text is one."""
+def _starts(size: int, first: np.ndarray, end: np.ndarray, fits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of windows of the texts that fit: at each step, the last one flush with the end; a shorter text is one."""
     n = end - first
     step = max(1, size // STEPS)
-    fits = n >= max(1, int(threshold * size))
     first, n = first[fits], n[fits]
     count = np.maximum(0, -(-(n - size) // step)) + 1
     each = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
@@ -136,7 +135,45 @@ def similarity(hashes: np.ndarray, weights: np.ndarray, keys: np.ndarray, key_we
     return both / (int(weights[first].sum()) + int(key_weights.sum()) - both)
 
 
+def anchors(lengths: list[Lengths], threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes, and group and item of each: an item's heaviest shingles, of more than 1 - threshold of its weight.
+
+    A window that has none of them is less similar than the threshold, so that they lead to all passages.
+    """
+    hashes, owners = [np.zeros(0, U)], [np.zeros((0, 2), np.int64)]
+    for g, group in enumerate(lengths):
+        for k, (_, keys, weights, _, _) in enumerate(group.items):
+            order = np.argsort(-weights, kind="stable")
+            n = int(np.searchsorted(np.cumsum(weights[order]), (1 - threshold) * weights.sum() + 1e-9, "right")) + 1
+            hashes.append(keys[order[:n]])
+            owners.append(np.tile([g, k], (len(hashes[-1]), 1)))
+    every, owner = np.concatenate(hashes), np.concatenate(owners)
+    order = np.argsort(every, kind="stable")
+    return every[order], owner[order]
+
+
+def _anchored(found: tuple[np.ndarray, np.ndarray], hashes: np.ndarray, first: np.ndarray, end: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
+    """(text, group, item, first place, last place) of the anchors of an item that a text has."""
+    keys, owners = found
+    some = np.zeros(1 << 20, bool)
+    some[keys & U(len(some) - 1)] = True
+    at = np.flatnonzero(some[hashes & U(len(some) - 1)])
+    low, high = np.searchsorted(keys, hashes[at], "left"), np.searchsorted(keys, hashes[at], "right")
+    full = np.flatnonzero(end > first)
+    text = full[np.maximum(np.searchsorted(first[full], at, "right") - 1, 0)] if len(full) else at
+    right = (high > low) & (at >= first[text]) & (at < end[text])
+    at, text, low, n = at[right], text[right], low[right], (high - low)[right]
+    each = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    ranges: dict[tuple[int, int, int], tuple[int, int]] = {}
+    for d, p, (g, k) in zip(np.repeat(text, n).tolist(), np.repeat(at, n).tolist(), owners[np.repeat(low, n) + each].tolist()):
+        ranges[d, g, k] = (ranges.get((d, g, k), (p, p))[0], p)
+    for key, places in ranges.items():
+        yield *key, *places
+
+
 def _search(lengths: list[Lengths], threshold: float):
+    found_by = anchors(lengths, threshold)
+
     def run(batch: pa.RecordBatch) -> dict:
         text, ids = batch.column("text"), batch.column("doc_id").to_pylist()
         rows: dict[tuple[int, int], tuple] = {}
@@ -145,27 +182,39 @@ def _search(lengths: list[Lengths], threshold: float):
             if not len(hashes):
                 continue
             sums = lane_sums(hashes, weights)
+            whole = sums[1][np.minimum(end, len(hashes))] - sums[1][np.minimum(first, len(hashes))]
+
+            def compare(d: int, low: int, high: int, part: tuple) -> None:
+                """Keep the best window of those from low to high, passing over what has too little of the item's weight."""
+                item, keys, key_weights, _, size = part
+                seg = slice(low, min(int(end[d]), high + size))
+                inside = np.concatenate([[0], np.cumsum(weights[seg] * np.isin(hashes[seg], keys))])
+                starts = np.arange(low, high + 1)
+                stops = np.minimum(starts + size, int(end[d]))
+                enough = inside[stops - low] - inside[starts - low] >= threshold * key_weights.sum() - 1e-9
+                for s, e in zip(starts[enough].tolist(), stops[enough].tolist()):
+                    got = similarity(hashes[s:e], weights[s:e], keys, key_weights)
+                    best = rows.get((i + d, item))
+                    if got >= threshold - 1e-12 and (best is None or (-got, s) < best[:2]):
+                        rows[i + d, item] = (-got, s, s - int(first[d]), e - s + SHINGLE_WORDS - 1)
+
+            for d, g, k, p, q in _anchored(found_by, hashes, first, end):
+                part = lengths[g].items[k]
+                compare(d, max(int(first[d]), p - part[4] + 1), min(int(end[d]) - 1, q), part)
             for group in lengths:
-                start, stop = _starts(group.size, first, end, threshold)
+                fits = (end > first) & (whole >= threshold * min(x[2].sum() for x in group.items) - 1e-9)
+                start, stop = _starts(group.size, first, end, fits)
                 if not len(start):
                     continue
                 for places, k in group.hits(fingerprints(sums, start, stop)):
-                    item, keys, key_weights, _, size = group.items[k]
+                    part = group.items[k]
                     owner = np.searchsorted(first, start[places], "right") - 1
                     while (empty := end[owner] <= start[places]).any():
                         owner = owner - empty
-                    slack = max(1, group.size // STEPS) + abs(group.size - size)
+                    slack = max(1, group.size // STEPS) + abs(group.size - part[4])
                     for d, p in dict.fromkeys(zip(owner.tolist(), start[places].tolist())):
-                        low, high = max(int(first[d]), p - slack), min(int(end[d]) - 1, p + slack)
-                        inside = np.isin(hashes[low : min(int(end[d]), high + size)], keys)
-                        if inside.sum() * 2 < len(keys) * threshold:
-                            continue
-                        for s in range(low, high + 1):
-                            e = min(s + size, int(end[d]))
-                            got = similarity(hashes[s:e], weights[s:e], keys, key_weights)
-                            best = rows.get((i + d, item))
-                            if got >= threshold - 1e-12 and (best is None or (-got, s) < best[:2]):
-                                rows[i + d, item] = (-got, s, s - int(first[d]), e - s + SHINGLE_WORDS - 1)
+                        if (i + d, part[0]) not in rows:
+                            compare(d, max(int(first[d]), p - slack), min(int(end[d]) - 1, p + slack), part)
         found = sorted(rows.items())
         return {
             "doc_id": [ids[d] for (d, _), _ in found],
@@ -182,8 +231,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = SIMIL
     """Items of benchmark(item_id, text) that docs(doc_id, text, ...) hold: one row for each row of docs and item.
 
     Every document's windows of the items' lengths get a 64-bit SimHash of their weighted five-word shingles. Four
-    blocks of 16 bits lead to all items within RADIUS bits. Around each such window the item-sized windows at every
-    word are compared with the item by exact weighted Jaccard similarity; the best is returned if it reaches the
+    blocks of 16 bits lead to all items within RADIUS bits. As that alone misses passages near the threshold, an item's
+    heaviest shingles, without one of which no window can reach it, lead to the others. Around each such place the
+    item-sized windows at every word are compared with the item by exact weighted Jaccard similarity; the best is returned if it reaches the
     threshold, with its first word, its number of words and the similarity.
 
     The documents are the large side and never shuffled; the benchmark goes to the tasks in blocks of ITEMS items, a
