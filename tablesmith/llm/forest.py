@@ -1,4 +1,4 @@
-"""N-gram Jaccard join by a MinHash LSH forest with exact verification."""
+"""N-gram Jaccard join by MinHash bands, in place of an LSH forest, with exact verification."""
 
 from __future__ import annotations
 
@@ -25,7 +25,7 @@ def recall(prefix: int, trees: int = TREES, similarity: float = SIMILARITY) -> f
 
 
 def matched_prefix(trees: int = TREES, depth: int = DEPTH, similarity: float = SIMILARITY, target: float = RECALL) -> int:
-    """Shorten the matched prefix from the tries' depth until the forest reaches the target recall."""
+    """The longest prefix, of up to depth values, that reaches the target recall."""
     prefix = depth
     while prefix > 1 and recall(prefix, trees, similarity) < target:
         prefix -= 1
@@ -131,8 +131,9 @@ def jaccard_join(docs: DataFrame, threshold: float = SIMILARITY, trees: int = TR
     """Near-duplicate classes of docs(doc_id, text, ...) on five-word shingles: (doc_id, class_id, rep_id, n_links).
 
     Texts that are equal are one class from the start, represented by their least doc_id (rep_id). Each different text
-    gets a MinHash signature in every tree of the forest; the matched prefix shortens from the tries' depth to the
-    longest that gives the target recall at the threshold. Texts that meet in a trie's node become one candidate
+    gets one key a tree, of its first MinHash values there; their number is the longest prefix up to depth that gives the
+    target recall at the threshold by formula. This is banding and stands in for a forest: no trie is built and nothing
+    is shortened on the data. Texts that share a key become one candidate
     family (star edges and union-find, so a node of any size makes a row a text). Inside a family all pairs are
     verified exactly in blocks of 256 x 256 texts, of which only link counts and a spanning forest leave the task.
     class_id is the least doc_id of the linked texts, n_links how many different texts are as similar as the threshold.
