@@ -7,7 +7,11 @@ import bz2
 import lzma
 import re
 import zlib
+from codecs import getincrementaldecoder
 from collections import deque
+from collections.abc import Iterator
+from hashlib import blake2b
+from itertools import chain, tee
 
 import numpy as np
 import pyarrow as pa
@@ -18,8 +22,11 @@ from tablesmith.llm.common import arrow_batches, map_rows, text_of
 from tablesmith.llm.findings import FINDING, ordered
 
 KINDS = ("assign", "access", "hex")
-#: Bytes that one compressed layer may unwrap to; a longer one is no layer (a decompression bomb).
-LAYER_BYTES = 1 << 26
+#: Bytes of a compressed layer that are held and scanned at once; of a longer one parts of this length follow each other,
+#: each with the last OVERLAP bytes of the one before.
+LAYER_BYTES, OVERLAP = 1 << 26, 1 << 24
+#: Bytes that a stream unwraps to at a time.
+PIECE = 1 << 20
 
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
@@ -112,67 +119,151 @@ def _escapes(layer: Layer) -> Layer | None:
     return _rewritten(layer, pieces, "unicode") if pieces else None
 
 
-def _inflated(raw: bytes) -> tuple[bytes, str] | None:
-    """What a gzip, zlib, bz2 or xz stream unwraps to, and its kind."""
-    kinds = ((b"\x1f\x8b", "gzip", lambda: zlib.decompressobj(31)), (b"\x78", "zlib", zlib.decompressobj), (b"BZh", "bz2", bz2.BZ2Decompressor), (b"\xfd7zXZ\x00", "xz", lzma.LZMADecompressor))
-    for magic, name, unpacker in kinds:
-        if raw.startswith(magic):
+_PACKED = ((b"\x1f\x8b", "gzip", lambda: zlib.decompressobj(31)), (b"\x78", "zlib", zlib.decompressobj), (b"BZh", "bz2", bz2.BZ2Decompressor), (b"\xfd7zXZ\x00", "xz", lzma.LZMADecompressor))
+_BROKEN = (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError)
+#: Stands between the pieces of two streams.
+_NEXT = None
+
+
+def _unpacked(pieces: Iterator[bytes], new) -> Iterator[bytes | None]:
+    """What a stream and those right behind it unwrap to, in pieces; an error if the first one is broken or cut off."""
+    first, data = True, b""
+    while new:
+        unpack = new()
+        try:
+            while not unpack.eof:
+                if not data and getattr(unpack, "needs_input", True) and not (data := next(pieces, b"")):
+                    raise EOFError
+                out = unpack.decompress(data, PIECE)
+                data = getattr(unpack, "unconsumed_tail", b"")
+                if out:
+                    yield out
+        except _BROKEN:
+            if first:
+                raise
+            return
+        first, data = False, unpack.unused_data.lstrip(b"\0")
+        while len(data) < 6 and (more := next(pieces, b"")):
+            data = (data + more).lstrip(b"\0")
+        new = next((n for magic, _, n in _PACKED if data.startswith(magic)), None)
+        if new:
+            yield _NEXT
+
+
+def _inflated(pieces: Iterator[bytes | None]) -> tuple[str, Iterator[bytes | None]] | None:
+    """The kind of the gzip, zlib, bz2 or xz streams that the pieces are, and what they unwrap to."""
+    head = b""
+    taken = []
+    for piece in pieces:
+        taken.append(piece)
+        head += piece or b""
+        if len(head) >= 6:
+            break
+    pieces = chain(taken, pieces)
+    for magic, name, new in _PACKED:
+        if head.startswith(magic):
+            pieces, kept = tee(pieces)
+            out, held = _unpacked((x for x in pieces if x), new), []
             try:
-                out = (unpack := unpacker()).decompress(raw, LAYER_BYTES)
-            except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
+                size = 0
+                while size <= LAYER_BYTES and (piece := next(out, b"")) != b"":
+                    held.append(piece)
+                    size += len(piece or b"")
+            except _BROKEN:
+                pieces = kept
                 continue
-            if unpack.eof:
-                return out, name
+            del kept
+            return name, chain(held, out)
     return None
 
 
-def _readable(raw: bytes) -> str | None:
+def _parts(pieces: Iterator[bytes | None]) -> Iterator[bytes]:
+    """The pieces joined, in parts that overlap if they are long; then each of several streams for itself."""
+    part, ends = bytearray(), []
+    for piece in pieces:
+        if piece is _NEXT:
+            ends.append(len(part))
+            continue
+        part += piece
+        if len(part) > LAYER_BYTES:
+            yield from _streams(part, ends)
+            cut = len(part) - OVERLAP
+            part, ends = part[cut:], [x - cut for x in ends if x > cut]
+            while part and part[0] & 0xC0 == 0x80:
+                part, ends = part[1:], [x - 1 for x in ends]
+    yield from _streams(part, ends)
+
+
+def _streams(part: bytearray, ends: list[int]) -> Iterator[bytes]:
+    whole = bytes(part)
+    yield whole
+    if ends:
+        yield from (whole[i:j] for i, j in zip([0, *ends], [*ends, len(whole)]))
+
+
+def _readable(raw: bytes, cut: bool = False) -> str | None:
+    """raw as text; cut: the last character may be incomplete."""
     try:
-        text = raw.decode()
+        text = getincrementaldecoder("utf-8")().decode(raw, not cut)
     except UnicodeDecodeError:
         return None
     return text if text and sum(c.isprintable() or c in "\t\n\r" for c in text) >= 0.95 * len(text) else None
 
 
-def _blobs(layer: Layer) -> list[Layer]:
+def _blobs(layer: Layer) -> list[Iterator[Layer]]:
     out = []
     for m in _BASE64.finditer(layer.text):
         body = m[0].rstrip("=").translate(_URL_SAFE)
         if len(body) % 4 == 1:
             continue
         raw = base64.b64decode(body + "=" * (-len(body) % 4))
-        squeezed, starts, ends = _inflated(raw), *layer.bounds()
+        squeezed, starts, ends = _inflated(iter([raw])), *layer.bounds()
         if squeezed:
-            via = "base64"
-            while squeezed:
-                raw, via = squeezed[0], f"{via}>{squeezed[1]}"
-                squeezed = _inflated(raw)
-            if (text := _readable(raw)) is not None:
-                low, high = layer.source(*m.span())
-                out.append(Layer(text, np.full(len(text), low), np.full(len(text), high), f"{layer.via}>{via}"))
+            out.append(_unwrapped(squeezed, f"{layer.via}>base64", *layer.source(*m.span())))
         elif (text := _readable(raw)) is not None:
             width = np.array([len(c.encode()) for c in text])
             high = np.cumsum(width)
             first = m.start() + (high - width) * 4 // 3
             last = np.minimum(m.start() + -(-high * 4 // 3), m.start() + len(body))
-            out.append(Layer(text, starts[first], ends[last - 1], f"{layer.via}>base64"))
+            out.append(iter([Layer(text, starts[first], ends[last - 1], f"{layer.via}>base64")]))
     return out
 
 
+def _unwrapped(squeezed: tuple[str, Iterator[bytes | None]], via: str, low: int, high: int) -> Iterator[Layer]:
+    """Layers of a compressed blob with the span from low to high, made as they are scanned."""
+    while squeezed:
+        name, pieces = squeezed
+        via = f"{via}>{name}"
+        pieces, ahead = tee(pieces)
+        squeezed = _inflated(ahead)
+        if squeezed:
+            del pieces
+    del ahead
+    for raw in _parts(pieces):
+        if inner := _inflated(iter([raw])):
+            yield from _unwrapped(inner, via, low, high)
+        elif (text := _readable(raw, len(raw) > LAYER_BYTES)) is not None:
+            yield Layer(text, np.broadcast_to(np.int64(low), len(text)), np.broadcast_to(np.int64(high), len(text)), via)
+
+
 def find(text: str) -> list[dict]:
     """All findings of a text: those of the base patterns, and those in layers that decoding unwraps."""
     found: dict[tuple[str, int, int], dict] = {}
-    work, seen = deque([Layer(text, None, None, "text")]), set()
+    work, seen = deque([iter([Layer(text, None, None, "text")])]), set()
     while work:
-        layer = work.popleft()
-        whole = (layer.source(0, len(layer.text)), layer.text) if layer.text else None
+        if (layer := next(work[0], None)) is None:
+            work.popleft()
+            continue
+        # Long layers are remembered by a digest, so that no more than one part of them is held.
+        mark = layer.text if len(layer.text) < 1 << 16 else blake2b(layer.text.encode("utf-8", "surrogatepass")).digest()
+        whole = (layer.source(0, len(layer.text)), mark) if layer.text else None
         if whole is None or whole in seen:
             continue
         seen.add(whole)
         for kind, start, end in base_spans(layer.text):
             span = (kind, *layer.source(start, end))
             found.setdefault(span, {"kind": kind, "start": span[1], "end": span[2], "base": layer.starts is None, "via": layer.via, "value": layer.text[start:end]})
-        work.extend(x for x in (_percent(layer), _escapes(layer), *_blobs(layer)) if x)
+        work.extend([iter([x]) for x in (_percent(layer), _escapes(layer)) if x] + _blobs(layer))
     return ordered(list(found.values()), KINDS)
 
 
@@ -181,7 +272,8 @@ def scan(docs: DataFrame) -> DataFrame:
 
     A worklist starts with the text. Each layer is scanned with the base patterns, then unwrapped: runs of %XX and of
     Unicode escapes are decoded in place, base64 (and its URL-safe form) of 16 characters or more becomes a layer of
-    its own if it holds readable text or a gzip, zlib, bz2 or xz stream of such. New layers join the list until none
+    its own if it holds readable text or gzip, zlib, bz2 or xz streams of such, one after another and of any length. Parts
+    of LAYER_BYTES that overlap by OVERLAP are scanned of a longer one, so that only a longer run can be cut. New layers join the list until none
     is left; a layer that was seen with the same span is not taken twice, which ends cycles. A finding's start and end
     are the code points of the document behind it; in a compressed layer that is the whole blob. Findings are ordered
     by start, then kind.
