@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 from itertools import combinations
 
+import numpy as np
 import pytest
 
 from tablesmith.llm import forest
@@ -32,9 +33,29 @@ def classes(pairs, nodes):
 
 
 def test_prefixes_shorten_until_the_target_recall():
-    prefix = forest.matched_prefix()
-    assert forest.recall(prefix) >= forest.RECALL > forest.recall(prefix + 1) and prefix < forest.DEPTH
-    assert forest.matched_prefix(similarity=0.5) < prefix and forest.matched_prefix(trees=1, target=1.0) == 1
+    floor = forest.matched_prefix()
+    assert forest.recall(floor) >= forest.RECALL > forest.recall(floor + 1) and floor < forest.DEPTH
+    assert forest.matched_prefix(similarity=0.5) < floor and forest.matched_prefix(trees=1, target=1.0) == 1
+    assert forest.next_prefix(10, None) == floor == forest.next_prefix(10, 0.8) and forest.next_prefix(floor, 0.8) is None
+    for lowest in (0.8, 0.85, 0.9, 0.99):
+        prefix, seen = forest.DEPTH, []
+        while prefix:
+            seen.append(prefix)
+            prefix = forest.next_prefix(prefix, lowest)
+        assert seen == sorted(set(seen), reverse=True) and seen[-1] == floor
+    assert forest.next_prefix(10, 0.9) > floor
+
+
+def test_labels_share_prefixes_as_often_as_similarity_asks():
+    rng = np.random.default_rng(4)
+    values, at = [], [0]
+    for _ in range(300):  # pairs of sets with similarity 0.8
+        both = rng.integers(0, 1 << 63, 80)
+        values += [np.sort(np.concatenate([both, rng.integers(0, 1 << 63, 10)])) for _ in range(2)]
+        at += [at[-1] + 90, at[-1] + 180]
+    found = forest.labels(np.concatenate(values).astype(np.uint64), np.array(at), 24, 10)
+    same = (found[::2] ^ found[1::2]) >> np.uint64(6 * 4) == 0
+    assert abs(same.mean() - 0.8**6) < 0.03 and same.any(1).mean() >= 0.99
 
 
 @pytest.fixture(scope="module")
