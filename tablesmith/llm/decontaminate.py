@@ -16,15 +16,15 @@ from tablesmith.llm.common import arrow_batches, map_rows, text_of
 from tablesmith.llm.words import SHINGLE_WORDS, SIMILARITY, U, chunks, ngram_hashes, spans, utf8, word_hashes
 
 #: Bits that a fingerprint may differ in, of 64 in four blocks of 16: one block then differs in RADIUS // 4 bits at most.
-RADIUS, BLOCKS = 15, 4
+RADIUS, BLOCKS = 7, 4
 #: Lengths up to this ratio share windows; windows start at every eighth part of their length.
 ALIKE, STEPS = 1.08, 8
-#: Items of one pass over the documents; more items take more passes.
-ITEMS = 4096
+#: Items of one pass over the documents, whose index takes some 100 MB; more items take more passes.
+ITEMS = 1 << 16
 #: A shingle's weight: the mean length of its words in bytes, in whole numbers up to this.
 HEAVIEST = 8
-#: Shingles of an item that are searched as one; a longer item is searched in parts of this length, and any part counts.
-LONGEST = 4096
+#: Shingles of a window from which its weights may overflow a lane of 16 bits, so that its lanes are summed one by one.
+WIDE = (1 << 16) // HEAVIEST
 MATCH = "doc_id long, item_id long, start_word long, n_words long, similarity double"
 
 
@@ -66,54 +66,82 @@ def fingerprints(sums: tuple[np.ndarray, np.ndarray], start: np.ndarray, end: np
     return np.packbits(window.view(np.uint16) > half[:, None], axis=1, bitorder="little").view(U).reshape(-1)
 
 
-class Lengths:
-    """Items of about one length, with tables from a block's value to the items that it may belong to."""
+def wide_fingerprints(hashes: np.ndarray, weights: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """fingerprints() of windows of any weight: one running sum after the other, so that memory does not grow with the lanes."""
+    total = np.concatenate([[0], np.cumsum(weights)])
+    half, out = (total[end] - total[start]) // 2, np.zeros(len(start), U)
+    for bit in range(64):
+        lane = np.concatenate([[0], np.cumsum(weights * (hashes >> U(bit) & U(1)).astype(np.int64))])
+        out |= (lane[end] - lane[start] > half).astype(U) << U(bit)
+    return out
 
-    def __init__(self, size: int, items: list[tuple[int, np.ndarray, np.ndarray, int, int]]):
-        self.size, self.items = size, items
+
+class Index:
+    """Items grouped by about their length, with a multi-index from a length and a block's value to the items that may be near.
+
+    An entry leads from the number of a group of lengths, a block and each of its values within RADIUS // BLOCKS bits of
+    an item's to that item. Any two fingerprints within RADIUS bits agree in a block but for so many bits, so entries
+    lead to all of them. What a look-up costs does not depend on the number of items, but for those that it finds.
+    """
+
+    def __init__(self, items: list[tuple[int, np.ndarray, np.ndarray, int, int]]):
+        """items: (item_id, distinct shingles, their weights, fingerprint, number of shingles), sorted by that number."""
+        self.items = items
         self.prints = np.array([x[3] for x in items], U)
-        near = [sum(1 << b for b in bits) for r in range(RADIUS // BLOCKS + 1) for bits in combinations(range(16), r)]
-        self.kind = next(k for k in (np.uint8, np.uint16, np.uint32, U) if len(items) <= 8 * np.dtype(k).itemsize)
-        self.tables = np.zeros((BLOCKS, 1 << 16), self.kind)
-        for k, value in enumerate(self.prints.tolist()):
-            for block in range(BLOCKS):
-                self.tables[block, (value >> 16 * block & 0xFFFF) ^ np.array(near)] |= self.kind(1 << k)
-
-    def hits(self, prints: np.ndarray) -> list[tuple[np.ndarray, int]]:
-        """For each item, the prints within RADIUS: all of them, as one of four blocks must be near."""
+        #: For each group: the first item's place; and what is searched with: the windows' length and the least weight.
+        self.bounds = [0] if items else []
+        for k, x in enumerate(items):
+            shortest = items[self.bounds[-1]][4]
+            if x[4] > max(shortest + 0.5, ALIKE * shortest):
+                self.bounds.append(k)
+        self.bounds.append(len(items))
+        ranges = list(zip(self.bounds, self.bounds[1:]))
+        self.sizes = [(items[i][4] + items[j - 1][4] + 1) // 2 for i, j in ranges]
+        self.least = [min(int(x[2].sum()) for x in items[i:j]) for i, j in ranges]
+        near = np.array([sum(1 << b for b in bits) for r in range(RADIUS // BLOCKS + 1) for bits in combinations(range(16), r)], U)
+        group = np.repeat(np.arange(len(ranges), dtype=U), [j - i for i, j in ranges])
+        keys = [(group << U(18) | U(block << 16))[:, None] | (self.prints >> U(16 * block) & U(0xFFFF))[:, None] ^ near for block in range(BLOCKS)]
+        key = np.concatenate(keys).reshape(-1) if items else np.zeros(0, U)
+        owner = np.tile(np.repeat(np.arange(len(items), dtype=np.uint32), len(near)), BLOCKS)
+        order = np.argsort(key, kind="stable")
+        self.keys, self.owners = key[order], owner[order]
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "_some"}
+
+    def hits(self, group: int, prints: np.ndarray) -> list[tuple[int, int]]:
+        """(print, item) by places, of all prints and items of a group of lengths within RADIUS."""
+        if "_some" not in self.__dict__:
+            self._some = np.zeros(len(self.sizes) << 18, bool)
+            self._some[self.keys] = True
+        out: set[tuple[int, int]] = set()
         words = prints.view(np.uint16).reshape(-1, BLOCKS)
-        mask = np.take(self.tables[0], words[:, 0])
-        for block in range(1, BLOCKS):
-            mask |= np.take(self.tables[block], words[:, block])
-        some = np.flatnonzero(mask)
-        mask, prints = mask[some], prints[some]
-        out = []
-        for k, item in enumerate(self.prints):
-            mine = np.flatnonzero(mask & self.kind(1 << k))
-            mine = mine[np.bitwise_count(prints[mine] ^ item) <= RADIUS]
-            if len(mine):
-                out.append((some[mine], k))
-        return out
-
-
-def index(items: list[tuple[int, str]]) -> list[Lengths]:
-    """Groups of up to 64 items of lengths within ALIKE of the shortest, each item by its own whole fingerprint."""
+        for block in range(BLOCKS):
+            some = np.take(self._some[(group << 18) + (block << 16) :][: 1 << 16], words[:, block])
+            place = np.flatnonzero(some)
+            if len(place):
+                key = words[place, block].astype(U) | U((group << 18) + (block << 16))
+                low = np.searchsorted(self.keys, key, "left")
+                n = np.searchsorted(self.keys, key, "right") - low
+                each = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                place, item = np.repeat(place, n), self.owners[np.repeat(low, n) + each]
+                near = np.bitwise_count(prints[place] ^ self.prints[item]) <= RADIUS
+                out.update(zip(place[near].tolist(), item[near].tolist()))
+        return sorted(out)
+
+
+def index(items: list[tuple[int, str]]) -> Index:
+    """An index of items, each by its own whole fingerprint; items of no shingle are left out."""
     made = []
-    for item, text in items:
-        hashes, weights, _, end = weighted_shingles(pa.array([text or ""], pa.large_string()))
-        if end[0]:
-            for low in range(0, int(end[0]), LONGEST):
-                high = min(int(end[0]), low + LONGEST)
-                print_ = fingerprints(lane_sums(hashes, weights), np.array([low]), np.array([high]))[0]
-                keys, first = np.unique(hashes[low:high], return_index=True)
-                made.append((item, keys, weights[low:high][first], int(print_), high - low))
-    made.sort(key=lambda x: x[4])
-    groups: list[list] = []
-    for x in made:
-        if not groups or x[4] > max(groups[-1][0][4] + 0.5, ALIKE * groups[-1][0][4]) or len(groups[-1]) == 64:
-            groups.append([])
-        groups[-1].append(x)
-    return [Lengths((g[0][4] + g[-1][4] + 1) // 2, g) for g in groups]
+    for low in range(0, len(items), 512):
+        some = items[low : low + 512]
+        hashes, weights, first, end = weighted_shingles(pa.array([text or "" for _, text in some], pa.large_string()))
+        full = np.flatnonzero(end > first)
+        prints = wide_fingerprints(hashes, weights, first[full], end[full])
+        for k, print_ in zip(full.tolist(), prints.tolist()):
+            keys, at = np.unique(hashes[first[k] : end[k]], return_index=True)
+            made.append((some[k][0], keys, weights[first[k] : end[k]][at].astype(np.uint8), print_, int(end[k] - first[k])))
+    return Index(sorted(made, key=lambda x: x[4]))
 
 
 def _starts(size: int, first: np.ndarray, end: np.ndarray, fits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -135,25 +163,24 @@ def similarity(hashes: np.ndarray, weights: np.ndarray, keys: np.ndarray, key_we
     return both / (int(weights[first].sum()) + int(key_weights.sum()) - both)
 
 
-def anchors(lengths: list[Lengths], threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes, and group and item of each: an item's heaviest shingles, of more than 1 - threshold of its weight.
+def anchors(found: Index, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes, and the item of each: an item's heaviest shingles, of more than 1 - threshold of its weight.
 
     A window that has none of them is less similar than the threshold, so that they lead to all passages.
     """
-    hashes, owners = [np.zeros(0, U)], [np.zeros((0, 2), np.int64)]
-    for g, group in enumerate(lengths):
-        for k, (_, keys, weights, _, _) in enumerate(group.items):
-            order = np.argsort(-weights, kind="stable")
-            n = int(np.searchsorted(np.cumsum(weights[order]), (1 - threshold) * weights.sum() + 1e-9, "right")) + 1
-            hashes.append(keys[order[:n]])
-            owners.append(np.tile([g, k], (len(hashes[-1]), 1)))
+    hashes, owners = [np.zeros(0, U)], [np.zeros(0, np.int64)]
+    for k, (_, keys, weights, _, _) in enumerate(found.items):
+        order = np.argsort(-weights.astype(np.int64), kind="stable")
+        n = int(np.searchsorted(np.cumsum(weights[order], dtype=np.int64), (1 - threshold) * weights.sum() + 1e-9, "right")) + 1
+        hashes.append(keys[order[:n]])
+        owners.append(np.full(len(hashes[-1]), k))
     every, owner = np.concatenate(hashes), np.concatenate(owners)
     order = np.argsort(every, kind="stable")
     return every[order], owner[order]
 
 
-def _anchored(found: tuple[np.ndarray, np.ndarray], hashes: np.ndarray, first: np.ndarray, end: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
-    """(text, group, item, first place, last place) of the anchors of an item that a text has."""
+def _anchored(found: tuple[np.ndarray, np.ndarray], hashes: np.ndarray, first: np.ndarray, end: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+    """(text, item, first place, last place) of the anchors of an item that a text has."""
     keys, owners = found
     some = np.zeros(1 << 20, bool)
     some[keys & U(len(some) - 1)] = True
@@ -164,15 +191,15 @@ def _anchored(found: tuple[np.ndarray, np.ndarray], hashes: np.ndarray, first: n
     right = (high > low) & (at >= first[text]) & (at < end[text])
     at, text, low, n = at[right], text[right], low[right], (high - low)[right]
     each = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    ranges: dict[tuple[int, int, int], tuple[int, int]] = {}
-    for d, p, (g, k) in zip(np.repeat(text, n).tolist(), np.repeat(at, n).tolist(), owners[np.repeat(low, n) + each].tolist()):
-        ranges[d, g, k] = (ranges.get((d, g, k), (p, p))[0], p)
+    ranges: dict[tuple[int, int], tuple[int, int]] = {}
+    for d, p, k in zip(np.repeat(text, n).tolist(), np.repeat(at, n).tolist(), owners[np.repeat(low, n) + each].tolist()):
+        ranges[d, k] = (ranges.get((d, k), (p, p))[0], p)
     for key, places in ranges.items():
         yield *key, *places
 
 
-def _search(lengths: list[Lengths], threshold: float):
-    found_by = anchors(lengths, threshold)
+def _search(found: Index, threshold: float):
+    found_by = anchors(found, threshold)
 
     def run(batch: pa.RecordBatch) -> dict:
         text, ids = batch.column("text"), batch.column("doc_id").to_pylist()
@@ -184,6 +211,8 @@ def _search(lengths: list[Lengths], threshold: float):
             sums = lane_sums(hashes, weights)
             whole = sums[1][np.minimum(end, len(hashes))] - sums[1][np.minimum(first, len(hashes))]
 
+            owner_of = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(hashes) + SHINGLE_WORDS - 1)))
+
             def compare(d: int, low: int, high: int, part: tuple) -> None:
                 """Keep the best window of those from low to high, passing over what has too little of the item's weight."""
                 item, keys, key_weights, _, size = part
@@ -198,30 +227,28 @@ def _search(lengths: list[Lengths], threshold: float):
                     if got >= threshold - 1e-12 and (best is None or (-got, s) < best[:2]):
                         rows[i + d, item] = (-got, s, s - int(first[d]), e - s + SHINGLE_WORDS - 1)
 
-            for d, g, k, p, q in _anchored(found_by, hashes, first, end):
-                part = lengths[g].items[k]
+            for d, k, p, q in _anchored(found_by, hashes, first, end):
+                part = found.items[k]
                 compare(d, max(int(first[d]), p - part[4] + 1), min(int(end[d]) - 1, q), part)
-            for group in lengths:
-                fits = (end > first) & (whole >= threshold * min(x[2].sum() for x in group.items) - 1e-9)
-                start, stop = _starts(group.size, first, end, fits)
+            for group, (size, least) in enumerate(zip(found.sizes, found.least)):
+                fits = (end > first) & (whole >= threshold * least - 1e-9)
+                start, stop = _starts(size, first, end, fits)
                 if not len(start):
                     continue
-                for places, k in group.hits(fingerprints(sums, start, stop)):
-                    part = group.items[k]
-                    owner = np.searchsorted(first, start[places], "right") - 1
-                    while (empty := end[owner] <= start[places]).any():
-                        owner = owner - empty
-                    slack = max(1, group.size // STEPS) + abs(group.size - part[4])
-                    for d, p in dict.fromkeys(zip(owner.tolist(), start[places].tolist())):
-                        if (i + d, part[0]) not in rows:
-                            compare(d, max(int(first[d]), p - slack), min(int(end[d]) - 1, p + slack), part)
-        found = sorted(rows.items())
+                prints = fingerprints(sums, start, stop) if size < WIDE else wide_fingerprints(hashes, weights, start, stop)
+                for window, k in found.hits(group, prints):
+                    part, p = found.items[k], int(start[window])
+                    d = int(owner_of[p])
+                    slack = max(1, size // STEPS) + abs(size - part[4])
+                    if (i + d, part[0]) not in rows:
+                        compare(d, max(int(first[d]), p - slack), min(int(end[d]) - 1, p + slack), part)
+        held = sorted(rows.items(), key=lambda x: (x[0][0], x[0][1] is None, x[0][1] or 0))
         return {
-            "doc_id": [ids[d] for (d, _), _ in found],
-            "item_id": [item for (_, item), _ in found],
-            "start_word": [x[2] for _, x in found],
-            "n_words": [x[3] for _, x in found],
-            "similarity": [-x[0] for _, x in found],
+            "doc_id": [ids[d] for (d, _), _ in held],
+            "item_id": [item for (_, item), _ in held],
+            "start_word": [x[2] for _, x in held],
+            "n_words": [x[3] for _, x in held],
+            "similarity": [-x[0] for _, x in held],
         }
 
     return run
@@ -236,12 +263,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = SIMIL
     item-sized windows at every word are compared with the item by exact weighted Jaccard similarity; the best is returned if it reaches the
     threshold, with its first word, its number of words and the similarity.
 
-    The documents are the large side and never shuffled; the benchmark goes to the tasks in blocks of ITEMS items, a
-    pass over the documents for each, so that a large benchmark needs more passes and no more memory. Letters are compared in lower
-    case. Null is the empty text. Texts and items of fewer than five words have no shingles and never match. Very long texts are
-    searched whole. An item of over LONGEST shingles is found
-    by any of its parts. Repeated rows of docs give the same rows twice; repeated items are items of their own. Extra
-    columns are ignored; an empty table of either kind gives no rows.
+    The documents are the large side and never shuffled. The benchmark goes to the tasks as one index, in one pass over the
+    documents, up to ITEMS items; for each such number more there is a further pass, so that memory stays bounded. Letters are
+    compared in lower case. Null is the empty text. Texts and items of fewer than five words have no shingles and never
+    match. Very long texts are searched whole, and for very long items as a whole. Repeated rows of docs give the same rows twice;
+    items that repeat an item_id give one row, that of the best. Extra columns are ignored; an empty table of either
+    kind gives no rows.
     """
     arrow_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pyarrow as pa
 
 from tablesmith.llm import decontaminate
@@ -36,3 +37,41 @@ def test_no_passage_near_the_threshold_is_lost():
     want = {(d, d % 30): s for d, text in enumerate(docs) if (s := brute(text, items[d % 30][1])) >= 0.8}
     got = found(docs, items)
     assert len(want) > 300 and set(want) == set(got) and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_blocks_lead_to_all_prints_within_the_radius():
+    rng = np.random.default_rng(8)
+    prints = rng.integers(0, 1 << 63, 500).astype(np.uint64)
+    made = [(k, np.array([k], np.uint64), np.array([1], np.uint8), int(p), n) for k, (p, n) in enumerate(zip(prints, sorted(rng.integers(1, 400, 500).tolist())))]
+    found = decontaminate.Index(made)
+    asked = prints[rng.integers(0, 500, 3000)]
+    for _ in range(10):
+        asked = np.where(rng.random(3000) < 0.8, asked ^ np.uint64(1) << rng.integers(0, 64, 3000).astype(np.uint64), asked)
+    for group, (low, high) in enumerate(zip(found.bounds, found.bounds[1:])):
+        near = np.bitwise_count(asked[:, None] ^ prints[None, low:high]) <= decontaminate.RADIUS
+        assert found.hits(group, asked) == [(int(a), int(b) + low) for a, b in np.argwhere(near)]
+    sizes = np.array([x[4] for x in made])
+    for low, high in zip(found.bounds, found.bounds[1:]):
+        assert sizes[high - 1] <= max(sizes[low] + 0.5, decontaminate.ALIKE * sizes[low])
+
+
+def test_very_long_items_are_searched_whole():
+    rng = random.Random(2)
+    words = [rng.choice(WORDS) + rng.choice(WORDS) for _ in range(9500)]
+    cut = list(words)
+    for k in range(0, 9500, 400):
+        cut[k] = "other"
+    docs = [" ".join(["before"] * 30 + cut + ["after"] * 50), " ".join(words[:5000]), "short"]
+    got = found(docs, [(1, " ".join(words)), (2, " ".join(words[100:160]))])
+    assert set(got) == {(0, 1), (0, 2), (1, 2)} and abs(got[0, 1] - brute_whole(cut, words)) < 0.02
+
+
+def brute_whole(a, b):
+    x, y = ({tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (a, b))
+    return len(x & y) / len(x | y)
+
+
+def test_wide_and_narrow_fingerprints_agree():
+    hashes, weights, first, end = decontaminate.weighted_shingles(pa.array([" ".join(random.Random(1).choices(WORDS, k=3000))], pa.large_string()))
+    start = np.arange(0, 2000, 100)
+    assert (decontaminate.fingerprints(decontaminate.lane_sums(hashes, weights), start, start + 700) == decontaminate.wide_fingerprints(hashes, weights, start, start + 700)).all()
