@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablesmith.llm.common import arrow_batches, map_rows, text_of
+from tablesmith.llm.common import map_rows, text_of
 from tablesmith.llm.findings import FINDING, ordered
 
 KINDS = ("assign", "access", "hex")
@@ -51,13 +51,19 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 class Layer:
-    """A text unwrapped from the document, with the document's span behind each of its characters."""
+    """A text unwrapped from the document, with the document's span behind each of its characters, or one behind them all."""
 
-    def __init__(self, text: str, starts: np.ndarray | None, ends: np.ndarray | None, via: str):
-        self.text, self.starts, self.ends, self.via = text, starts, ends, via
+    def __init__(self, text: str, via: str, starts: np.ndarray | None = None, ends: np.ndarray | None = None, span: tuple[int, int] | None = None):
+        self.text, self.via, self.starts, self.ends, self.span = text, via, starts, ends, span
+
+    @property
+    def is_document(self) -> bool:
+        return self.starts is None and self.span is None
 
     def source(self, start: int, end: int) -> tuple[int, int]:
         """The document's span behind characters start to end (end exclusive, at least one)."""
+        if self.span is not None:
+            return self.span
         return (start, end) if self.starts is None else (int(self.starts[start]), int(self.ends[end - 1]))
 
     def bounds(self) -> tuple[np.ndarray, np.ndarray]:
@@ -66,38 +72,48 @@ class Layer:
             return at, at + 1
         return self.starts, self.ends
 
+    def derived(self, text: str, via: str, first: np.ndarray, last: np.ndarray) -> Layer:
+        """A layer whose characters come from characters first to last (inclusive) of this one."""
+        via = f"{self.via}>{via}"
+        if self.span is not None:
+            return Layer(text, via, span=self.span)
+        starts, ends = self.bounds()
+        return Layer(text, via, starts[first], ends[last])
+
 
 def _rewritten(layer: Layer, pieces: list[tuple[int, int, list[tuple[str, int, int]]]], via: str) -> Layer:
     """The layer with each (start, end) replaced by characters that have spans of their own in the layer."""
-    starts, ends = layer.bounds()
     text, first, last, at = [], [], [], 0
     for start, end, decoded in pieces:
         text.append(layer.text[at:start])
-        first.append(starts[at:start])
-        last.append(ends[at:start])
         text += [c for c, _, _ in decoded]
-        first.append(starts[[i for _, i, _ in decoded]])
-        last.append(ends[[j - 1 for _, _, j in decoded]])
+        if layer.span is None:
+            kept = np.arange(at, start)
+            first += [kept, np.array([i for _, i, _ in decoded], np.int64)]
+            last += [kept, np.array([j - 1 for _, _, j in decoded], np.int64)]
         at = end
     text.append(layer.text[at:])
-    first.append(starts[at:])
-    last.append(ends[at:])
-    return Layer("".join(text), np.concatenate(first), np.concatenate(last), f"{layer.via}>{via}")
+    if layer.span is not None:
+        return Layer("".join(text), f"{layer.via}>{via}", span=layer.span)
+    kept = np.arange(at, len(layer.text))
+    return layer.derived("".join(text), via, np.concatenate([*first, kept]), np.concatenate([*last, kept]))
 
 
 def _percent(layer: Layer) -> Layer | None:
+    """Runs of %XX as UTF-8; bytes that are none stay as they stand."""
     pieces = []
     for m in _PERCENT.finditer(layer.text) if "%" in layer.text else ():
-        try:
-            chars = bytes.fromhex(m[0].replace("%", "")).decode()
-        except UnicodeDecodeError:
-            continue
-        at, decoded = m.start(), []
-        for c in chars:
-            width = 3 * len(c.encode())
-            decoded.append((c, at, at + width))
-            at += width
-        pieces.append((*m.span(), decoded))
+        at, decoded, some = m.start(), [], False
+        for c in bytes.fromhex(m[0].replace("%", "")).decode("utf-8", "surrogateescape"):
+            if "\udc80" <= c <= "\udcff":
+                decoded += [(layer.text[at + k], at + k, at + k + 1) for k in range(3)]
+                at += 3
+            else:
+                width = 3 * len(c.encode())
+                decoded.append((c, at, at + width))
+                at, some = at + width, True
+        if some:
+            pieces.append((*m.span(), decoded))
     return _rewritten(layer, pieces, "url") if pieces else None
 
 
@@ -201,34 +217,76 @@ def _streams(part: bytearray, ends: list[int]) -> Iterator[bytes]:
         yield from (whole[i:j] for i, j in zip([0, *ends], [*ends, len(whole)]))
 
 
-def _readable(raw: bytes, cut: bool = False) -> str | None:
-    """raw as text; cut: the last character may be incomplete."""
-    try:
-        text = getincrementaldecoder("utf-8")().decode(raw, not cut)
-    except UnicodeDecodeError:
-        return None
-    return text if text and sum(c.isprintable() or c in "\t\n\r" for c in text) >= 0.95 * len(text) else None
+def _readable(raw: bytes, cut: bool = False) -> tuple[str, str] | None:
+    """raw as text and its encoding: UTF-8, UTF-16 or a Latin one-byte text; cut: the last character may be incomplete."""
+    kinds = ["utf-8"]
+    if raw[1::2].count(0) * 4 > len(raw) or raw[:2] == b"\xff\xfe":
+        kinds.insert(0, "utf-16-le")
+    elif raw[::2].count(0) * 4 > len(raw) or raw[:2] == b"\xfe\xff":
+        kinds.insert(0, "utf-16-be")
+    for kind in [*kinds, "latin-1"]:
+        try:
+            text = getincrementaldecoder(kind)().decode(raw if kind in ("utf-8", "latin-1") else raw[: len(raw) & ~1], not cut)
+        except UnicodeDecodeError:
+            continue
+        plain = sum(c.isprintable() or c in "\t\n\r\ufeff" for c in text)
+        # One byte a character fits any bytes, so that most of them have to be plain.
+        if text and plain >= 0.95 * len(text) and (kind != "latin-1" or sum(" " <= c <= "~" for c in text) >= 0.8 * len(text)):
+            return text, kind
+    return None
+
+
+#: Runs of printable bytes in what a run of base64 characters decodes to that is no text as a whole.
+_PRINTABLE = re.compile(rb"(?:[\t\n\r\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3}){12,}")
+#: Where a compressed stream may begin.
+_MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00")
 
 
 def _blobs(layer: Layer) -> list[Iterator[Layer]]:
+    """Layers of the base64 runs. If a run is none from its start on, as other characters precede it, it is decoded in the
+    other three steps too, and what is compressed or readable in it is taken."""
     out = []
     for m in _BASE64.finditer(layer.text):
         body = m[0].rstrip("=").translate(_URL_SAFE)
-        if len(body) % 4 == 1:
-            continue
-        raw = base64.b64decode(body + "=" * (-len(body) % 4))
-        squeezed, starts, ends = _inflated(iter([raw])), *layer.bounds()
-        if squeezed:
-            out.append(_unwrapped(squeezed, f"{layer.via}>base64", *layer.source(*m.span())))
-        elif (text := _readable(raw)) is not None:
-            width = np.array([len(c.encode()) for c in text])
-            high = np.cumsum(width)
-            first = m.start() + (high - width) * 4 // 3
-            last = np.minimum(m.start() + -(-high * 4 // 3), m.start() + len(body))
-            out.append(iter([Layer(text, starts[first], ends[last - 1], f"{layer.via}>base64")]))
+        if len(body) % 4 != 1 and (whole := _decoded(layer, body, m.start(), m.end())):
+            out.append(whole)
+        else:
+            for step in range(4):
+                out += _inside(layer, body[step : len(body) - ((len(body) - step) % 4 == 1)], m.start() + step, m.end())
     return out
 
 
+def _plain(body: str) -> bytes:
+    return base64.b64decode(body + "=" * (-len(body) % 4))
+
+
+def _text_layer(layer: Layer, text: str, kind: str, start: int, skip: int, end: int) -> Iterator[Layer]:
+    """A layer of text that begins `skip` bytes into what the characters from start on decode to, of which none lies beyond end."""
+    high = skip + np.cumsum([len(c.encode(kind)) for c in text])
+    low = np.concatenate([[skip], high[:-1]])
+    return iter([layer.derived(text, "base64", start + low * 4 // 3, np.minimum(start - 1 - -high * 4 // 3, end - 1))])
+
+
+def _decoded(layer: Layer, body: str, start: int, end: int) -> Iterator[Layer] | None:
+    """The layers of a whole run, if it is a compressed stream or readable."""
+    raw = _plain(body)
+    if squeezed := _inflated(iter([raw])):
+        return _unwrapped(squeezed, f"{layer.via}>base64", *layer.source(start, end))
+    if found := _readable(raw):
+        return _text_layer(layer, *found, start, 0, start + len(body))
+    return None
+
+
+def _inside(layer: Layer, body: str, start: int, end: int) -> Iterator[Iterator[Layer]]:
+    """The layers of what is compressed or readable in a run."""
+    raw = _plain(body)
+    for m in _MAGIC.finditer(raw):
+        if squeezed := _inflated(iter([raw[m.start() :]])):
+            yield _unwrapped(squeezed, f"{layer.via}>base64", *layer.source(start + m.start() * 4 // 3, end))
+    for m in _PRINTABLE.finditer(raw):
+        yield _text_layer(layer, m[0].decode("utf-8", "replace"), "utf-8", start, m.start(), start + len(body))
+
+
 def _unwrapped(squeezed: tuple[str, Iterator[bytes | None]], via: str, low: int, high: int) -> Iterator[Layer]:
     """Layers of a compressed blob with the span from low to high, made as they are scanned."""
     while squeezed:
@@ -243,13 +301,13 @@ def _unwrapped(squeezed: tuple[str, Iterator[bytes | None]], via: str, low: int,
         if inner := _inflated(iter([raw])):
             yield from _unwrapped(inner, via, low, high)
         elif (text := _readable(raw, len(raw) > LAYER_BYTES)) is not None:
-            yield Layer(text, np.broadcast_to(np.int64(low), len(text)), np.broadcast_to(np.int64(high), len(text)), via)
+            yield Layer(text[0], via, span=(low, high))
 
 
 def find(text: str) -> list[dict]:
     """All findings of a text: those of the base patterns, and those in layers that decoding unwraps."""
     found: dict[tuple[str, int, int], dict] = {}
-    work, seen = deque([iter([Layer(text, None, None, "text")])]), set()
+    work, seen = deque([iter([Layer(text, "text")])]), set()
     while work:
         if (layer := next(work[0], None)) is None:
             work.popleft()
@@ -262,7 +320,7 @@ def find(text: str) -> list[dict]:
         seen.add(whole)
         for kind, start, end in base_spans(layer.text):
             span = (kind, *layer.source(start, end))
-            found.setdefault(span, {"kind": kind, "start": span[1], "end": span[2], "base": layer.starts is None, "via": layer.via, "value": layer.text[start:end]})
+            found.setdefault(span, {"kind": kind, "start": span[1], "end": span[2], "base": layer.is_document, "via": layer.via, "value": layer.text[start:end]})
         work.extend([iter([x]) for x in (_percent(layer), _escapes(layer)) if x] + _blobs(layer))
     return ordered(list(found.values()), KINDS)
 
@@ -272,7 +330,9 @@ def scan(docs: DataFrame) -> DataFrame:
 
     A worklist starts with the text. Each layer is scanned with the base patterns, then unwrapped: runs of %XX and of
     Unicode escapes are decoded in place, base64 (and its URL-safe form) of 16 characters or more becomes a layer of
-    its own if it holds readable text or gzip, zlib, bz2 or xz streams of such, one after another and of any length. Parts
+    its own if it holds readable text (UTF-8, UTF-16 or Latin) or gzip, zlib, bz2 or xz streams of such, one after another
+    and of any length. Where characters that stand before the base64 belong to its alphabet too, as in a path, the run is
+    decoded in all four steps. Hexadecimal and HTML entities are no layers. Parts
     of LAYER_BYTES that overlap by OVERLAP are scanned of a longer one, so that only a longer run can be cut. New layers join the list until none
     is left; a layer that was seen with the same span is not taken twice, which ends cycles. A finding's start and end
     are the code points of the document behind it; in a compressed layer that is the whole blob. Findings are ordered
@@ -281,7 +341,6 @@ def scan(docs: DataFrame) -> DataFrame:
     Null is the empty text, which has no findings. Whole texts are scanned at any length. Repeated rows give a row
     each. Extra columns are ignored; an empty table gives no rows.
     """
-    arrow_batches(docs.sparkSession)
 
     def run(batch: pa.RecordBatch) -> dict:
         return {"doc_id": batch.column("doc_id"), "findings": [find(t) for t in batch.column("text").to_pylist()]}

