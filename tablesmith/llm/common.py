@@ -11,24 +11,20 @@ from pyspark.sql import functions as F
 
 #: The word separators of every operator here: space, tab, LF, VT, FF and CR.
 SPACES = "\t\n\x0b\x0c\r "
-#: Where tables are stashed when the session names no checkpoint folder, as in tests.
+#: Where tables are stashed when a local session names no checkpoint folder, as in tests.
 DEFAULT_STASH = "/tmp/checkpoints"
-#: Rows of one Arrow batch; with texts of up to a few MB a batch stays far below a worker's memory.
-ARROW_ROWS = 512
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def arrow_batches(spark: SparkSession) -> None:
-    """Bound Arrow batches by rows, since texts are long."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
-
-
 def stash_dir(spark: SparkSession) -> str:
-    """The shared folder that the session names in spark.checkpoint.dir, else the test folder."""
-    return (spark.sparkContext.getConf().get("spark.checkpoint.dir") or f"file://{DEFAULT_STASH}").rstrip("/")
+    """The shared folder that the session names in spark.checkpoint.dir; in a local session that names none, the test folder."""
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return (named or f"file://{DEFAULT_STASH}").rstrip("/")
 
 
 class Stash:
@@ -61,7 +57,11 @@ def text_of(column: str = "text"):
 
 
 def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
-    """Apply fn to each Arrow batch; fn returns {column: Arrow array or list} in the schema's order."""
+    """Apply fn to each Arrow batch; fn returns {column: Arrow array or list} in the schema's order.
+
+    Spark bounds batches by spark.sql.execution.arrow.maxBytesPerBatch, 64 MB unless the session says otherwise, so that
+    texts of any length reach a worker few at a time.
+    """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 

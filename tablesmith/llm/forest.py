@@ -9,10 +9,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablesmith.llm.common import Stash, arrow_batches, map_rows, text_of
+from tablesmith.llm.common import Stash, map_rows, text_of
 from tablesmith.llm.components import components
 from tablesmith.llm.sieve import MAYBE, Sieve, without
-from tablesmith.llm.words import SIMILARITY, U, chunks, mix, shingles, utf8
+from tablesmith.llm.words import SIMILARITY, U, chunks, mix, shingles, similar_pairs, utf8
 
 TREES, DEPTH, RECALL, SEED = 24, 10, 0.999, 7
 #: Bits of a MinHash value in a label; a text's label in a tree is DEPTH values, the first one in the highest bits.
@@ -84,33 +84,6 @@ def _sign(trees: int, depth: int):
     return run
 
 
-def _pairs(sets: list[np.ndarray], cross: int, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places of both texts of each pair that reaches the similarity, and that. cross > 0: one of the first `cross` texts and a later one."""
-    n, sizes = len(sets), np.array([len(s) for s in sets], np.int64)
-    owner, value = np.repeat(np.arange(n), sizes), np.concatenate(sets)
-    _, column, df = np.unique(value, return_inverse=True, return_counts=True)
-    shared = df[column] > 1
-    owner, column = owner[shared], np.unique(column[shared], return_inverse=True)[1]
-    both = np.zeros((n, n), np.float32)
-    order = np.argsort(column, kind="stable")
-    owner, column = owner[order], column[order]
-    width = 4096
-    for low in range(0, int(column[-1]) + 1 if len(column) else 0, width):
-        i, j = np.searchsorted(column, [low, low + width])
-        has = np.zeros((n, min(width, int(column[-1]) + 1 - low)), np.float32)
-        has[owner[i:j], column[i:j] - low] = 1
-        both += has @ has.T
-    linked = np.triu(both >= threshold * (sizes[:, None] + sizes[None, :] - both) - 1e-6, 1)
-    if cross:
-        linked[:cross, :cross] = False
-        linked[cross:, cross:] = False
-    a, b = np.nonzero(linked)
-    shared_by = both[a, b].astype(np.int64)
-    similarity = shared_by / np.maximum(1, sizes[a] + sizes[b] - shared_by)
-    good = similarity >= threshold - 1e-9
-    return a[good], b[good], similarity[good]
-
-
 def _owned(marks: np.ndarray, a: np.ndarray, b: np.ndarray, tree: int, short: int, long: int | None) -> np.ndarray:
     """Whether this tree is the first one in which both texts share a node; if they share a longer prefix anywhere, they have been compared before."""
     same = marks[a] ^ marks[b]
@@ -126,7 +99,7 @@ def _verify(threshold: float, short: int, long: int | None):
         ids = np.array([r[0] for r in rows], np.int64)
         values, at = shingles(pa.array([r[2] for r in rows], pa.large_string()))
         cross = sum(r[1] == i for r in rows) if i != j else 0
-        a, b, similarity = _pairs([values[at[k] : at[k + 1]] for k in range(len(rows))], cross, threshold)
+        a, b, similarity = similar_pairs([values[at[k] : at[k + 1]] for k in range(len(rows))], cross, threshold)
         if i != j and (not cross or cross == len(rows)):
             a, b, similarity = a[:0], b[:0], similarity[:0]
         mine = _owned(np.array([r[3] for r in rows], np.int64).view(U), a, b, tree, short, long)
@@ -221,7 +194,6 @@ def jaccard_join(docs: DataFrame, threshold: float = SIMILARITY, trees: int = TR
     if depth * BITS > 60:
         raise ValueError(f"labels have {60 // BITS} values at most")
     spark = docs.sparkSession
-    arrow_batches(spark)
     stash = Stash(spark, "jaccard")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     keyed = texts.select("doc_id", "text", F.xxhash64("text").alias("k1"), F.xxhash64(F.lit("second"), "text").alias("k2"))

@@ -1,18 +1,20 @@
-"""A Bloom filter of fixed size as a table of bit words: most rows that a join would drop never reach its shuffle."""
+"""A Bloom filter of bounded size as a table of bit words: most rows that a join would drop never reach its shuffle."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Bits of the filter: 2**18 words of 64 bits, a few MB, which is all that is ever broadcast, however many keys there are.
-BITS = 1 << 24
+#: Bits for each key; and the least and most bits of a filter, as powers of two: 32 MB are all that is ever broadcast, however many keys there are.
+EACH, LEAST, MOST = 16, 16, 28
+#: Bits, as a power of two, of a filter of keys that would have to be computed to be counted.
+UNKNOWN = 24
 #: The column that split() adds.
 MAYBE = "__sieve_maybe"
 
 
-def _place(key: Column) -> Column:
-    return F.pmod(F.xxhash64(key, F.lit(0x51E7E)), F.lit(BITS))
+def _place(key: Column, bits: int) -> Column:
+    return F.pmod(F.xxhash64(key, F.lit(0x51E7E)), F.lit(1 << bits))
 
 
 def _bit(place: Column) -> Column:
@@ -20,22 +22,27 @@ def _bit(place: Column) -> Column:
 
 
 class Sieve:
-    """Of the keys in a table's column. Keys of the table always pass; others pass more often the more keys there are."""
+    """Of the keys in a table's column. Keys of the table always pass, others seldom while 2**MOST bits have EACH for a key.
+
+    Stashed tables, which Spark counts from their files' footers, get a filter of a size for their rows.
+    """
 
     def __init__(self, keys: DataFrame, column: str):
-        place = keys.select(_place(F.col(column)).alias("place"))
+        rows = keys.count() if hasattr(keys, "stash_path") else None
+        self.bits = UNKNOWN if rows is None else min(MOST, max(LEAST, (EACH * rows).bit_length()))
+        place = keys.select(_place(F.col(column), self.bits).alias("place"))
         words = place.groupBy(F.expr("place div 64").alias("__sieve_word")).agg(F.bit_or(_bit(F.col("place"))).alias("__sieve_bits"))
         self.words = F.broadcast(words)
 
     def split(self, df: DataFrame, column: str) -> DataFrame:
         """df with a boolean MAYBE: false where the keys surely lack the row's value."""
-        placed = df.withColumn("__sieve_place", _place(F.col(column))).withColumn("__sieve_word", F.expr("__sieve_place div 64"))
+        placed = df.withColumn("__sieve_place", _place(F.col(column), self.bits)).withColumn("__sieve_word", F.expr("__sieve_place div 64"))
         maybe = F.coalesce(F.col("__sieve_bits").bitwiseAND(_bit(F.col("__sieve_place"))) != 0, F.lit(False))
         return placed.join(self.words, "__sieve_word", "left").select(*df.columns, maybe.alias(MAYBE))
 
     def keep(self, df: DataFrame, column: str) -> DataFrame:
         """Rows of df that the keys may hold."""
-        placed = df.withColumn("__sieve_place", _place(F.col(column))).withColumn("__sieve_word", F.expr("__sieve_place div 64"))
+        placed = df.withColumn("__sieve_place", _place(F.col(column), self.bits)).withColumn("__sieve_word", F.expr("__sieve_place div 64"))
         return placed.join(self.words, "__sieve_word").filter(F.col("__sieve_bits").bitwiseAND(_bit(F.col("__sieve_place"))) != 0).select(df.columns)
 
 

@@ -107,3 +107,30 @@ def chunks(at: np.ndarray, most: int = 1 << 20):
         j = max(i + 1, int(np.searchsorted(at, at[i] + most, "right")) - 1)
         yield i, min(j, n)
         i = min(j, n)
+
+
+def similar_pairs(sets: list[np.ndarray], cross: int, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of both texts of each pair that reaches the similarity, and that. cross > 0: one of the first `cross` texts and a later one."""
+    n, sizes = len(sets), np.array([len(s) for s in sets], np.int64)
+    owner, value = np.repeat(np.arange(n), sizes), np.concatenate(sets)
+    _, column, df = np.unique(value, return_inverse=True, return_counts=True)
+    shared = df[column] > 1
+    owner, column = owner[shared], np.unique(column[shared], return_inverse=True)[1]
+    both = np.zeros((n, n), np.float32)
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    width = 4096
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        i, j = np.searchsorted(column, [low, low + width])
+        has = np.zeros((n, min(width, int(column[-1]) + 1 - low)), np.float32)
+        has[owner[i:j], column[i:j] - low] = 1
+        both += has @ has.T
+    linked = np.triu(both >= threshold * (sizes[:, None] + sizes[None, :] - both) - 1e-6, 1)
+    if cross:
+        linked[:cross, :cross] = False
+        linked[cross:, cross:] = False
+    a, b = np.nonzero(linked)
+    shared_by = both[a, b].astype(np.int64)
+    similarity = shared_by / np.maximum(1, sizes[a] + sizes[b] - shared_by)
+    good = similarity >= threshold - 1e-9
+    return a[good], b[good], similarity[good]

@@ -8,16 +8,12 @@ WORDS = [a + b + c for a in "bcdfgh" for b in "aeiou" for c in ("n", "rst", "llo
 
 
 def shingles(line):
-    at = {line[k : k + 8] for k in range(len(line) - 7) if k == 0 or line[k - 1] == " "}
-    n = sum((k == 0 or line[k - 1] == " ") for k in range(len(line) - 7))
-    every = {line[k : k + 8] for k in range(max(1, len(line) - 7))}
-    return at if n >= 6 else set(), every if n < 12 else set()
+    return {line[k : k + 8] for k in range(max(1, len(line) - 7))}
 
 
-def alike(a, b):
-    x, y = (a[0], b[0]) if a[0] and b[0] else (a[1], b[1])
+def alike(x, y):
     both = len(x & y)
-    return bool(x and y) and 5 * both >= 4 * (len(x) + len(y) - both)
+    return 5 * both >= 4 * (len(x) + len(y) - both)
 
 
 def brute(docs):
