@@ -3,28 +3,34 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablesmith.llm.common import Stash, arrow_batches, map_rows, text_of
+from tablesmith.llm.common import Stash, map_rows, text_of
 from tablesmith.llm.findings import FINDING, ordered
+from tablesmith.llm.sieve import Sieve
 
 KINDS = ("email", "ip", "card", "phone")
-#: Rounds of scoring, seeds that a pattern needs, prior mass against rare patterns, and the confidence that counts.
-ROUNDS, LEAST_SEEDS, PRIOR, CONFIDENT = 3, 5, 2.0, 0.8
-#: Lines or words of context to either side of an instance; longer words are cut off, as they are no context.
-CONTEXT_CHARS = 24
+#: Trusted values that a pattern needs, prior mass against rare patterns, and the confidence that counts.
+LEAST_SEEDS, PRIOR, CONFIDENT = 5, 2.0, 0.8
+#: Rounds end when they make no pattern good and good patterns' scores grow by less than this in all.
+SETTLED = 0.001
+#: Letters of a word of a pattern; what stands between spaces and is longer is no word.
+WORD = 64
+#: Rows that a pattern is joined by, as one pattern may surround most instances.
+SALTS = 16
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-#: Identifiers that the base patterns may miss: runs with digits and separators or with a spelled-out at sign.
-_CANDIDATE = re.compile(r"[0-9(][0-9().\x20/-]{5,40}[0-9]|[A-Za-z0-9._%+-]{2,64}(?:\x20?[(\[]at[)\]]\x20?|@)[A-Za-z0-9-]{2,63}(?:(?:\.|\x20?[(\[]dot[)\]]\x20?)[A-Za-z0-9-]{2,63})*", re.A)
+#: Identifiers that the base patterns may miss: runs of digits and separators, or with an at sign or a spelled-out one (of names and labels of an address's greatest lengths).
+_CANDIDATE = re.compile(r"[0-9(][0-9().\x20/-]{5,}[0-9]|[A-Za-z0-9._%+-]{2,64}(?:\x20?[(\[]at[)\]]\x20?|@)[A-Za-z0-9-]{2,63}(?:(?:\.|\x20?[(\[]dot[)\]]\x20?)[A-Za-z0-9-]{2,63})*", re.A)
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -82,21 +88,42 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return [(kind, s, e) for kind, find in zip(KINDS, (emails, ips, cards, phones)) for s, e in find(text)]
 
 
-def contexts(text: str, start: int, end: int) -> list[str]:
-    """Lexical patterns of an instance: the words before it, the words after it, and one of either side."""
-    left = _WORD.findall(text[max(0, start - 2 * CONTEXT_CHARS) : start])[-2:]
-    right = _WORD.findall(text[end : end + 2 * CONTEXT_CHARS])[:2]
-    left, right = ([w.lower().strip(".,;:!?\"'()[]") for w in x] for x in (left, right))
-    out = []
-    if left and left[-1]:
-        out.append(f"L {left[-1]}")
-        if len(left) > 1 and left[0]:
-            out.append(f"LL {left[0]} {left[-1]}")
-        if right and right[0]:
-            out.append(f"LR {left[-1]} _ {right[0]}")
-    if len(right) > 1 and right[0] and right[1]:
-        out.append(f"RR {right[0]} {right[1]}")
-    return out
+class Words:
+    """The words of a text, found once for all of its instances."""
+
+    def __init__(self, text: str):
+        spans = [m.span() for m in _WORD.finditer(text)]
+        self.text, self.starts, self.ends = text, [s for s, _ in spans], [e for _, e in spans]
+
+    def word(self, start: int, end: int) -> str:
+        return self.text[start:end].lower().strip(".,;:!?\"'()[]") if end - start <= WORD else ""
+
+    def patterns(self, start: int, end: int) -> list[str]:
+        """Lexical patterns of an instance: the word and the two words before it, the two after it, and one of either side.
+
+        What is left of a word that the instance begins or ends in is a word.
+        """
+        before, after = bisect_left(self.starts, start), bisect_right(self.ends, end)
+        left = [self.word(self.starts[k], min(self.ends[k], start)) for k in range(max(0, before - 2), before)]
+        right = [self.word(max(self.starts[k], end), self.ends[k]) for k in range(after, min(len(self.ends), after + 2))]
+        out = []
+        if left and left[-1]:
+            out.append(f"L {left[-1]}")
+            if len(left) > 1 and left[0]:
+                out.append(f"LL {left[0]} {left[-1]}")
+            if right and right[0]:
+                out.append(f"LR {left[-1]} _ {right[0]}")
+        if len(right) > 1 and right[0] and right[1]:
+            out.append(f"RR {right[0]} {right[1]}")
+        return out
+
+
+def kinds_of(value: str) -> list[str]:
+    """The kinds whose form an identifier-like run can take."""
+    digits = sum("0" <= c <= "9" for c in value)
+    if "@" in value or "at" in value.lower():
+        return ["email"]
+    return [k for k, good in (("ip", value.count(".") == 3 and digits <= 12), ("card", 12 <= digits <= 19), ("phone", 7 <= digits <= 15)) if good]
 
 
 def candidates(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
@@ -118,65 +145,70 @@ def extract(docs: DataFrame) -> DataFrame:
     """(doc_id, findings) for each row of docs(doc_id, text, ...).
 
     Base patterns find seeds. Every seed, and every identifier-like run that no seed touches, is an instance whose
-    surrounding words are patterns. Over the graph of patterns and instances, Spark scores a pattern of a kind by the
-    confidence of its instances (PRIOR extra ones of confidence 0 weigh against rare patterns), then an instance by
-    the best of its patterns, for ROUNDS rounds; seeds stay at 1. Patterns of CONFIDENT or more with LEAST_SEEDS
-    different seeds discover the instances that they surround, if these have a form that the kind can take. What they
-    discover is added to the base findings with base = false. Findings are ordered by start, then kind.
-
-    All rounds aggregate on the map side before they shuffle, so a very common pattern costs a task a row for each of
-    its different instances at most. Null is the empty text, without findings. Whole texts are read at any length.
-    Repeated rows give a row each. Extra columns are ignored; an empty table gives no rows.
+    surrounding words are patterns. On the graph of patterns and instances Spark scores both in turn. A pattern of a kind
+    has the trust of its different values as its score, of all values of the kind's form and PRIOR more; seeds have a
+    trust of 1. A pattern is good if that is CONFIDENT or more and LEAST_SEEDS of its values are trusted. The values that a
+    good pattern surrounds are trusted by its score, wherever they stand, and so induce further patterns, until a round
+    makes no pattern good and adds less than SETTLED to all scores together; scores only grow. What good patterns surround is added to the base findings with base = false. Findings are
+    ordered by start, then kind.
+
+    Patterns that have fewer than LEAST_SEEDS different values can't become good and leave the graph first. All rounds
+    aggregate on the map side before they shuffle, and patterns are joined by salted keys, so that a very common pattern is
+    spread over tasks. Null is the empty text, without findings. Whole texts are read at any length. Repeated rows give a
+    row each. Extra columns are ignored; an empty table gives no rows.
     """
-    spark = docs.sparkSession
-    arrow_batches(spark)
-    stash = Stash(spark, "pii")
+    stash = Stash(docs.sparkSession, "pii")
     found = stash(map_rows(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")),
+        docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")),
         _first_pass,
-        f"doc_id long, findings array<{FINDING}>, runs array<struct<start:long,end:long,value:string,patterns:array<string>>>, seeds array<struct<kind:string,value:string,patterns:array<string>>>",
+        f"row long, doc_id long, findings array<{FINDING}>, instances array<struct<kind:string,value:string,start:long,end:long,seed:boolean,patterns:array<string>>>",
     ))
-    seeds = found.select(F.inline("seeds")).select("kind", "value", F.explode("patterns").alias("pattern")).distinct()
-    useful = stash(seeds.groupBy("kind", "pattern").agg(F.count("*").alias("n_seeds")).filter(F.col("n_seeds") >= LEAST_SEEDS))
-    empty = F.array().cast(f"array<{FINDING}>")
-    if useful.isEmpty():
+    instances = found.select("row", F.inline("instances"))
+    every = instances.select("kind", "value", "seed", F.explode("patterns").alias("pattern")).groupBy("kind", "pattern", "value").agg(F.max("seed").alias("seed"))
+    every = stash(every)
+    common = stash(every.groupBy("kind", "pattern").agg(F.count("*").alias("n")).filter(F.col("n") >= LEAST_SEEDS))
+    edges = stash(_salted(every, common, "value").select("kind", "pattern", "value", "seed"))
+    trusted = edges.filter("seed").select("kind", "value", F.lit(1.0).alias("trust")).distinct()
+    good, known = None, (0, 0.0)
+    while True:
+        held = edges.join(stash(trusted), ["kind", "value"]).groupBy("kind", "pattern").agg(F.sum("trust").alias("mass"), F.count("*").alias("values"))
+        score = F.col("mass") / (F.col("n") + PRIOR)
+        better = held.filter(F.col("values") >= LEAST_SEEDS).join(common, ["kind", "pattern"]).select("kind", "pattern", score.alias("score")).filter(F.col("score") >= CONFIDENT)
+        better = stash(better)
+        now = better.agg(F.count("*"), F.coalesce(F.sum("score"), F.lit(0.0))).first()
+        if now[0] == known[0] and now[1] < known[1] + SETTLED:
+            break
+        good, known = better, now
+        by_patterns = _salted(edges.filter("not seed"), good, "value").groupBy("kind", "value").agg(F.max("score").alias("trust"))
+        trusted = edges.filter("seed").select("kind", "value", F.lit(1.0).alias("trust")).distinct().unionByName(by_patterns)
+        trusted = trusted.groupBy("kind", "value").agg(F.max("trust").alias("trust"))
+    if good is None:
         return found.select("doc_id", "findings")
-    runs = found.select(F.inline("runs")).select("value", F.explode("patterns").alias("pattern")).distinct()
-    edges = stash(runs.join(useful, "pattern").select("kind", "pattern", "value", "n_seeds"))
-    sizes = edges.groupBy("kind", "pattern").agg(F.count("*").alias("n_runs"))
-    scored = useful.join(sizes, ["kind", "pattern"], "left").select("kind", "pattern", "n_seeds", F.coalesce("n_runs", F.lit(0)).alias("n_runs"))
-    score = stash(scored.withColumn("score", F.col("n_seeds") / (F.col("n_seeds") + F.col("n_runs") + PRIOR)))
-    for _ in range(ROUNDS - 1):
-        instance = edges.join(score.select("kind", "pattern", "score"), ["kind", "pattern"]).groupBy("kind", "value").agg(F.max("score").alias("trust"))
-        mass = edges.join(instance, ["kind", "value"]).groupBy("kind", "pattern").agg(F.sum("trust").alias("mass"))
-        new = score.drop("score").join(mass, ["kind", "pattern"], "left")
-        score = stash(new.select("kind", "pattern", "n_seeds", "n_runs", ((F.col("n_seeds") + F.coalesce("mass", F.lit(0.0))) / (F.col("n_seeds") + F.col("n_runs") + PRIOR)).alias("score")))
-    good = score.filter(F.col("score") >= CONFIDENT).select("kind", "pattern")
-    places = found.select("doc_id", F.inline("runs")).select("doc_id", "start", "end", "value", F.explode("patterns").alias("pattern"))
-    hits = places.join(good, "pattern").select("doc_id", "kind", "start", "end", "value").distinct()
-    checks = [(F.col("kind") == k) & _fits_column(k) for k in KINDS]
-    hits = hits.filter(checks[0] | checks[1] | checks[2] | checks[3])
-    added = hits.groupBy("doc_id").agg(F.collect_list(F.struct("kind", "start", "end", F.lit(False).alias("base"), F.lit("context").alias("via"), "value")).alias("added"))
-    both = F.concat("findings", F.coalesce("added", empty))
+    places = instances.filter("not seed").select("row", "kind", "start", "end", "value", F.explode("patterns").alias("pattern"))
+    hits = _salted(places, good, "row").select("row", "kind", "start", "end", "value").distinct()
+    added = hits.groupBy("row").agg(F.collect_list(F.struct("kind", "start", "end", F.lit(False).alias("base"), F.lit("context").alias("via"), "value")).alias("added"))
+    both = F.concat("findings", F.coalesce("added", F.array().cast(f"array<{FINDING}>")))
     rank = F.array(*[F.lit(k) for k in KINDS])
     keyed = F.transform(both, lambda f: F.struct(f["start"], F.array_position(rank, f["kind"]).alias("rank"), f["end"], f.alias("finding")))
-    return found.join(added, "doc_id", "left").select("doc_id", F.transform(F.array_sort(keyed), lambda x: x["finding"]).cast(f"array<{FINDING}>").alias("findings"))
+    return found.join(added, "row", "left").select("doc_id", F.transform(F.array_sort(keyed), lambda x: x["finding"]).cast(f"array<{FINDING}>").alias("findings"))
 
 
-def _fits_column(kind: str):
-    digits = F.length(F.regexp_replace("value", "[^0-9]", ""))
-    if kind == "email":
-        return F.lower("value").rlike("@|at")
-    if kind == "ip":
-        return (F.length(F.regexp_replace("value", "[^.]", "")) == 3) & (digits <= 12)
-    return digits.between(12, 19) if kind == "card" else digits.between(7, 15)
+def _salted(rows: DataFrame, patterns: DataFrame, spread: str) -> DataFrame:
+    """rows joined with stashed (kind, pattern, ...): only rows that may have a partner, a pattern's spread over SALTS keys."""
+    key = F.xxhash64("kind", "pattern").alias("key")
+    keyed = patterns.select(key)
+    keyed.stash_path = patterns.stash_path
+    some = Sieve(keyed, "key").keep(rows.select("*", key), "key").drop("key")
+    salted = patterns.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return some.withColumn("salt", F.pmod(F.xxhash64(spread, F.lit("salt")), F.lit(SALTS)).cast("int")).join(salted, ["kind", "pattern", "salt"])
 
 
 def _first_pass(batch: pa.RecordBatch) -> dict:
-    findings, runs, seeds = [], [], []
+    findings, instances = [], []
     for text in batch.column("text").to_pylist():
         base = base_spans(text)
         findings.append(ordered([{"kind": k, "start": s, "end": e, "base": True, "via": "base", "value": text[s:e]} for k, s, e in base], KINDS))
-        seeds.append([{"kind": k, "value": text[s:e], "patterns": contexts(text, s, e)} for k, s, e in base])
-        runs.append([{"start": s, "end": e, "value": text[s:e], "patterns": contexts(text, s, e)} for s, e in candidates(text, base)])
-    return {"doc_id": batch.column("doc_id"), "findings": findings, "runs": runs, "seeds": seeds}
+        runs = [(k, s, e) for s, e in candidates(text, base) for k in kinds_of(text[s:e])]
+        words = Words(text) if base or runs else None
+        instances.append([{"kind": k, "value": text[s:e], "start": s, "end": e, "seed": seed, "patterns": words.patterns(s, e)} for seed, some in ((True, base), (False, runs)) for k, s, e in some])
+    return {"row": batch.column("row"), "doc_id": batch.column("doc_id"), "findings": findings, "instances": instances}
