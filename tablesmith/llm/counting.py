@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 U = np.uint64
 #: Distinct keys that a map task holds before it hands them on.
@@ -107,7 +108,16 @@ def merged(table: pa.Table) -> dict[str, tuple[np.ndarray, np.ndarray]]:
     return {t: total(np.concatenate([k for k, _ in p]), np.concatenate([c for _, c in p])) for t, p in out.items()}
 
 
-def range_bits(spark, least: int = 4, most: int = 14) -> int:
-    """Ranges of keys grow with the session's shuffle partitions, as these grow with the input."""
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return min(most, max(least, (2 * partitions - 1).bit_length()))
+#: Bytes of a table for which one more range of keys is made; what a range then holds fits a worker some times over.
+RANGE_BYTES = 1 << 26
+
+
+def range_bits(docs: DataFrame, least: int = 4, most: int = 24) -> int:
+    """Ranges of keys, as a power of two: two for each shuffle partition, or one for RANGE_BYTES if the table asks for more.
+
+    The table's size is Spark's own estimate, from the files' sizes; it is passed over where Spark has none.
+    """
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    by_size = size // RANGE_BYTES if size < 1 << 60 else 0
+    return min(most, max(least, (2 * partitions - 1).bit_length(), by_size.bit_length()))

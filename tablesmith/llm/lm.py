@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Iterator
+from hashlib import blake2b
 from urllib.parse import urlparse
 
 import numpy as np
@@ -14,7 +15,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablesmith.llm.common import Stash, arrow_batches, map_rows, text_of
+from tablesmith.llm.common import Stash, map_rows, text_of
 from tablesmith.llm.counting import BLOCK_SCHEMA, BLOCKS, HELD, U, Tally, from_planes, merged, pack_keys, planes, range_bits, unpack_keys
 from tablesmith.llm.words import chunks, mix, spans, utf8, word_hashes
 
@@ -156,24 +157,30 @@ class Model:
         self.discount = {k: discounts(*(figures.get(f"{k}{n}", 0) for n in range(1, 5))) for k in ("word", "bigram")}
 
     def array(self, name: str, kind: str, dtype) -> np.ndarray:
-        """A memory-mapped array; where the shared folder is no file system of this machine, of a copy that goes with the worker."""
+        """A memory-mapped array; where the shared folder is no file system of this machine, of one copy for all of its workers."""
         held = self.__dict__.setdefault("_arrays", {})
         if (name, kind) not in held:
             path = f"{urlparse(self.folder).path}/{name}.{kind}"
             if urlparse(self.folder).scheme not in ("", "file"):
-                system, far = fs.FileSystem.from_uri(self.folder)
-                local = self.__dict__.setdefault("_local", tempfile.TemporaryDirectory())
-                path = f"{local.name}/{name}.{kind}"
-                if system.get_file_info(f"{far}/{name}.{kind}").type == fs.FileType.NotFound:
-                    open(path, "wb").close()
-                else:
-                    fs.copy_files(f"{far}/{name}.{kind}", path, source_filesystem=system, destination_filesystem=fs.LocalFileSystem())
+                path = self._copied(f"{name}.{kind}")
             some = os.path.exists(path) and os.path.getsize(path)
             held[name, kind] = np.memmap(path, dtype, "r") if some else np.zeros(0, dtype)
         return held[name, kind]
 
-    def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("_arrays", "_local")}
+    def _copied(self, name: str) -> str:
+        """A file of the shared folder as one of this machine, copied when it is first asked for and moved into place whole."""
+        local = os.path.join(tempfile.gettempdir(), "lm-" + blake2b(self.folder.encode(), digest_size=12).hexdigest())
+        path = os.path.join(local, name)
+        if not os.path.exists(path):
+            os.makedirs(local, exist_ok=True)
+            system, far = fs.FileSystem.from_uri(self.folder)
+            part = f"{path}.{uuid.uuid4().hex}"
+            if system.get_file_info(f"{far}/{name}").type == fs.FileType.NotFound:
+                open(part, "wb").close()
+            else:
+                fs.copy_files(f"{far}/{name}", part, source_filesystem=system, destination_filesystem=fs.LocalFileSystem())
+            os.replace(part, path)
+        return path
 
     def find(self, table: str, queries: np.ndarray, kinds: dict[str, tuple]) -> dict[str, np.ndarray]:
         """Values of sorted distinct keys, 0 where the table lacks one: {kind: (dtype, width)} to arrays of width columns."""
@@ -220,11 +227,11 @@ def train(docs: DataFrame) -> Model:
     Each task counts its bigrams, summed before they travel as sorted blocks for ranges of keys; a range is merged,
     written, and hands on what it adds to contexts and words, which are merged and written likewise. Keys are hashes, so
     a frequent word's bigrams spread over all ranges. Only a dozen sums reach the driver. Words are told apart by 64-bit
-    hashes. An empty table gives a model in which every token is unknown.
+    hashes. Ranges grow in number with the table (range_bits), so that each fits a worker. An empty table gives a model in
+    which every token is unknown.
     """
     spark = docs.sparkSession
-    arrow_batches(spark)
-    bits, folder = range_bits(spark), Stash(spark, "lm").base
+    bits, folder = range_bits(docs), Stash(spark, "lm").base
     folder = folder if "://" in folder or not folder.startswith("file:") else "file://" + folder[5:]
     system, path = fs.FileSystem.from_uri(folder)
     system.create_dir(path, recursive=True)
@@ -237,17 +244,16 @@ def train(docs: DataFrame) -> Model:
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, n_tokens, n_known, base_score, score) for each row of docs(doc_id, text, ...).
+    """(doc_id, n_tokens, n_known, base_score, score, perplexity) for each row of docs(doc_id, text, ...).
 
     Tokens are the words, with A-Z lower-cased, and one end. score is the text's log10 probability: bigram counts with
     modified Kneser-Ney discounts, interpolated with continuation counts of the words, and these with an even chance
-    for all known words and one unknown. base_score is that of single tokens' counts plus 0.5; n_known counts tokens
+    for all known words and one unknown. perplexity is that of a token, 10 ** (-score / n_tokens). base_score is that of single tokens' counts plus 0.5; n_known counts tokens
     that training had. Workers memory-map the model's sorted arrays and look a batch's distinct keys up in order.
 
     Null is the empty text, whose only token is the end. Whole texts are scored at any length. Repeated rows give a row
     each. Extra columns are ignored; an empty table gives no rows.
     """
-    arrow_batches(docs.sparkSession)
     f = model.figures
     norm = f["tokens"] + 0.5 * (f["words"] + 1)
 
@@ -259,7 +265,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             out["n_tokens"].append(np.diff(first))
             for name, values in (("n_known", (counts > 0).astype(np.int64)), ("base_score", np.log10((counts + 0.5) / norm)), ("score", logs)):
                 out[name].append(np.add.reduceat(values, first[:-1]))
-        return {k: pa.array(np.concatenate(v)) for k, v in out.items()} | {"doc_id": batch.column("doc_id")}
+        done = {k: np.concatenate(v) for k, v in out.items()}
+        done["perplexity"] = 10 ** np.minimum(300, -done["score"] / done["n_tokens"])
+        return {k: pa.array(v) for k, v in done.items()} | {"doc_id": batch.column("doc_id")}
 
-    schema = "doc_id long, n_tokens long, n_known long, base_score double, score double"
+    schema = "doc_id long, n_tokens long, n_known long, base_score double, score double, perplexity double"
     return map_rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")), run, schema)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablesmith.llm.common import arrow_batches, map_rows, text_of
+from tablesmith.llm.common import map_rows, text_of
 from tablesmith.llm.counting import BLOCKS, U, Tally, merged, range_bits, tally
 from tablesmith.llm.words import chunks, mix, ngram_hashes, spans, utf8, word_hashes
 
@@ -70,8 +70,7 @@ def references(docs: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray, np.nd
     Counted over all words of all documents. Only tags of LANGUAGE with LEAST_REFERENCE words or more count, so what
     reaches the driver is bounded by 18,252 languages of about 1.7 kB.
     """
-    spark = docs.sparkSession
-    bits = range_bits(spark)
+    bits = range_bits(docs, most=14)
     keys_of_classes = _class_keys()
 
     def fill(batch: pa.RecordBatch, held: Tally) -> None:
@@ -196,7 +195,6 @@ def quality(docs: DataFrame) -> DataFrame:
     Null is the empty text, which fails the base. Very long texts are measured whole. Repeated rows give a row each.
     Extra columns are ignored; an empty table gives no rows.
     """
-    arrow_batches(docs.sparkSession)
     refs = references(docs)
     schema = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_chars long, chars_apart double, words_apart double, base_failed boolean, kept boolean"
     return map_rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"), F.coalesce("lang", F.lit("")).alias("lang")), _measure(refs), schema)
@@ -204,7 +202,6 @@ def quality(docs: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """Rows of docs(doc_id, text, lang, ...) that quality() keeps, with the columns of docs: a filter without a join."""
-    arrow_batches(docs.sparkSession)
     measure = _measure(references(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 
-from tablesmith.llm import lm
+from tablesmith.llm import counting, lm
 
 WORDS = [a + b for a in "bcdfgh" for b in "aeiou"]
 
@@ -53,6 +53,16 @@ def test_scores_match_plain_counting(spark):
     got = lm.score(spark.createDataFrame([(i, t, 1) for i, t in enumerate(tests)], "doc_id long, text string, keys int"), model)
     rows = sorted(map(tuple, got.select("doc_id", "n_tokens", "n_known", "base_score", "score").collect()))
     assert np.allclose([r[1:] for r in rows], brute(train, tests))
+    assert all(math.isclose(r["perplexity"], 10 ** (-r["score"] / r["n_tokens"])) for r in got.collect())
+
+
+def test_ranges_grow_with_the_table(spark, tmp_path, monkeypatch):
+    spark.range(20000).selectExpr("id doc_id", "uuid() text").write.parquet(str(tmp_path / "t"))
+    docs = spark.read.parquet(str(tmp_path / "t"))
+    few = counting.range_bits(docs)
+    monkeypatch.setattr(counting, "RANGE_BYTES", 1000)
+    assert counting.range_bits(docs) > few and counting.range_bits(docs, most=5) == 5
+    assert counting.range_bits(spark.createDataFrame([(1,)], "a int")) < 24
 
 
 def test_empty_training(spark):
