@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesmith.llm import decontaminate, forest, licenses, lines, lm, packing, pii, quality, secrets, toxicity
 from tablesmith.llm.common import table
 from tablesmith.llm.findings import digest
+from tablesmith.llm.oracles import ORACLES, bases
+
+
+def _remainder(divisor: int, value: int) -> Column:
+    """Whether crc32 of doc_id as text has this remainder; no for a null doc_id."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor == value, F.lit(False))
 
 
 def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,7 +24,7 @@ def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    held_out = _remainder(4, 2)
     lexicon = toxicity.learn(docs, table(spark, sf_dir, "labels").filter(~held_out))
     scored = toxicity.score(docs, lexicon)
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= toxicity.TOXIC).cast("int").alias("predicted"))
@@ -35,10 +40,10 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1
+    held_out = _remainder(5, 1)
     model = lm.train(docs.filter(~held_out))
     scored = lm.score(docs, model)
-    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.figures["tokens"]).cast("long").alias("train_tokens"), "base_score", "score")
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.figures["tokens"]).cast("long").alias("train_tokens"), "base_score", "score", "perplexity")
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,7 +67,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.extract(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", *digest("findings", pii.KINDS))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses,
     "op2_toxicity": op2_toxicity,
     "op3_decontamination": op3_decontamination,
@@ -74,6 +79,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_pii": op10_pii,
 }
-
-#: DuckDB SQL of those queries that SQL can express at whole tables.
-ORACLES: dict[str, str] = {}
+#: The operators' queries, and those columns of theirs that SQL can express, which have an oracle.
+QUERIES = OPERATORS | bases(OPERATORS)
+__all__ = ["OPERATORS", "ORACLES", "QUERIES"]
