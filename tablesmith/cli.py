@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import argparse
 import os
+import re
 import sys
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablesmith.functions.league import labels_year
 from tablesmith.operators import html, merge, seasons, standings, textpages
 from tablesmith.operators import lint as rules
 from tablesmith.operators.dataset import Dataset, replace, strict
@@ -21,10 +23,14 @@ def session() -> SparkSession:
 
 
 def _fetched(spark: SparkSession, wanted: DataFrame, args: argparse.Namespace) -> DataFrame:
-    """Pages with html: of a table of pages if one is named, else of the network, a second apart."""
+    """Pages with html: of a table of pages if one is named, else of the network, a second apart, kept as they come."""
     if args.pages:
         return pages.table_pages(wanted, spark.read.parquet(args.pages))
-    return pages.fetch(wanted, pages.http_fetcher(os.environ.get("WIKIPEDIA_USER_AGENT", "tablesmith")), args.wait)
+    got, whole = pages.kept_pages(wanted, pages.wiki_fetcher(os.environ.get("WIKIPEDIA_USER_AGENT", "tablesmith")), args.keep_pages or f"{args.output}.pages", args.wait)
+    if not whole:
+        print("interrupted: saving the seasons fetched so far", file=sys.stderr)
+        args.interrupted = True
+    return got
 
 
 def _stored(spark: SparkSession, args: argparse.Namespace) -> tuple[Dataset, DataFrame]:
@@ -57,6 +63,8 @@ def overview(spark: SparkSession, args: argparse.Namespace, years: DataFrame | N
 def combined(spark: SparkSession, args: argparse.Namespace) -> None:
     """build, then overview for all seasons if forced, else for those that have no tier 1 rows."""
     build(spark, args)
+    if args.interrupted:
+        return
     have, years = _stored(spark, args)
     if not args.force_update:
         done = have.tiers.filter("tier_key = 'tier1' and n_rows > 0").select(F.col("season_num").alias("season")).distinct()
@@ -83,17 +91,25 @@ def scrape(spark: SparkSession, args: argparse.Namespace) -> int:
         return 1
     got = reduce(DataFrame.unionByName, sources).withColumnRenamed("url", "page_id").cache()
     heads, rows = textpages.competitions(html.text_blocks(got, ["page_id"]))
-    own = textpages.page_seasons(heads).withColumn("own_year", F.regexp_extract(F.array_join("seasons", " "), r"(\d{4})", 1).try_cast("int"))
+    own = textpages.page_seasons(heads).withColumn("own_year", labels_year(F.col("seasons")))
     years = got.select("page_id", "season", F.col("season_slug").alias("wanted")).join(own, "page_id")
     years = years.select("page_id", F.coalesce("season", "own_year").alias("season"), F.coalesce("wanted", "season_slug").alias("season_slug"))
     if args.save_html:
         sinks.save_pages(got.select(F.coalesce("season_slug", F.md5("page_id")).alias("slug"), "html"), args.save_html)
-    save(seasons.text_seasons(heads, rows, years), args)
+    ids = [*(args.url or []), *(r["page_id"] for r in got.select("page_id").collect() if args.file)] if args.start is None else []
+    if len(set(ids)) < 2:
+        save(seasons.text_seasons(heads, rows, years), args)
+        return 0
+    print("several sources: the output is a folder with a file for each", file=sys.stderr)
+    for page in sorted(set(ids)):
+        own_page = F.col("page_id") == page
+        name = re.sub(r"[^\w.-]+", "-", os.path.splitext(page.rstrip("/").rsplit("/", 1)[-1])[0]) or "page"
+        save(seasons.text_seasons(heads.filter(own_page), rows.filter(own_page), years.filter(own_page)), args, f"{args.output}/{name}.json")
     return 0
 
 
-def save(data: Dataset, args: argparse.Namespace) -> None:
-    sinks.save_json(Dataset(data.tiers, strict(data.entries)), args.output, not args.compact)
+def save(data: Dataset, args: argparse.Namespace, path: str | None = None) -> None:
+    sinks.save_json(Dataset(data.tiers, strict(data.entries)), path or args.output, False if args.compact else args.pretty)
 
 
 def combine(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -106,9 +122,10 @@ def combine(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def lint(spark: SparkSession, args: argparse.Namespace) -> int:
     code = 0
-    for path in datasets.expand_targets(args.targets):
+    for path in datasets.expand_targets(args.targets, spark):
         issues = rules.lint(datasets.load(spark, path), args.raw_differences).cache()
-        print(path, *sinks.issue_lines(issues), sep="\n")
+        found = rules.summary(issues)
+        print(path, *sinks.issue_lines(issues), f"{found['issues']} issues in {found['seasons']} seasons", sep="\n")
         code |= sinks.exit_code(issues, args.fail_on_issues)
     return code
 
@@ -121,6 +138,8 @@ def lint_overview(spark: SparkSession, args: argparse.Namespace) -> int:
         return 1
     for r in issues.orderBy("season_key", "place").toLocalIterator():
         print(f"{r['season_key']} {r['severity']}: {r['message']}")
+    found = rules.summary(issues)
+    print(f"{raw.select('season_key').distinct().count()} seasons, {found['errors']} errors, {found['warnings']} warnings")
     return sinks.exit_code(issues)
 
 
@@ -146,6 +165,7 @@ def parser() -> argparse.ArgumentParser:
             p.add_argument("-e", "--end", type=int, default=end)
             p.add_argument("--pages", help="Parquet table (url, html) to read pages from")
             p.add_argument("--wait", type=float, default=1.0)
+            p.add_argument("--keep-pages", help="folder that fetched pages are kept in and not fetched again from; by default beside the output")
         if name in ("build", "overview", "combined"):
             for flag in ("--update-only", "--force-update", "--ignore-war-years"):
                 p.add_argument(flag, action="store_true")
@@ -155,6 +175,7 @@ def parser() -> argparse.ArgumentParser:
         p = command(name, start, end)
         p.add_argument("-o", "--output", default=f"data-output/{output}")
         p.add_argument("--compact", action="store_true")
+        p.add_argument("--pretty", type=int, default=2, metavar="SPACES")
         if name == "scrape":
             p.add_argument("-u", "--url", action="append")
             p.add_argument("-f", "--file", action="append")
@@ -165,6 +186,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("-o", "--output", required=True)
     p.add_argument("--include-empty", action="store_true")
     p.add_argument("--compact", action="store_true")
+    p.add_argument("--pretty", type=int, default=2, metavar="SPACES")
     p = command("lint")
     p.add_argument("targets", nargs="+")
     p.add_argument("--fail-on-issues", action="store_true")
@@ -186,12 +208,18 @@ def parser() -> argparse.ArgumentParser:
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
-    args = parser().parse_args(argv)
+    args, unknown = parser().parse_known_args(argv)
+    if unknown and args.command == "lint-overview":
+        print(f"unknown arguments are ignored: {' '.join(unknown)}", file=sys.stderr)
+    elif unknown:
+        parser().error(f"unrecognized arguments: {' '.join(unknown)}")
+    args.interrupted = False
     if args.command == "minify":
         for path in args.inputs:
             print(sinks.minify(path, args.in_place, args.suffix))
         return 0
-    return globals()[args.command.replace("-", "_")](spark or session(), args) or 0
+    code = globals()[args.command.replace("-", "_")](spark or session(), args) or 0
+    return 130 if args.interrupted else code
 
 
 if __name__ == "__main__":

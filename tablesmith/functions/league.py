@@ -213,3 +213,8 @@ def describe_tier(key: Column) -> Column:
 def is_top_flight(title: Column, has_premier_league: Column) -> Column:
     text = F.lower(F.coalesce(title, F.lit("")))
     return F.when(text.contains("premier league") | text.contains("football league premier division"), True).when(text.contains("first division"), ~has_premier_league).otherwise(False)
+
+
+def labels_year(labels: Column) -> Column:
+    """The year of an array of labels: the first four digits in a row of the first one that has some."""
+    return F.get(F.filter(F.transform(labels, lambda x: F.regexp_extract(x, r"(\d{4})", 1)), lambda y: y != ""), 0).cast("int")

@@ -15,64 +15,97 @@ ISSUE = ["source_rank", "season_key", "tier_key", "rule", "rule_ord", "message"]
 
 
 def duplicates(rows: DataFrame, keys: list[str], value: Column, order: str, normal: Column | None = None) -> DataFrame:
-    """(keys..., value, place, n): values that occur more than once by their normal form, in the spelling that comes first."""
+    """(keys..., value, place, n): values that occur more than once by their normal form, in the spelling that comes first.
+
+    Null forms are no values. Other columns are ignored; an empty table gives no rows.
+    """
     form = value if normal is None else normal
-    found = rows.withColumn("_form", form).filter("_form is not null").groupBy(*keys, "_form")
-    return found.agg(F.min_by(value, order).alias("value"), F.min(order).alias("place"), F.count("*").alias("n")).filter("n > 1").drop("_form")
+    found = rows.select(*keys, form.alias("__form"), value.alias("__value"), F.col(order).alias("__order")).filter("__form is not null").groupBy(*keys, "__form")
+    return found.agg(F.min_by("__value", "__order").alias("value"), F.min("__order").alias("place"), F.count("*").alias("n")).filter("n > 1").drop("__form")
 
 
 def with_first(rows: DataFrame, keys: list[str], form: Column, order: str) -> DataFrame:
-    """rows that repeat an earlier row's form, with that row's place as `first_row`."""
-    same = Window.partitionBy(*keys, "_form")
-    marked = rows.withColumn("_form", form).filter("_form is not null").withColumn("first_row", F.min(order).over(same))
-    return marked.filter(F.col(order) > F.col("first_row")).drop("_form")
+    """rows that repeat an earlier row's form, with that row's place as `first_row`, in the place of any column of that name.
+
+    Null forms repeat nothing. Rows of equal form and place are all first ones. Columns stay; an empty table gives no rows.
+    """
+    same = Window.partitionBy(*keys, "__form")
+    marked = rows.withColumn("__form", form).filter("__form is not null").withColumn("first_row", F.min(order).over(same))
+    return marked.filter(F.col(order) > F.col("first_row")).drop("__form")
+
 
+def _plain(value: Column) -> Column:
+    return F.when(value == F.floor(value), value.cast("long").cast("string")).otherwise(value.cast("string"))
 
-def _listed(frame: DataFrame, value: str, order: str) -> DataFrame:
-    names = F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).cast("string").alias("v")))), lambda r: r["v"])
-    return frame.groupBy(*KEY).agg(F.array_join(names, ", ").alias("names"))
 
+#: The rules in their order, with what an issue says before the names of teams or values, if it has some.
+RULES = {
+    "missing-season-data": "No tier table/promoted/relegated data detected for this season",
+    "empty-tier": "Tier has no table rows or outcome lists",
+    "season-mismatch": "Tier season (%d) does not match key %d",
+    "duplicate-teams": "Duplicate teams detected: ",
+    "duplicate-positions": "Duplicate position values detected: ",
+    "match-count-mismatch": "Played totals do not equal won+drawn+lost for: ",
+    "goal-diff-mismatch": "Goal difference does not equal GF-GA for: ",
+    "promoted-mismatch": "Promoted list missing flagged teams: ",
+    "promoted-unknown": "Promoted list includes teams not in table: ",
+    "relegated-mismatch": "Relegated list missing flagged teams: ",
+    "relegated-unknown": "Relegated list includes teams not in table: ",
+}
 
-def _issue(frame: DataFrame, order: int, rule: str, message: Column) -> DataFrame:
-    return frame.select(*KEY, F.lit(rule).alias("rule"), F.lit(order).alias("rule_ord"), message.alias("message"))
 
+def _repeated(values: Column, forms: Column) -> Column:
+    """The values whose form comes again, each form once, in the spelling that comes first. Null forms never do."""
+    first = F.transform(forms, lambda f, i: f.isNotNull() & (F.array_position(forms, f) == i + 1) & (F.size(F.filter(forms, lambda g: g == f)) > 1))
+    return F.transform(F.filter(F.arrays_zip(values.alias("v"), first.alias("f")), lambda x: x["f"]), lambda x: x["v"])
 
-def _plain(column: str) -> Column:
-    return F.when(F.col(column) == F.floor(column), F.col(column).cast("long").cast("string")).otherwise(F.col(column).cast("string"))
+
+def _gaps(rows: Column, side: str) -> tuple[Column, Column]:
+    """Teams of a tier's rows that are flagged and not listed, and listed teams that are in no row, by normal name."""
+    listed, names = F.transform(side, lambda t: normal_name(t)), F.transform(rows, lambda r: r["name"])
+    lacking = F.transform(F.filter(rows, lambda r: r[f"was_{side}"] & ~F.array_contains(listed, r["name"])), lambda r: r["team"])
+    return lacking, F.filter(side, lambda t: ~F.array_contains(names, normal_name(t)))
 
 
 def lint(data: Dataset, raw_differences: bool = False) -> DataFrame:
     """Issues of a normalised dataset, a row each (ISSUE).
 
     A season without any data has one issue and no others. raw_differences: compare goal differences as they were
-    given; the normalised ones are right by construction.
+    given; the normalised ones are right by construction. All rules look at a tier once, with its rows as an array: a
+    tier's table is one JSON text to begin with. Seasons are told from their tiers by a second, small aggregate.
     """
-    content = (F.col("n_rows") > 0) | (F.coalesce(F.size("promoted"), F.lit(0)) > 0) | (F.coalesce(F.size("relegated"), F.lit(0)) > 0)
-    tiers = data.tiers.withColumn("content", content & is_tier(F.col("tier_key")))
-    seasons = tiers.groupBy("source_rank", "season_key").agg(F.bool_or("content").alias("any"))
-    empty = seasons.filter("not any").select("source_rank", "season_key", F.lit(None).cast("string").alias("tier_key"))
-    good = seasons.filter("any").select("source_rank", "season_key")
-    tiers = tiers.filter(is_tier(F.col("tier_key"))).join(good, ["source_rank", "season_key"], "left_semi")
-    rows = data.entries.join(tiers.select(*KEY), KEY, "left_semi")
-    issues = [_issue(empty, 1, "missing-season-data", F.lit("No tier table/promoted/relegated data detected for this season"))]
-    issues.append(_issue(tiers.filter("not content"), 2, "empty-tier", F.lit("Tier has no table rows or outcome lists")))
-    wrong = tiers.filter(F.col("tier_season") != F.col("season_num"))
-    issues.append(_issue(wrong, 3, "season-mismatch", F.format_string("Tier season (%d) does not match key %d", "tier_season", "season_num")))
-    teams = _listed(duplicates(rows, KEY, F.col("team"), "row_ord", normal_name(F.col("team"))), "value", "place")
-    issues.append(_issue(teams, 4, "duplicate-teams", F.concat(F.lit("Duplicate teams detected: "), "names")))
-    places = _listed(duplicates(rows, KEY, _plain("pos"), "row_ord"), "value", "place")
-    issues.append(_issue(places, 5, "duplicate-positions", F.concat(F.lit("Duplicate position values detected: "), "names")))
-    counts = _listed(rows.filter(F.col("played") != F.col("won") + F.col("drawn") + F.col("lost")), "team", "row_ord")
-    issues.append(_issue(counts, 6, "match-count-mismatch", F.concat(F.lit("Played totals do not equal won+drawn+lost for: "), "names")))
     given = "given_goal_difference" if raw_differences else "goal_difference"
-    goals = _listed(rows.filter(F.col(given) != F.col("goals_for") - F.col("goals_against")), "team", "row_ord")
-    issues.append(_issue(goals, 7, "goal-diff-mismatch", F.concat(F.lit("Goal difference does not equal GF-GA for: "), "names")))
-    for order, side in ((8, "promoted"), (10, "relegated")):
-        missing, unknown = outcome_gaps(tiers.filter(f"listed_{side}"), rows, side)
-        title = side.capitalize()
-        issues.append(_issue(_listed(missing, "team", "row_ord"), order, f"{side}-mismatch", F.concat(F.lit(f"{title} list missing flagged teams: "), "names")))
-        issues.append(_issue(_listed(unknown, "team", "row_ord"), order + 1, f"{side}-unknown", F.concat(F.lit(f"{title} list includes teams not in table: "), "names")))
-    return reduce(DataFrame.unionByName, issues)
+    row = F.struct("row_ord", "team", normal_name(F.col("team")).alias("name"), "pos", (F.col("played") != F.col("won") + F.col("drawn") + F.col("lost")).alias("odd_played"), (F.col(given) != F.col("goals_for") - F.col("goals_against")).alias("odd_goals"), "was_promoted", "was_relegated")
+    tables = data.entries.groupBy(*KEY).agg(F.array_sort(F.collect_list(row)).alias("rows"))
+    own = data.tiers.filter(is_tier(F.col("tier_key"))).select(*KEY, "season_num", "tier_season", "n_rows", "promoted", "relegated", "listed_promoted", "listed_relegated").join(tables, KEY, "left")
+    content = (F.col("n_rows") > 0) | (F.coalesce(F.size("promoted"), F.lit(0)) > 0) | (F.coalesce(F.size("relegated"), F.lit(0)) > 0)
+    season = Window.partitionBy("source_rank", "season_key")
+    # Seasons of other blocks alone have no data either.
+    others = data.tiers.filter(~is_tier(F.col("tier_key"))).select("source_rank", "season_key").distinct()
+    own = own.withColumn("content", content).withColumn("any", F.max("content").over(season))
+    lone = others.join(own.select("source_rank", "season_key").distinct(), ["source_rank", "season_key"], "left_anti")
+    empty = own.filter("not any").select("source_rank", "season_key").distinct().unionByName(lone)
+    named = lambda names: F.when(F.size(names) > 0, F.array_join(names, ", "))
+    rows = F.coalesce("rows", F.array().cast(own.schema["rows"].dataType))
+    teams = lambda kept: F.transform(F.filter(rows, kept), lambda r: r["team"])
+    values = F.transform(rows, lambda r: _plain(r["pos"]))
+    found: dict[str, Column] = {
+        "empty-tier": F.when(~F.col("content"), F.lit("")),
+        "season-mismatch": F.when(F.col("tier_season") != F.col("season_num"), F.format_string(RULES["season-mismatch"], "tier_season", "season_num")),
+        "duplicate-teams": named(_repeated(F.transform(rows, lambda r: r["team"]), F.transform(rows, lambda r: r["name"]))),
+        "duplicate-positions": named(_repeated(values, values)),
+        "match-count-mismatch": named(teams(lambda r: r["odd_played"])),
+        "goal-diff-mismatch": named(teams(lambda r: r["odd_goals"])),
+    }
+    for side in ("promoted", "relegated"):
+        lacking, unknown = _gaps(rows, side)
+        found[f"{side}-mismatch"], found[f"{side}-unknown"] = (F.when(F.col(f"listed_{side}"), named(names)) for names in (lacking, unknown))
+    order = list(RULES)
+    said = lambda rule, detail: detail if rule == "season-mismatch" else F.concat(F.lit(RULES[rule]), detail)
+    issue = [F.struct(F.lit(rule).alias("rule"), F.lit(order.index(rule) + 1).alias("rule_ord"), said(rule, detail).alias("message")) for rule, detail in found.items()]
+    by_tier = own.filter("any").select(*KEY, F.explode(F.filter(F.array(*issue), lambda x: x["message"].isNotNull())).alias("issue")).select(*KEY, "issue.*")
+    by_season = empty.select("source_rank", "season_key", F.lit(None).cast("string").alias("tier_key"), F.lit(order[0]).alias("rule"), F.lit(1).alias("rule_ord"), F.lit(RULES[order[0]]).alias("message"))
+    return by_season.unionByName(by_tier)
 
 
 def outcome_gaps(tiers: DataFrame, rows: DataFrame, side: str) -> tuple[DataFrame, DataFrame]:
@@ -85,17 +118,27 @@ def outcome_gaps(tiers: DataFrame, rows: DataFrame, side: str) -> tuple[DataFram
 
 
 def issue_order() -> list[Column]:
-    """By season number, tier name (tierless last), then rule."""
-    return [season_number(F.col("season_key")).asc_nulls_last(), F.col("season_key"), F.col("tier_key").asc_nulls_last(), F.col("rule_ord")]
+    """By season number, other seasons after them in the order of letters; then tier name (tierless last) and rule."""
+    letters = lambda c: F.collate(F.col(c), "UNICODE").asc_nulls_last()
+    return [season_number(F.col("season_key")).asc_nulls_last(), letters("season_key"), letters("tier_key"), F.col("rule_ord")]
 
 
 def totals(issues: DataFrame) -> DataFrame:
+    """(rule, n): how many issues each rule has."""
     return issues.groupBy("rule").agg(F.count("*").alias("n"))
 
 
+def summary(issues: DataFrame) -> dict[str, int]:
+    """How many issues there are, of how many seasons; of overview issues, how many are errors and warnings."""
+    figures = [F.count("*").alias("issues"), F.countDistinct("season_key").alias("seasons")]
+    if "severity" in issues.columns:
+        figures += [F.count_if(F.col("severity") == kind).alias(f"{kind}s") for kind in ("error", "warning")]
+    return issues.agg(*figures).first().asDict()
+
+
 def tier_sequence(tiers: DataFrame, keys: list[str]) -> DataFrame:
     """(keys..., found): keys whose numbered tiers are not 1, 2, 3 and so on, with what was found."""
-    number = F.substring("tier_key", 5, 9).cast("int")
+    number = F.substring("tier_key", 5, 9).try_cast("int")
     ranked = tiers.filter(is_numbered_tier(F.col("tier_key"))).withColumn("number", number)
     ranked = ranked.withColumn("expected", F.row_number().over(Window.partitionBy(*keys).orderBy("number")))
     listed = F.transform(F.array_sort(F.collect_list(F.struct("number", "tier_key"))), lambda r: r["tier_key"])
@@ -107,7 +150,7 @@ def lint_overview(raw: DataFrame) -> DataFrame:
     key = ["season_key"]
     block = raw.withColumn("v", F.try_parse_json("tier_json"))
     info = block.filter("tier_key = 'seasonInfo'").select("season_key", F.try_variant_get("v", "$.tableCount", "int").alias("declared"), F.lit(True).alias("has_info"))
-    number = F.substring("tier_key", 5, 9).cast("int")
+    number = F.substring("tier_key", 5, 9).try_cast("int")
     tiers = block.filter(is_numbered_tier(F.col("tier_key"))).withColumn("number", number)
     by_season = Window.partitionBy("season_key")
     tiers = tiers.withColumn("index", F.row_number().over(by_season.orderBy("number")) - 1).withColumn("actual", F.count("*").over(by_season))

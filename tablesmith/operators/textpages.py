@@ -9,6 +9,8 @@ from tablesmith.functions.league import TEXT_NOTES, title_case
 
 #: Figures of a line in order; lines without a goal difference have one figure less.
 STATS = ("played", "home_won", "home_drawn", "home_lost", "home_for", "home_against", "away_won", "away_drawn", "away_lost", "away_for", "away_against", "goal_difference", "points")
+#: What table_rows() adds, in the place of columns of these names.
+ROW = ("pos", "team", "played", "won", "drawn", "lost", "goals_for", "goals_against", "goal_difference", "points", "was_promoted", "was_relegated", "meta")
 TITLE_LINE = r"(?i)\bP\s+W\s+D\s+L\s+F\s+A\s+W\s+D\s+L\s+F\s+A\b"
 NOTE_LINE = r"^[+*#@^]"
 
@@ -18,17 +20,22 @@ def table_rows(lines: DataFrame, n_lines: Column, first_division: Column) -> Dat
 
     A row is a place, a team, 12 or 13 figures, and markers. The figures are the first 12 whole numbers in a row after
     the place, 13 if one more follows. A team in capitals goes up in the upper half and down in the lower, where half
-    of n_lines counts as half of the table; the first division promotes none.
+    of n_lines counts as half of the table; the first division promotes none. Null lines are no rows. The caller's
+    columns stay, but for those of ROW, which the row's own replace.
     """
-    wide, narrow = len(STATS), len(STATS) - 1
-    ints = lambda at, n: f"forall(slice(rest, {at} + 1, {n}), t -> t rlike '^-?[0-9]+$')"
-    starts = f"filter(if(size(rest) < {narrow}, cast(array() as array<int>), sequence(0, size(rest) - {narrow})), i -> {ints('i', narrow)})"
-    parsed = f"transform(array(slice(words, 2, size(words))), rest -> struct(words[0] as first, rest, get({starts}, 0) as at))[0]"
-    # Bound within one expression and filtered within the generator, so that no part of it is evaluated again.
-    bound = f"transform(array(split(trim(regexp_replace(line, '\\\\s+', ' ')), ' ')), words -> {parsed})"
-    rows = lines.select(*lines.columns, F.explode(F.expr(f"filter({bound}, p -> p.at > 0 and p.first rlike '[0-9]')")).alias("p"))
-    found = rows.select(*lines.columns, F.regexp_replace("p.first", r"\D", "").try_cast("long").alias("place"), "p.rest", "p.at").withColumn("width", F.expr(f"if(size(rest) >= at + {wide} and {ints('at', wide)}, {wide}, {narrow})"))
-    parts = found.select(*lines.columns, "place", "width", F.expr("array_join(slice(rest, 1, at), ' ')").alias("team"), F.expr("transform(slice(rest, at + 1, width), t -> try_cast(t as bigint))").alias("v"), F.expr("slice(rest, at + width + 1, size(rest))").alias("markers"))
+    kept = [c for c in lines.columns if c not in ROW]
+    # One pattern reads a line once; its parts come back between separators, which lines with no row lack.
+    figures = "((?:-?[0-9]+ ){11}-?[0-9]+)(?: (-?[0-9]+)(?= |$))?(?= |$)"
+    pattern = rf"^([^ ]*[0-9][^ ]*) ([^ ]+(?: [^ ]+)*?) {figures}((?: [^ ]+)*)$"
+    tidy = F.trim(F.regexp_replace(F.regexp_replace("line", "\\x01", " "), "\\s+", " "))
+    split = F.split(F.regexp_replace(tidy, pattern, "$1\x01$2\x01$3\x01$4\x01$5"), "\x01")
+    # Filtered within the generator, so that no part of it is evaluated again.
+    rows = lines.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("own"), F.col("line").alias("line"), n_lines.alias("n"), first_division.alias("first"), F.explode(F.filter(F.array(split), lambda p: F.size(p) == 5)).alias("p"))
+    place = F.regexp_replace(F.col("p")[0], r"\D", "").try_cast("long")
+    numbers = F.transform(F.split(F.concat(F.col("p")[2], F.when(F.col("p")[3] != "", F.concat(F.lit(" "), F.col("p")[3])).otherwise("")), " "), lambda t: t.try_cast("long"))
+    markers = F.filter(F.split(F.trim(F.col("p")[4]), " "), lambda m: m != "")
+    parts = rows.select("own", "line", "n", "first", place.alias("place"), F.col("p")[1].alias("team"), numbers.alias("v"), markers.alias("markers"))
+    n_lines, first_division, wide = F.col("n"), F.col("first"), F.size("v") == len(STATS)
     stat = {name: F.col("v")[k] for k, name in enumerate(STATS[:11])}
     total = lambda side: stat[f"home_{side}"] + stat[f"away_{side}"]
     goals_for, goals_against = total("for"), total("against")
@@ -36,8 +43,8 @@ def table_rows(lines: DataFrame, n_lines: Column, first_division: Column) -> Dat
     side = lambda s: F.struct(*[stat[f"{s}_{k}"].alias(k) for k in ("won", "drawn", "lost", "for", "against")])
     record = F.struct(side("home").alias("home"), side("away").alias("away"), "markers", (capital & (F.length("team") > 1)).alias("highlighted"), F.col("line").alias("raw_line"))
     return parts.select(
-        *lines.columns, F.col("place").alias("pos"), "team", stat["played"].alias("played"), total("won").alias("won"), total("drawn").alias("drawn"), total("lost").alias("lost"),
-        goals_for.alias("goals_for"), goals_against.alias("goals_against"), F.when(F.col("width") == wide, F.col("v")[11]).otherwise(goals_for - goals_against).alias("goal_difference"),
+        *[F.col("own")[c].alias(c) for c in kept], F.col("place").alias("pos"), "team", stat["played"].alias("played"), total("won").alias("won"), total("drawn").alias("drawn"), total("lost").alias("lost"),
+        goals_for.alias("goals_for"), goals_against.alias("goals_against"), F.when(wide, F.col("v")[11]).otherwise(goals_for - goals_against).alias("goal_difference"),
         F.element_at("v", -1).alias("points"), (capital & upper_half & ~first_division).alias("was_promoted"), (capital & ~upper_half).alias("was_relegated"), record.alias("meta"),
     )
 

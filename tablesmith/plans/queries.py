@@ -95,11 +95,6 @@ def season_chunks(spark, sf_dir):
     return standings.season_chunks(matches(spark, sf_dir), 5)
 
 
-@query(f"with m as ({MATCHES}) select tier, count(*) as n, count(distinct season) as seasons from m group by tier")
-def split_by_tier_counts(spark, sf_dir):
-    return matches(spark, sf_dir).groupBy("tier").agg(F.count("*").alias("n"), F.countDistinct("season").alias("seasons"))
-
-
 # Merging. Two sources are derived from the matches; some of their tiers are empty by construction.
 
 _SOURCES = f"""
@@ -143,15 +138,6 @@ _JUDGED = f"""{_SOURCES}, judged as (select season_key, cast(season_key as int)
   cast(season_key as int) between 1915 and 1918 or cast(season_key as int) between 1940 and 1945 as war from sources group by season_key)"""
 
 
-@query(f"""with {_JUDGED} select count(*) filter (where not war and data) as merged_seasons, count(*) filter (where not war and not data) as excluded, count(*) filter (where war) as removed_war_seasons,
-  (select count(*) from (select distinct source_rank, season_key from sources)) as input_seasons from judged""")
-def merge_stats(spark, sf_dir):
-    sources = _sources(spark, sf_dir)
-    judged = _judged(sources)
-    counts = judged.agg(F.count_if(~F.col("war") & F.col("data")).alias("merged_seasons"), F.count_if(~F.col("war") & ~F.col("data")).alias("excluded"), F.count_if("war").alias("removed_war_seasons"))
-    return counts.crossJoin(sources.select("source_rank", "season_key").distinct().agg(F.count("*").alias("input_seasons")))
-
-
 def _judged(sources: DataFrame) -> DataFrame:
     seasons = sources.groupBy("season_key").agg((F.max("n") > 0).alias("data")).withColumn("season", league.season_number(F.col("season_key")).cast("int"))
     return seasons.withColumn("war", league.war_season_of_merge(F.col("season")))
@@ -200,9 +186,9 @@ def normalise_notes_flags(spark, sf_dir):
     return docs.select("doc_id", *[f(F.col("n")).alias(k) for k, f in flags.items()])
 
 
-@query("select doc_id, trim(source) as notes from documents where source is not null and trim(source) <> '' and n_chars > 3000")
+@query("select doc_id, trim(source) as notes from documents where source is not null and trim(source) <> ''")
 def notes_extract(spark, sf_dir):
-    docs = read(spark, sf_dir, "documents").filter("n_chars > 3000").select("doc_id", league.string_value(F.col("source")).alias("notes"))
+    docs = read(spark, sf_dir, "documents").select("doc_id", league.string_value(F.col("source")).alias("notes"))
     return docs.filter("notes is not null")
 
 
@@ -218,21 +204,6 @@ def duplicate_positions_with_pointer(spark, sf_dir):
     return lint.with_first(parts, ["p_brand"], F.col("p_size"), "p_partkey").select("p_partkey", "first_row")
 
 
-@query(f"""with {_SIDES} select season, tier, team from (select *, case when first_seen % 11 = 0 then played + 1 else played end as p from ranked) where p <> won + draw + lost""")
-def stat_identity_check(spark, sf_dir):
-    m = matches(spark, sf_dir)
-    table = standings.league_table(m)
-    first = _first_seen(m)
-    odd = table.join(first, ["season", "tier", "team"]).withColumn("p", F.when(F.col("first_seen") % 11 == 0, F.col("played") + 1).otherwise(F.col("played")))
-    return odd.filter(F.col("p") != F.col("won") + F.col("draw") + F.col("lost")).select("season", "tier", "team")
-
-
-def _first_seen(m: DataFrame) -> DataFrame:
-    sides = F.array(F.struct(F.lit(0).alias("side"), F.col("home").alias("team")), F.struct(F.lit(1).alias("side"), F.col("visitor").alias("team")))
-    each = m.select("season", "tier", "match_ord", F.explode(sides).alias("s"))
-    return each.groupBy("season", "tier", F.col("s.team").alias("team")).agg(F.min(F.col("match_ord") * 2 + F.col("s.side")).alias("first_seen"))
-
-
 _LISTED = f"""{_SIDES}, listed as (select distinct season, tier, upper(team) as team from ranked where pos % 3 = 0 union all select distinct season, tier, 'UNKNOWN FC' from ranked where season % 4 = 0)"""
 
 
@@ -328,12 +299,6 @@ def major_tier_indexes(spark, sf_dir):
     return major_tiers(tables.select("season", index.alias("table_no"), (F.col("tier") == 1).alias("is_top_flight"), "n_rows"), ["season"])
 
 
-@query("""select key as k, count(*) as n, count(distinct value) as values_ from (select unnest(json_keys(props)) as key, props as value from events) group by key""")
-def json_roundtrip_counts(spark, sf_dir):
-    entries = read(spark, sf_dir, "events").select("props", F.explode(F.map_keys(F.from_json("props", "map<string, string>"))).alias("k"))
-    return entries.groupBy("k").agg(F.count("*").alias("n"), F.countDistinct("props").alias("values_"))
-
-
 @query("""select p_partkey, concat(upper(p_name[1]), lower(p_name[2:])) as title, regexp_replace(regexp_replace(lower(p_name), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') as slug, trim(p_type) as trimmed from part""")
 def text_forms(spark, sf_dir):
     name = F.col("p_name")

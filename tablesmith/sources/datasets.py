@@ -44,10 +44,16 @@ def from_literal(spark: SparkSession, text: str) -> Dataset:
     return normalise(raw_literal(spark, text))
 
 
-def expand_targets(targets: list[str]) -> list[str]:
-    """JSON files of targets: files, globs, and folders one level deep; each once, sorted; missing ones with a warning."""
+def expand_targets(targets: list[str], spark: SparkSession | None = None) -> list[str]:
+    """JSON files of targets: files, globs, and folders one level deep; each once, sorted; missing ones with a warning.
+
+    With a session, targets of any of its file systems; those of other ones than this machine's need one.
+    """
     found = set()
     for target in targets:
+        if "://" in target and spark is not None:
+            found.update(_remote(spark, target))
+            continue
         for path in glob.glob(target) or [target]:
             if os.path.isdir(path):
                 found.update(os.path.realpath(e.path) for e in os.scandir(path) if e.is_file() and e.name.lower().endswith(".json"))
@@ -56,3 +62,15 @@ def expand_targets(targets: list[str]) -> list[str]:
             else:
                 warnings.warn(f"no such file or folder: {path}", stacklevel=2)
     return sorted(found)
+
+
+def _remote(spark: SparkSession, target: str) -> set[str]:
+    at = spark._jvm.org.apache.hadoop.fs.Path(target)
+    system = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = set()
+    for status in system.globStatus(at) or []:
+        inner = [f for f in system.listStatus(status.getPath()) if f.getPath().getName().lower().endswith(".json")] if status.isDirectory() else [status]
+        found.update(f.getPath().toString() for f in inner if f.isFile())
+    if not found:
+        warnings.warn(f"no such file or folder: {target}", stacklevel=3)
+    return found

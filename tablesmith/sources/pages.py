@@ -17,8 +17,10 @@ from tablesmith.functions.league import overview_slug, promotion_slug, season_la
 DEFAULT_ENCODING = "windows-1252"
 DEFAULT_TEMPLATE = "https://www.rsssf.org/engpaul/FLA/{seasonSlug}.html"
 WIKI = "https://en.wikipedia.org/wiki/"
+WIKI_HTML = "https://en.wikipedia.org/api/rest_v1/page/html/"
 #: Bytes that windows-1252 leaves open stand for the control characters of the same number.
 OPEN_BYTES = (0x81, 0x8D, 0x8F, 0x90, 0x9D)
+_OPEN = {0xDC00 + b: chr(b) for b in OPEN_BYTES}
 #: A fetcher gives a page's bytes and content type, or raises.
 Fetcher = Callable[[str], tuple[bytes, str]]
 
@@ -27,7 +29,8 @@ def decode(raw: bytes, encoding: str | None = None) -> str:
     """Text of bytes in an encoding (windows-1252 by default), or in UTF-8 where that encoding is unknown."""
     name = (encoding or DEFAULT_ENCODING).lower()
     if name in ("windows-1252", "cp1252", "iso-8859-1", "latin1", "us-ascii", "ascii"):
-        return "".join(chr(b) if b in OPEN_BYTES else bytes((b,)).decode("cp1252") for b in raw) if any(b in raw for b in OPEN_BYTES) else raw.decode("cp1252")
+        # Open bytes turn up as characters that no other byte gives, by way of an error handler that maps them one to one.
+        return raw.decode("cp1252", "surrogateescape").translate(_OPEN)
     try:
         return raw.decode(name, "replace")
     except LookupError:
@@ -61,6 +64,22 @@ def first_of(*fetchers: Fetcher) -> Fetcher:
     return fetch
 
 
+def elsewhere(fetcher: Fetcher, start: str, other: str) -> Fetcher:
+    """A fetcher that asks for addresses that begin with start under another beginning; it fails for all others."""
+    def fetch(url: str) -> tuple[bytes, str]:
+        if not url.startswith(start):
+            raise ValueError(f"no other address for {url}")
+        return fetcher(other + url[len(start) :])
+
+    return fetch
+
+
+def wiki_fetcher(agent: str = "tablesmith") -> Fetcher:
+    """Pages by the service for articles' HTML, else by their own address."""
+    plain = http_fetcher(agent)
+    return first_of(elsewhere(plain, WIKI, WIKI_HTML), plain)
+
+
 def season_years(spark: SparkSession, start: int, end: int) -> DataFrame:
     if start > end:
         raise ValueError("the first season is after the last")
@@ -106,6 +125,29 @@ def fetch(pages: DataFrame, fetcher: Fetcher, wait_s: float = 1.0, tasks: int =
     return pages.repartition(tasks).mapInArrow(run, schema)
 
 
+def kept_pages(pages: DataFrame, fetcher: Fetcher, folder: str, wait_s: float = 1.0, each: int = 10) -> tuple[DataFrame, bool]:
+    """pages(url, ...) with html and error, kept in a folder of Parquet as they come; and whether all have come.
+
+    What an earlier run has kept is not fetched again, unless it failed. `each` pages are fetched and written at a time,
+    so that a run that fails or is interrupted loses no more than these; an interrupt ends the fetching, and the pages so
+    far are returned. Addresses are listed on the driver: at a page a second there are never many.
+    """
+    spark = pages.sparkSession
+    schema = "url string, html string, error string"
+    spark.createDataFrame([], schema).write.mode("append").parquet(folder)
+    kept = lambda: spark.read.schema(schema).parquet(folder).groupBy("url").agg(F.max("html").alias("html"), F.max("error").alias("error"))
+    left = [r["url"] for r in pages.select("url").distinct().join(kept().filter("html is not null"), "url", "left_anti").orderBy("url").collect()]
+    whole = True
+    try:
+        for k in range(0, len(left), each):
+            some = spark.createDataFrame([(u,) for u in left[k : k + each]], "url string")
+            fetch(some, fetcher, wait_s).write.mode("append").parquet(folder)
+    except KeyboardInterrupt:
+        whole = False
+    got = kept().withColumn("error", F.when(F.col("html").isNull(), F.col("error")))
+    return pages.join(got, "url"), whole
+
+
 def local_pages(spark: SparkSession, paths: str | list[str], encoding: str | None = None) -> DataFrame:
     """(path, html) of files in the given encoding, windows-1252 by default."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import json
 import os
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablesmith.functions.js import js_parse_int, key_order
@@ -21,9 +23,43 @@ def seasons_json(data: Dataset) -> DataFrame:
 
 
 def save_json(data: Dataset, path: str, pretty: bool | int = True) -> None:
-    """One file {"seasons": {...}}: two spaces, a number of spaces, or compact. Seasons are fetched one partition at a time."""
-    seasons = {r["season_key"]: json.loads(r["json"]) for r in seasons_json(data).toLocalIterator()}
-    write_json(path, {"seasons": seasons}, pretty)
+    """One file {"seasons": {...}}: two spaces, a number of spaces, or compact; on any file system that Spark knows.
+
+    Seasons go into the file one after the other, so that the driver holds one of them and those of a partition that is
+    being fetched. The file is moved into place when it is whole.
+    """
+    spaces = 2 if pretty is True else pretty or 0
+    line, pad, colon = ("\n", " " * spaces, ": ") if spaces else ("", "", ":")
+    with replaced(data.tiers.sparkSession, path) as write:
+        write(f"{{{line}{pad}{json.dumps('seasons')}{colon}{{")
+        comma = ""
+        for r in seasons_json(data).toLocalIterator():
+            season = json.dumps(json.loads(r["json"]), ensure_ascii=False, indent=spaces or None, separators=None if spaces else (",", ":"))
+            write(f"{comma}{line}{pad * 2}{json.dumps(r['season_key'], ensure_ascii=False)}{colon}{season.replace(line, line + pad * 2) if spaces else season}")
+            comma = ","
+        write(f"{line + pad if comma else ''}}}{line}}}")
+
+
+@contextmanager
+def replaced(spark: SparkSession, path: str) -> Iterator[Callable[[str], object]]:
+    """A function that writes text to a file beside path, which takes path's place if all goes well."""
+    if "://" not in path:
+        os.makedirs(os.path.dirname(os.path.abspath(path)), exist_ok=True)
+        part = f"{path}.part"
+        with open(part, "w", encoding="utf-8") as out:
+            yield out.write
+        os.replace(part, path)
+        return
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    target, part = hadoop.Path(path), hadoop.Path(f"{path}.part")
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = system.create(part, True)
+    try:
+        yield lambda text: out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    system.delete(target, False)
+    system.rename(part, target)
 
 
 def write_json(path: str, value: object, pretty: bool | int = True) -> None:
@@ -49,13 +85,16 @@ def save_by_tier(rows: DataFrame, path: str) -> None:
 
 
 def with_chunks(rows: DataFrame, size: int = 25, season: str = "Season") -> DataFrame:
-    """rows with `chunk`: the first and last of each `size` seasons that a tier has, as text. Ranks come from the few different seasons."""
+    """rows with `chunk`, in the place of any column of that name: the first and last of each `size` seasons that a tier has, as text.
+
+    Ranks come from the few different seasons. Rows whose season is no number, or whose tier is null, fall away; other columns stay.
+    """
     number = js_parse_int(F.col(season))
-    seasons = rows.select("tier", number.alias("_n")).filter("_n is not null").distinct()
-    placed = seasons.withColumn("_c", F.floor((F.dense_rank().over(Window.partitionBy("tier").orderBy("_n")) - 1) / size))
-    part = Window.partitionBy("tier", "_c")
-    labelled = placed.select("tier", "_n", F.concat_ws("-", F.min("_n").over(part).cast("string"), F.max("_n").over(part).cast("string")).alias("chunk"))
-    return rows.withColumn("_n", number).join(labelled, ["tier", "_n"]).drop("_n")
+    seasons = rows.select("tier", number.alias("__n")).filter("__n is not null").distinct()
+    placed = seasons.withColumn("__c", F.floor((F.dense_rank().over(Window.partitionBy("tier").orderBy("__n")) - 1) / size))
+    part = Window.partitionBy("tier", "__c")
+    labelled = placed.select("tier", "__n", F.concat_ws("-", F.min("__n").over(part).cast("string"), F.max("__n").over(part).cast("string")).alias("chunk"))
+    return rows.drop("chunk").withColumn("__n", number).join(labelled, ["tier", "__n"]).drop("__n")
 
 
 def save_chunks(rows: DataFrame, path: str, size: int = 25) -> None:

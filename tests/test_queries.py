@@ -5,7 +5,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from tablesmith.plans import queries
+from tablesmith.plans import assembly, queries  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 
