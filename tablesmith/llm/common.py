@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: The word separators of every operator here: space, tab, LF, VT, FF and CR.
 SPACES = "\t\n\x0b\x0c\r "
+#: Rows that a worker looks at together.
+PART_ROWS = 512
 #: Where tables are stashed when a local session names no checkpoint folder, as in tests.
 DEFAULT_STASH = "/tmp/checkpoints"
 
@@ -56,22 +58,28 @@ def text_of(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
 
 
-def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
-    """Apply fn to each Arrow batch; fn returns {column: Arrow array or list} in the schema's order.
+def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches in parts of PART_ROWS rows, empty ones left out, so that what is made of a part stays small.
 
     Spark bounds batches by spark.sql.execution.arrow.maxBytesPerBatch, 64 MB unless the session says otherwise, so that
     texts of any length reach a worker few at a time.
     """
+    for batch in batches:
+        for start in range(0, batch.num_rows, PART_ROWS):
+            yield batch.slice(start, PART_ROWS)
+
+
+def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
+    """Apply fn to small Arrow batches; fn returns {column: Arrow array or list} in the schema's order."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
     target = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                out = fn(batch)
-                arrays = [a.cast(f.type) if isinstance(a := out[f.name], (pa.Array, pa.ChunkedArray)) else pa.array(a, f.type) for f in target]
-                yield pa.RecordBatch.from_arrays(arrays, schema=target)
+        for batch in small(batches):
+            out = fn(batch)
+            arrays = [a.cast(f.type) if isinstance(a := out[f.name], (pa.Array, pa.ChunkedArray)) else pa.array(a, f.type) for f in target]
+            yield pa.RecordBatch.from_arrays(arrays, schema=target)
 
     return df.mapInArrow(run, schema)

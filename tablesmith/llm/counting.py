@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tablesmith.llm.common import small
+
 U = np.uint64
 #: Distinct keys that a map task holds before it hands them on.
 HELD = 1 << 22
@@ -89,11 +91,10 @@ def tally(fill: Callable[[pa.RecordBatch, Tally], None], bits: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = Tally(bits)
-        for batch in batches:
-            if batch.num_rows:
-                fill(batch, held)
-                if held.full():
-                    yield from held.blocks()
+        for batch in small(batches):
+            fill(batch, held)
+            if held.full():
+                yield from held.blocks()
         yield from held.blocks()
 
     return run

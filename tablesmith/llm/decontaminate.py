@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablesmith.llm.common import map_rows, text_of
+from tablesmith.llm.common import map_rows, small, text_of
 from tablesmith.llm.words import SHINGLE_WORDS, SIMILARITY, U, chunks, ngram_hashes, spans, utf8, word_hashes
 
 #: Bits that a fingerprint may differ in, of 64 in four blocks of 16: one block then differs in RADIUS // 4 bits at most.
@@ -292,12 +292,11 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float =
 
 def _clean(search):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                places = pa.array(np.arange(batch.num_rows))
-                found = search(pa.RecordBatch.from_pydict({"doc_id": places, "text": batch.column("text").fill_null("")}))
-                clean = np.ones(batch.num_rows, bool)
-                clean[found["doc_id"]] = False
-                yield batch.filter(pa.array(clean))
+        for batch in small(batches):
+            places = pa.array(np.arange(batch.num_rows))
+            found = search(pa.RecordBatch.from_pydict({"doc_id": places, "text": batch.column("text").fill_null("")}))
+            clean = np.ones(batch.num_rows, bool)
+            clean[found["doc_id"]] = False
+            yield batch.filter(pa.array(clean))
 
     return run

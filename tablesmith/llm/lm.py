@@ -15,7 +15,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablesmith.llm.common import Stash, map_rows, text_of
+from tablesmith.llm.common import Stash, map_rows, small, text_of
 from tablesmith.llm.counting import BLOCK_SCHEMA, BLOCKS, HELD, U, Tally, from_planes, merged, pack_keys, planes, range_bits, unpack_keys
 from tablesmith.llm.words import chunks, mix, spans, utf8, word_hashes
 
@@ -52,7 +52,7 @@ def _count(bits: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for batch in batches:
+        for batch in small(batches):
             column = batch.column("text")
             for i, j in chunks(utf8(column)[1]):
                 hashes, first = tokens(column[i:j])

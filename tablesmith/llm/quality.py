@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablesmith.llm.common import map_rows, text_of
+from tablesmith.llm.common import map_rows, small, text_of
 from tablesmith.llm.counting import BLOCKS, U, Tally, merged, range_bits, tally
 from tablesmith.llm.words import chunks, mix, ngram_hashes, spans, utf8, word_hashes
 
@@ -205,9 +205,8 @@ def keep_good(docs: DataFrame) -> DataFrame:
     measure = _measure(references(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                plain = {"doc_id": batch.column("doc_id"), "text": batch.column("text").fill_null(""), "lang": batch.column("lang").fill_null("")}
-                yield batch.filter(measure(pa.RecordBatch.from_pydict(plain))["kept"])
+        for batch in small(batches):
+            plain = {"doc_id": batch.column("doc_id"), "text": batch.column("text").fill_null(""), "lang": batch.column("lang").fill_null("")}
+            yield batch.filter(measure(pa.RecordBatch.from_pydict(plain))["kept"])
 
     return docs.mapInArrow(run, docs.schema)

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablesmith.llm.common import Stash, map_rows, text_of
+from tablesmith.llm.common import Stash, map_rows, small, text_of
 from tablesmith.llm.sieve import Sieve
 
 #: Labelled rows that the lexicon and the calibration are learnt from, at most: those of the least hashes of doc_id.
@@ -132,7 +132,7 @@ def _counts(make) -> object:
             keys = list(toxic.keys() | clean.keys())
             return pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([toxic[k] for k in keys], pa.int64()), pa.array([clean[k] for k in keys], pa.int64())], ["entry", "toxic", "clean"])
 
-        for batch in batches:
+        for batch in small(batches):
             for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
                 (toxic if label else clean).update(make(fold(text)))
             if len(toxic) + len(clean) > 500_000:
