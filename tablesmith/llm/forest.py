@@ -134,20 +134,21 @@ def _verify(threshold: float, short: int, long: int | None):
 
 
 def _representatives(signed: DataFrame, stash: Stash) -> DataFrame:
-    """(doc_id, rep_id): the least doc_id of each row's text. Only rows whose text may occur twice are joined, by salted keys."""
+    """(doc_id, k1, rep_id): the least doc_id of each row's text. Only rows whose text may occur twice are joined, by salted keys."""
     copied = signed.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep_id"), F.count("*").alias("n")).filter("n > 1").select("k1", "k2", "rep_id")
     copied = stash(copied)
     both = Sieve(copied, "k1").split(signed.select("doc_id", "k1", "k2"), "k1")
-    clear = both.filter(f"not {MAYBE}").select("doc_id", F.col("doc_id").alias("rep_id"))
+    clear = both.filter(f"not {MAYBE}").select("doc_id", "k1", F.col("doc_id").alias("rep_id"))
     salted = copied.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     met = both.filter(MAYBE).withColumn("salt", F.pmod(F.xxhash64("doc_id", F.lit("salt")), F.lit(SALTS)).cast("int")).join(salted, ["k1", "k2", "salt"], "left")
-    return stash(clear.unionAll(met.select("doc_id", F.coalesce("rep_id", "doc_id").alias("rep_id"))))
+    return stash(clear.unionAll(met.select("doc_id", "k1", F.coalesce("rep_id", "doc_id").alias("rep_id"))))
 
 
 def _branches(signed: DataFrame, members: DataFrame, prefix: int, depth: int, stash: Stash) -> DataFrame:
     """(tree, label, doc_id): the tries' branches below nodes of this prefix that two different texts share."""
-    copies = stash(members.filter("doc_id <> rep_id").select("doc_id").distinct())
-    listed = without(signed.filter("doc_id is not null").select("doc_id", "labels"), copies, "doc_id")
+    own = F.xxhash64("doc_id", "k1").alias("own")
+    copies = stash(members.filter("doc_id <> rep_id").select(own).distinct())
+    listed = without(signed.filter("doc_id is not null").select("doc_id", "labels", own), copies, "own")
     nodes = listed.select("doc_id", F.posexplode("labels").alias("tree", "label"))
     key = F.xxhash64("tree", F.shiftrightunsigned("label", BITS * (depth - prefix))).alias("key")
     crowded = stash(nodes.groupBy(key).agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low <> high").select("key"))
