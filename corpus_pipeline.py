@@ -1,7 +1,7 @@
 """The corpus pipeline: quality rules, line deduplication, near-duplicate removal, decontamination, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a table, which is written as Parquet and read again as the next
-stage's docs. All stages but the last return the columns of documents.
+stage's docs. All stages but the last return the columns of docs, extra ones included; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -18,27 +18,46 @@ from tablesmith.llm.quality import keep_good
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep.
+
+    Null and empty texts have no words and go; so do texts of fewer than 50 words, as the base rules ask. Repeated rows
+    stay or go together. A null language is compared with no reference.
+    """
     return keep_good(docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that an earlier document or line has; those with no word left go."""
+    """Documents without the lines that an earlier document or line has; those with no word left go.
+
+    Null and empty texts have no lines and stay. Of repeated rows of one doc_id all keep the same lines, as lines are
+    told apart by doc_id and place. Rows without a doc_id come after all others.
+    """
     return dedup_lines(docs)
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class."""
+    """One document of each near-duplicate class, the one of the least doc_id.
+
+    Null and empty texts are equal, so that one of them stays. Rows that repeat a doc_id stay or go together; rows
+    without a doc_id stay.
+    """
     return one_of_each_class(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no item of the benchmark."""
+    """Documents that hold no item of the benchmark.
+
+    Null and empty texts hold none; null items and those of fewer than five words are in no document. Repeated rows stay
+    or go together. An empty benchmark keeps all.
+    """
     return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of power-of-two lengths: (doc_id, start, length, ids, doc_tokens, bucket, sequence_id, offset, ids_crc32)."""
+    """Pieces of power-of-two lengths: (doc_id, start, length, ids, doc_tokens, bucket, sequence_id, offset, ids_crc32).
+
+    Null is the empty text, which is one piece of the end id. Repeated rows are documents of their own.
+    """
     return pack(docs).withColumn("ids_crc32", F.crc32("ids"))
 
 
