@@ -284,7 +284,10 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
-    """Rows of docs that hold no item, with the columns of docs: a filter for each block of items, without a join."""
+    """Rows of docs that hold no item, with the columns of docs: a filter for each block of items, without a join.
+
+    Null and empty texts hold none. Repeated rows stay or go together. Empty tables of either kind take nothing away.
+    """
     for block in _blocks(benchmark):
         docs = docs.mapInArrow(_clean(_search(index(block), threshold)), docs.schema)
     return docs

@@ -224,6 +224,10 @@ def jaccard_join(docs: DataFrame, threshold: float = SIMILARITY, trees: int = TR
 
 
 def one_of_each_class(docs: DataFrame, **options) -> DataFrame:
-    """Rows of docs without those of a class that are not of its least doc_id; columns stay. Only few rows are shuffled."""
+    """Rows of docs without those of a class that are not of its least doc_id; columns stay. Only few rows are shuffled.
+
+    Null texts are empty ones, of which one stays. Rows that repeat a doc_id stay or go together, and rows without one
+    stay. An empty table gives an empty one.
+    """
     others = Stash(docs.sparkSession, "others")(jaccard_join(docs, **options).filter("doc_id <> class_id").select("doc_id"))
     return without(docs, others, "doc_id")

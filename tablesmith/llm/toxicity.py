@@ -153,6 +153,10 @@ def learn(docs: DataFrame, labels: DataFrame) -> Lexicon:
     At most TRAIN_ROWS labelled rows count, those of the least hashes of doc_id; three quarters of them give the
     entries (log odds of a word or a word's beginning in toxic documents) and the exceptions (two words in a row, one
     of them matched, that clean documents have at least as often), the rest calibrate the score.
+
+    Null labels and labels without a document teach nothing; of several labels of a document a toxic one counts. Null
+    texts are empty. Repeated rows of docs count each. Without toxic texts there are no entries and all texts score alike.
+    Extra columns are ignored; empty tables give a lexicon without entries.
     """
     spread = F.xxhash64("doc_id", F.lit("toxicity"))
     known = labels.filter(F.col("toxic").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("toxic") == 1).alias("toxic"))

@@ -1,6 +1,8 @@
 import random
 import re
 
+import pytest
+
 from tablesmith.llm import licenses
 
 WORDS = [a + b + c for a in "bcdfg" for b in "aeiou" for c in ("n", "rst", "llow", "m", "ts")]
@@ -24,17 +26,21 @@ def test_notices_are_found(spark):
     docs += [(504, "word " * 5000 + "Released under the MIT license" + " word" * 5000, "x"), (505, "Licensed under the Apache Software License, Version 2.0", "x")]
     frame = spark.createDataFrame(docs, "doc_id long, text string, license string")
     got = {(r["doc_id"], r["license"]): (r["start_word"], r["end_word"], r["containment"]) for r in licenses.scan(frame).collect()}
-    want = set()
+    want: dict[tuple[int, str], float] = {}
+    passages = set()
     for d, text, _ in docs:
-        words, have = grams(text or "")
+        words, _ = grams(text or "")
         for name, notice in licenses.NOTICES:
-            parts, need = grams(notice)
-            for s in range(max(1, len(words) - len(parts) + 1)):
-                if len({tuple(words[k : k + 3]) for k in range(s, min(len(words), s + len(parts)) - 2)} & need) >= 0.8 * len(need):
-                    want.add((d, name))
-                    break
-    assert want <= set(got) and len(want) >= 50
-    assert all(grams(dict((d, t) for d, t, _ in docs)[d] or "")[1] & grams(n)[1] for (d, l) in set(got) - want for m, n in licenses.NOTICES if m == l) or set(got) == want
+            own, need = grams(notice)
+            n = len(own)
+            held = lambda s, size: len({tuple(words[k : k + 3]) for k in range(s, min(len(words), s + size) - 2)} & need) / len(need)
+            # Windows of twice the template's length at every length, as the operator looks at them.
+            best = max((held(s, 2 * n) for s in range(0, max(1, len(words)), n)), default=0)
+            if best >= 0.8:
+                want[d, name] = max(best, want.get((d, name), 0))
+            if any(held(s, n) >= 0.8 for s in range(max(1, len(words) - n + 1))):
+                passages.add((d, name))
+    assert {k: v[2] for k, v in got.items()} == pytest.approx(want) and passages <= set(want) and len(want) >= 50
     assert got[503, "Proprietary"] == (0, 3, 1.0) and got[504, "MIT"][:2] == (5000, 5005)
     assert licenses.scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
