@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from tablesmith.functions.js import js_trim
 from tablesmith.functions.league import by_goal_average, goal_average, points_for_win, promoted_count, relegated_count
 
+#: First letters of a club's name that its number is counted by.
+HEAD = 8
+
 
 def league_table(matches: DataFrame) -> DataFrame:
     """Ranked tables of matches(season, tier, match_ord, home, visitor, hgoal, vgoal, result).
@@ -39,7 +42,10 @@ def league_table(matches: DataFrame) -> DataFrame:
 
 
 def ends(table: DataFrame, n: int = 4) -> DataFrame:
-    """The first and the last n teams of each table: (season, tier, bucket, place, team), place counted in table order."""
+    """The first and the last n teams of each table: (season, tier, bucket, place, team), place counted in table order.
+
+    Teams of a table of fewer than 2 n may be in both. Other columns are ignored; an empty table gives no rows.
+    """
     size = F.count("*").over(Window.partitionBy("season", "tier"))
     sized = table.select("season", "tier", "team", "pos", size.alias("size"))
     top = sized.filter(F.col("pos") <= n).select("season", "tier", F.lit("top").alias("bucket"), F.col("pos").alias("place"), "team")
@@ -52,6 +58,7 @@ def movements(table: DataFrame) -> DataFrame:
     """(team, promoted, relegated): how often each team went up from tier 2 and down from tier 1.
 
     The season's rule gives how many move; a table with fewer teams moves none. Seasons without a tier 1 don't count.
+    Null seasons move none. Other columns are ignored; an empty table gives no rows.
     """
     down, up = relegated_count(F.col("season")), promoted_count(F.col("season"))
     size = F.count("*").over(Window.partitionBy("season", "tier"))
@@ -64,13 +71,26 @@ def movements(table: DataFrame) -> DataFrame:
 
 
 def club_ids(matches: DataFrame) -> DataFrame:
-    """(id, name): all different names of home teams and visitors, trimmed and not blank, numbered in order of name."""
+    """(id, name): all different names of home teams and visitors, trimmed and not blank, numbered in order of name.
+
+    Names are counted by their first HEAD letters, whose running sums give each such group its first number; within a
+    group names are ranked, so that a task holds the names of one group alone. Null names are none; other columns are
+    ignored, and an empty table gives no rows.
+    """
     names = matches.select(F.explode(F.array("home", "visitor")).alias("name")).select(js_trim(F.col("name")).alias("name")).filter("name <> ''").distinct()
-    return names.select(F.concat(F.lit("club_"), F.row_number().over(Window.orderBy("name")).cast("string")).alias("id"), "name")
+    head = F.substring("name", 1, HEAD).alias("head")
+    sizes = names.groupBy(head).agg(F.count("*").alias("n"))
+    before = sizes.select("head", (F.sum("n").over(Window.orderBy("head").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("before"))
+    place = F.row_number().over(Window.partitionBy("head").orderBy("name"))
+    ranked = names.select("name", head).withColumn("place", place).join(before, "head")
+    return ranked.select(F.concat(F.lit("club_"), (F.col("before") + F.col("place")).cast("string")).alias("id"), "name")
 
 
 def season_chunks(matches: DataFrame, size: int = 25) -> DataFrame:
-    """(tier, season, chunk, label): chunks of `size` seasons that a tier has, named by their first and last."""
+    """(tier, season, chunk, label): chunks of `size` seasons that a tier has, named by their first and last.
+
+    Null tiers are a tier of their own, null seasons come first. Other columns are ignored; an empty table gives no rows.
+    """
     seasons = matches.select("tier", "season").distinct()
     placed = seasons.withColumn("chunk", F.expr(f"cast((dense_rank() over (partition by tier order by season) - 1) div {size} as int)"))
     chunk = Window.partitionBy("tier", "chunk")
