@@ -72,19 +72,18 @@ def lint(data: Dataset, raw_differences: bool = False) -> DataFrame:
 
     A season without any data has one issue and no others. raw_differences: compare goal differences as they were
     given; the normalised ones are right by construction. All rules look at a tier once, with its rows as an array: a
-    tier's table is one JSON text to begin with. Seasons are told from their tiers by a second, small aggregate.
+    tier's table is one JSON text to begin with.
     """
     given = "given_goal_difference" if raw_differences else "goal_difference"
     row = F.struct("row_ord", "team", normal_name(F.col("team")).alias("name"), "pos", (F.col("played") != F.col("won") + F.col("drawn") + F.col("lost")).alias("odd_played"), (F.col(given) != F.col("goals_for") - F.col("goals_against")).alias("odd_goals"), "was_promoted", "was_relegated")
     tables = data.entries.groupBy(*KEY).agg(F.array_sort(F.collect_list(row)).alias("rows"))
-    own = data.tiers.filter(is_tier(F.col("tier_key"))).select(*KEY, "season_num", "tier_season", "n_rows", "promoted", "relegated", "listed_promoted", "listed_relegated").join(tables, KEY, "left")
-    content = (F.col("n_rows") > 0) | (F.coalesce(F.size("promoted"), F.lit(0)) > 0) | (F.coalesce(F.size("relegated"), F.lit(0)) > 0)
+    own = data.tiers.select(*KEY, "season_num", "tier_ord", "tier_season", "n_rows", "promoted", "relegated", "listed_promoted", "listed_relegated").join(tables, KEY, "left")
+    tier = is_tier(F.col("tier_key"))
+    content = tier & ((F.col("n_rows") > 0) | (F.coalesce(F.size("promoted"), F.lit(0)) > 0) | (F.coalesce(F.size("relegated"), F.lit(0)) > 0))
     season = Window.partitionBy("source_rank", "season_key")
-    # Seasons of other blocks alone have no data either.
-    others = data.tiers.filter(~is_tier(F.col("tier_key"))).select("source_rank", "season_key").distinct()
     own = own.withColumn("content", content).withColumn("any", F.max("content").over(season))
-    lone = others.join(own.select("source_rank", "season_key").distinct(), ["source_rank", "season_key"], "left_anti")
-    empty = own.filter("not any").select("source_rank", "season_key").distinct().unionByName(lone)
+    # A season without data has its issue at the first of its blocks, of whatever kind that is.
+    own = own.withColumn("first", F.row_number().over(season.orderBy("tier_ord", "tier_key")) == 1)
     named = lambda names: F.when(F.size(names) > 0, F.array_join(names, ", "))
     rows = F.coalesce("rows", F.array().cast(own.schema["rows"].dataType))
     teams = lambda kept: F.transform(F.filter(rows, kept), lambda r: r["team"])
@@ -102,10 +101,10 @@ def lint(data: Dataset, raw_differences: bool = False) -> DataFrame:
         found[f"{side}-mismatch"], found[f"{side}-unknown"] = (F.when(F.col(f"listed_{side}"), named(names)) for names in (lacking, unknown))
     order = list(RULES)
     said = lambda rule, detail: detail if rule == "season-mismatch" else F.concat(F.lit(RULES[rule]), detail)
-    issue = [F.struct(F.lit(rule).alias("rule"), F.lit(order.index(rule) + 1).alias("rule_ord"), said(rule, detail).alias("message")) for rule, detail in found.items()]
-    by_tier = own.filter("any").select(*KEY, F.explode(F.filter(F.array(*issue), lambda x: x["message"].isNotNull())).alias("issue")).select(*KEY, "issue.*")
-    by_season = empty.select("source_rank", "season_key", F.lit(None).cast("string").alias("tier_key"), F.lit(order[0]).alias("rule"), F.lit(1).alias("rule_ord"), F.lit(RULES[order[0]]).alias("message"))
-    return by_season.unionByName(by_tier)
+    details = {order[0]: F.when(~F.col("any") & F.col("first"), F.lit("")), **{rule: F.when(F.col("any") & tier, detail) for rule, detail in found.items()}}
+    issue = [F.struct(F.lit(rule).alias("rule"), F.lit(k + 1).alias("rule_ord"), said(rule, details[rule]).alias("message")) for k, rule in enumerate(order)]
+    each = own.select(*KEY, F.explode(F.filter(F.array(*issue), lambda x: x["message"].isNotNull())).alias("issue")).select(*KEY, "issue.*")
+    return each.withColumn("tier_key", F.when(F.col("rule_ord") > 1, F.col("tier_key")))
 
 
 def outcome_gaps(tiers: DataFrame, rows: DataFrame, side: str) -> tuple[DataFrame, DataFrame]:

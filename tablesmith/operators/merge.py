@@ -24,6 +24,11 @@ def _folded(include_empty: bool) -> Column:
     return F.expr(f"aggregate(slice(sources, 2, size(sources)), sources[0], (a, x) -> {step}).source_rank")
 
 
+def _first(data: Column):
+    """A tier's sources in the order in which they count: those with data first."""
+    return Window.partitionBy("season_key", "tier_key").orderBy((data & is_tier(F.col("tier_key"))).desc(), "source_rank")
+
+
 def first_wins(sources: DataFrame, include_empty: bool = False) -> DataFrame:
     """(season_key, tier_key, source_rank) that stays of sources(season_key, tier_key, source_rank, data).
 
@@ -31,8 +36,7 @@ def first_wins(sources: DataFrame, include_empty: bool = False) -> DataFrame:
     earlier one, data or not, which makes the order of sources matter at each step. Other blocks: the first source.
     """
     if not include_empty:
-        order = Window.partitionBy("season_key", "tier_key").orderBy((F.col("data") & is_tier(F.col("tier_key"))).desc(), "source_rank")
-        return sources.withColumn("place", F.row_number().over(order)).filter("place = 1").select("season_key", "tier_key", "source_rank")
+        return sources.withColumn("place", F.row_number().over(_first(F.col("data")))).filter("place = 1").select("season_key", "tier_key", "source_rank")
     listed = sources.groupBy("season_key", "tier_key").agg(F.array_sort(F.collect_list(F.struct("source_rank", "data"))).alias("sources"))
     first = F.col("sources")[0]["source_rank"]
     return listed.select("season_key", "tier_key", F.when(is_tier(F.col("tier_key")), _folded(include_empty)).otherwise(first).alias("source_rank"))
@@ -49,9 +53,15 @@ def combine(datasets: list[Dataset], include_empty: bool = False) -> tuple[Datas
     A season that only one source has comes from it whole. Figures: merged_seasons, inputs, excluded, input_seasons,
     removed_war_seasons, missing_seasons (numbers) and missing_keys (those that are no numbers) of excluded seasons.
     """
-    whole = union(datasets)
-    chosen = first_wins(whole.tiers.select("season_key", "tier_key", "source_rank", has_data().alias("data")), include_empty)
-    tiers = whole.tiers.join(chosen, KEY, "left_semi")
+    return combine_ranked(union(datasets), len(datasets), include_empty)
+
+
+def combine_ranked(whole: Dataset, inputs: int, include_empty: bool = False) -> tuple[Dataset, DataFrame]:
+    """combine() of datasets that are one already, told apart by their source_rank; inputs is their number."""
+    if include_empty:
+        tiers = whole.tiers.join(first_wins(whole.tiers.select("season_key", "tier_key", "source_rank", has_data().alias("data")), True), KEY, "left_semi")
+    else:  # the first one of an order that tiers are put in anyway, so without a join
+        tiers = whole.tiers.withColumn("__place", F.row_number().over(_first(has_data()))).filter("__place = 1").drop("__place")
     seasons = tiers.groupBy("season_key").agg(F.bool_or(has_data()).alias("data"))
     judged = seasons.select("season_key", "data", season_number(F.col("season_key")).alias("number"))
     judged = judged.withColumn("war", war_season_of_merge(F.col("number"))).withColumn("kept", ~F.col("war") & (F.col("data") | F.lit(include_empty)))
@@ -59,13 +69,13 @@ def combine(datasets: list[Dataset], include_empty: bool = False) -> tuple[Datas
     kept = tiers.join(keep, "season_key", "left_semi")
     data = Dataset(kept, whole.entries.join(kept.select(*KEY), KEY, "left_semi"))
     excluded = ~F.col("kept") & ~F.col("war")
-    inputs = whole.tiers.select("source_rank", "season_key").distinct().agg(F.count("*").alias("input_seasons"))
+    held = whole.tiers.select("source_rank", "season_key").distinct().agg(F.count("*").alias("input_seasons"))
     figures = judged.agg(
-        F.count_if("kept").alias("merged_seasons"), F.lit(len(datasets)).cast("long").alias("inputs"), F.count_if(excluded).alias("excluded"), F.count_if("war").alias("removed_war_seasons"),
+        F.count_if("kept").alias("merged_seasons"), F.lit(inputs).cast("long").alias("inputs"), F.count_if(excluded).alias("excluded"), F.count_if("war").alias("removed_war_seasons"),
         F.array_sort(F.collect_list(F.when(excluded, F.col("number")))).alias("missing_seasons"),
         F.array_sort(F.collect_list(F.when(excluded & F.col("number").isNull(), F.col("season_key")))).alias("missing_keys"),
     )
-    return data, figures.crossJoin(inputs)
+    return data, figures.crossJoin(held)
 
 
 def overwrite(datasets: list[Dataset]) -> Dataset:

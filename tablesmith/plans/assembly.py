@@ -127,12 +127,18 @@ def overview_lint_issues(spark, sf_dir):
 # Merging of datasets, publishing, and reading back.
 
 
-def _datasets(spark, sf_dir) -> list[Dataset]:
-    """The sources of the merging queries as datasets: tiers with n rows are arrays of n teams."""
+def _ranked(spark, sf_dir) -> Dataset:
+    """The sources of the merging queries as one dataset: tiers with n rows are arrays of n teams."""
     entries = F.transform(F.sequence(F.lit(1), F.col("n")), lambda k: F.concat(F.lit('{"team":"t'), k.cast("string"), F.lit('","goalsFor":'), k.cast("string"), F.lit("}")))
     text = F.when(F.col("n") > 0, F.concat(F.lit("["), F.array_join(entries, ","), F.lit("]"))).otherwise(F.lit("[]"))
     raw = _sources(spark, sf_dir).select("source_rank", "season_key", F.col("season_key").cast("int").alias("season_ord"), "tier_key", F.substring("tier_key", 5, 9).cast("int").alias("tier_ord"), text.alias("tier_json"))
-    return [normalise(raw.filter(F.col("source_rank") == k)) for k in range(3)]
+    return normalise(raw)
+
+
+def _datasets(spark, sf_dir) -> list[Dataset]:
+    """The sources as datasets of their own."""
+    whole = _ranked(spark, sf_dir)
+    return [whole.where(F.col("source_rank") == k) for k in range(3)]
 
 
 _MERGED = f"""{_SOURCES}, placed as (select *, row_number() over (partition by season_key, tier_key order by (n > 0) desc, source_rank) as place from sources),
@@ -142,7 +148,7 @@ judged as (select season_key, bool_or(n > 0) as data, cast(season_key as int) be
 @query(f"""with {_MERGED} select p.season_key, p.tier_key, p.source_rank, cast(n as int) as n_rows, cast(n * (n + 1) / 2 as double) as goals from placed p join judged using (season_key) where place = 1 and data and not war""")
 def combined_tiers(spark, sf_dir):
     """Three datasets merged: which tiers stay, of which source, and their rows."""
-    data, _ = merge.combine(_datasets(spark, sf_dir))
+    data, _ = merge.combine_ranked(_ranked(spark, sf_dir), 3)
     goals = data.entries.groupBy("source_rank", "season_key", "tier_key").agg(F.sum("goal_difference").alias("goals"))
     held = data.tiers.join(goals, ["source_rank", "season_key", "tier_key"], "left")
     return held.select("season_key", "tier_key", "source_rank", "n_rows", F.coalesce("goals", F.lit(0.0)).alias("goals"))
@@ -151,7 +157,7 @@ def combined_tiers(spark, sf_dir):
 @query(f"""with {_MERGED} select count(*) filter (where not war and data) as merged_seasons, count(*) filter (where not war and not data) as excluded, count(*) filter (where war) as removed_war_seasons,
   (select count(*) from (select distinct source_rank, season_key from sources)) as input_seasons, array_to_string(list(season_key order by season_key) filter (where not war and not data), ',') as missing from judged""")
 def merge_stats(spark, sf_dir):
-    _, figures = merge.combine(_datasets(spark, sf_dir))
+    _, figures = merge.combine_ranked(_ranked(spark, sf_dir), 3)
     missing = F.array_join(F.transform("missing_seasons", lambda x: x.cast("string")), ",")
     return figures.select("merged_seasons", "excluded", "removed_war_seasons", "input_seasons", F.when(F.size("missing_seasons") > 0, missing).alias("missing"))
 
