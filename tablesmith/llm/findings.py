@@ -27,7 +27,7 @@ def count_of(findings: Column, kind: str) -> Column:
 
 
 def digest(findings: str, kinds: tuple[str, ...]) -> list[Column]:
-    """Counts of base findings of each kind, their SHA-256, and the line of all findings."""
+    """Counts of base findings of each kind, their SHA-256, the line of all findings, and their number."""
     column = F.col(findings)
     counts = [count_of(column, kind).alias(f"n_{kind}") for kind in kinds]
-    return [*counts, F.sha2(line(base_of(column)), 256).alias("base_sha256"), line(column).alias("spans")]
+    return [*counts, F.sha2(line(base_of(column)), 256).alias("base_sha256"), line(column).alias("spans"), F.size(column).cast("long").alias("n_spans")]

@@ -89,7 +89,7 @@ LANGUAGE_MODEL = rf"""
     sums as (select coalesce(sum(c), 0)::bigint as total, count(*) as words from counts),
     each as (select row, unnest(tokens) as token from docs)
     select doc_id, held_out, count(*) as n_tokens, count(c) as n_known, total as train_tokens,
-      round(sum(log10((coalesce(c, 0) + 0.5) / (total + 0.5 * (words + 1)))), 5) as base_score
+      round(sum(log10((coalesce(c, 0) + 0.5) / (total + 0.5 * (words + 1)))), 3) as base_score
     from each join docs using (row) left join counts using (token), sums group by row, doc_id, held_out, total"""
 
 #: For each query: the operator's query, the columns that it takes from that, and their SQL.
@@ -107,7 +107,7 @@ def bases(operators: dict[str, Callable[[SparkSession, str], DataFrame]]) -> dic
     def query(operator: str, columns: list[str | Column]) -> Callable[[SparkSession, str], DataFrame]:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             out = operators[operator](spark, sf_dir).select(*columns)
-            return out.withColumn("base_score", F.round("base_score", 5)) if "base_score" in out.columns else out
+            return out.withColumn("base_score", F.round("base_score", 3)) if "base_score" in out.columns else out
 
         return run
 

@@ -118,7 +118,7 @@ def test_op6_and_op10(spark, tables, n, brute, kinds):
         r = got[d]
         assert [r[f"n_{k}"] for k in kinds] == [sum(x[0] == k for x in base) for k in kinds] and r["base_sha256"] == digest(base)
         spans = [tuple(x.split(":")) for x in r["spans"].split(",") if x]
-        assert {(k, str(s), str(e)) for k, s, e in base} <= set(spans)
+        assert {(k, str(s), str(e)) for k, s, e in base} <= set(spans) and r["n_spans"] == len(spans)
         assert spans == sorted(spans, key=lambda x: (int(x[1]), kinds.index(x[0])))
     assert all(got[704][f"n_{k}"] == 1 for k in kinds)
 
