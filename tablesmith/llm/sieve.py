@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Bits for each key; and the least and most bits of a filter, as powers of two: 32 MB are all that is ever broadcast, however many keys there are.
-EACH, LEAST, MOST = 16, 16, 28
+#: Bits for each key; and the least and most bits of a filter, as powers of two: 8 MB of bits are all that is ever broadcast, however many keys there are.
+EACH, LEAST, MOST = 16, 16, 26
 #: Bits, as a power of two, of a filter of keys that would have to be computed to be counted.
 UNKNOWN = 24
 #: The column that split() adds.
