@@ -36,6 +36,7 @@ class Stash:
         self.spark = spark
         self.base = f"{stash_dir(spark)}/{tag}-{uuid.uuid4().hex}"
         self.count = 0
+        self.paths: set[str] = set()
 
     def __call__(self, df: DataFrame, plain: bool = False) -> DataFrame:
         """df from its written copy; plain: neither dictionaries nor compression, for columns of hashes."""
@@ -45,12 +46,22 @@ class Stash:
         writer.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out.stash_path = path
+        self.paths.add(path)
         return out
 
     def drop(self, df: DataFrame) -> None:
         """Delete a stashed table that no later plan reads."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(df.stash_path)
+        self._delete(df.stash_path)
+
+    def keep_only(self, *needed: DataFrame) -> None:
+        """Delete all stashed tables but those that later plans read."""
+        for path in self.paths - {df.stash_path for df in needed}:
+            self._delete(path)
+
+    def _delete(self, name: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self.paths.discard(name)
 
 
 def text_of(column: str = "text"):

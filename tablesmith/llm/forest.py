@@ -204,6 +204,7 @@ def jaccard_join(docs: DataFrame, threshold: float = SIMILARITY, trees: int = TR
     wanted = stash(branches.select("doc_id").distinct())
     own = Sieve(wanted, "doc_id").keep(signed.select("doc_id", "labels"), "doc_id").join(wanted, "doc_id").dropDuplicates(["doc_id", "labels"])
     held = stash(Sieve(wanted, "doc_id").keep(texts, "doc_id").distinct().hint("merge").join(own, "doc_id"))
+    stash.keep_only(members, branches, held)
 
     rounds: list[DataFrame] = []
     prefix, before = depth, None
@@ -216,6 +217,7 @@ def jaccard_join(docs: DataFrame, threshold: float = SIMILARITY, trees: int = TR
     links = found.groupBy(F.col("src").alias("rep_id")).agg(F.sum("links").alias("n_links"))
     classes = components(found.select("src", "dst"), stash).select(F.col("node").alias("rep_id"), F.col("label").alias("class_id"))
     linked = stash(links.join(classes, "rep_id", "left"))
+    stash.keep_only(members, linked)
     both = Sieve(linked, "rep_id").split(members, "rep_id")
     clear = both.filter(f"not {MAYBE}").select("doc_id", F.col("rep_id").alias("class_id"), "rep_id", F.lit(0).cast("long").alias("n_links"))
     salted = linked.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))

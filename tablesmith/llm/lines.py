@@ -156,6 +156,7 @@ def _rest_edges(members: DataFrame, labels: DataFrame, texts: DataFrame, stash:
 def fuzzy_classes(docs: DataFrame, placed: DataFrame, first: DataFrame, stash: Stash, threshold: float) -> DataFrame:
     """(h, class) of the lines that are in one component with a different one as similar as the threshold."""
     members = _members(_signed(docs, stash), stash)
+    stash.keep_only(placed, first, members)
     own = F.xxhash64("doc_id", "line_no").alias("own")
     wanted = stash(members.select("h").distinct().join(first, "h").select("h", "doc_id", "line_no", own))
     rows = lines_of(docs).select("doc_id", "line_no", "line", own)
@@ -208,12 +209,14 @@ def line_classes(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     least = placed.groupBy("h").agg(F.min(place).alias("place"), F.count("*").alias("n"))
     first = stash(least.select("h", "place", "n", *_unplaced("place")))
     fuzzy = stash(fuzzy_classes(docs, placed, first, stash, threshold))
+    stash.keep_only(placed, first, fuzzy)
     classed = stash(fuzzy.join(first, "h").select("h", "class", "place"))
     keeper = classed.groupBy("class").agg(F.min("place").alias("keeper")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salted = classed.withColumn("salt", F.pmod(F.xxhash64("h"), F.lit(SALTS)).cast("int"))
     alone = first.filter("n > 1").join(fuzzy.select("h"), "h", "left_anti").select("h", F.col("place").alias("keeper"))
     shared = alone.unionByName(salted.join(keeper, ["class", "salt"]).select("h", "keeper"))
     shared = stash(shared.select("h", F.struct(*_unplaced("keeper")).alias("keeper")))
+    stash.keep_only(placed, shared)
     both = Sieve(shared, "h").split(placed, "h")
     own = F.struct("doc_id", "line_no")
     met = both.filter(MAYBE).join(shared, "h", "left").select("doc_id", "line_no", F.coalesce("keeper", own).alias("keeper"))
