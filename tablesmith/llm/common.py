@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: The word separators of every operator here: space, tab, LF, VT, FF and CR.
 SPACES = "\t\n\x0b\x0c\r "
@@ -80,12 +81,12 @@ def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(start, PART_ROWS)
 
 
-def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
+def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str | StructType) -> DataFrame:
     """Apply fn to small Arrow batches; fn returns {column: Arrow array or list} in the schema's order."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
-    target = to_arrow_schema(_parse_datatype_string(schema))
+    target = to_arrow_schema(_parse_datatype_string(schema) if isinstance(schema, str) else schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):

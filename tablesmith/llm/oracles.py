@@ -92,6 +92,22 @@ LANGUAGE_MODEL = rf"""
       round(sum(log10((coalesce(c, 0) + 0.5) / (total + 0.5 * (words + 1)))), 3) as base_score
     from each join docs using (row) left join counts using (token), sums group by row, doc_id, held_out, total"""
 
+FILL_MIDDLE = r"""
+    with docs as (
+      select doc_id, t, length(t) as n, list_transform(range(4), lambda k: ('0x' || substr(sha256('1:' || coalesce(doc_id::varchar, '')), 8 * k + 1, 8))::bigint) as h
+      from (select doc_id, coalesce(text, '') as t from documents)
+    ),
+    cuts as (
+      select *, least(h[1] % (n + 1), h[2] % (n + 1)) as a, greatest(h[1] % (n + 1), h[2] % (n + 1)) as b,
+        case when n = 0 or regexp_matches(t, '<[PSM]>') or h[3] % 100 >= 90 then 'plain' when h[4] % 100 < 20 then 'spm' else 'psm' end as form
+      from docs
+    ),
+    parts as (select *, substr(t, 1, a) as prefix, substr(t, a + 1, b - a) as middle, substr(t, b + 1) as suffix from cuts)
+    select doc_id, n, form, if(form = 'plain', null, a)::bigint as prefix_chars, if(form = 'plain', null, b - a)::bigint as middle_chars,
+      sha256(case form when 'plain' then t when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+      sha256(t) as restored_sha256
+    from parts"""
+
 #: For each query: the operator's query, the columns that it takes from that, and their SQL.
 _BASES: dict[str, tuple[str, list[str | Column], str]] = {
     "secrets_base": ("op6_secrets", ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256"], _found(SECRETS)),
@@ -114,4 +130,4 @@ def bases(operators: dict[str, Callable[[SparkSession, str], DataFrame]]) -> dic
     return {name: query(operator, columns) for name, (operator, columns, _) in _BASES.items()}
 
 
-ORACLES = {name: sql for name, (_, _, sql) in _BASES.items()}
+ORACLES = {name: sql for name, (_, _, sql) in _BASES.items()} | {"op11_fill_middle": FILL_MIDDLE}

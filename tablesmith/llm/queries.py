@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesmith.llm import decontaminate, forest, licenses, lines, lm, packing, pii, quality, secrets, toxicity
+from tablesmith.llm import decontaminate, fill_middle, forest, licenses, lines, lm, packing, pii, quality, secrets, toxicity
 from tablesmith.llm.common import table
 from tablesmith.llm.findings import digest
 from tablesmith.llm.oracles import ORACLES, bases
@@ -67,6 +67,12 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.extract(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", *digest("findings", pii.KINDS))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.transform(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    restored = F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256)
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), restored.alias("restored_sha256"))
+
+
 OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses,
     "op2_toxicity": op2_toxicity,
@@ -78,6 +84,7 @@ OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_quality": op9_quality,
     "op10_pii": op10_pii,
+    "op11_fill_middle": op11_fill_middle,
 }
 #: The operators' queries, and those columns of theirs that SQL can express, which have an oracle.
 QUERIES = OPERATORS | bases(OPERATORS)
