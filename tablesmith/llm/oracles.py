@@ -11,11 +11,16 @@ from pyspark.sql import functions as F
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
-def _crc32(text: str) -> str:
-    """CRC-32 of a text of ASCII characters, by its definition over bits."""
+def _crc32_of(codes: str) -> str:
+    """CRC-32 of a list of bytes, by its definition over bits."""
     step = "lambda c, z: xor(c >> 1, (c & 1) * 3988292384)"
     byte = f"lambda a, b: list_reduce(list_prepend(xor(a, b), list_transform(range(8), lambda z: 0::ubigint)), {step})"
-    return f"xor(list_reduce(list_prepend(4294967295::ubigint, list_transform(string_split({text}, ''), lambda x: ascii(x)::ubigint)), {byte}), 4294967295::ubigint)"
+    return f"xor(list_reduce(list_prepend(4294967295::ubigint, {codes}), {byte}), 4294967295::ubigint)"
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of a text of ASCII characters."""
+    return _crc32_of(f"list_transform(string_split({text}, ''), lambda x: ascii(x)::ubigint)")
 
 
 def _spans(kind: str, rank: int, pattern: str, good: str) -> str:
@@ -108,6 +113,36 @@ FILL_MIDDLE = r"""
       sha256(t) as restored_sha256
     from parts"""
 
+#: Letters up to U+00FF as their UTF-8 bytes.
+_UTF8 = "flatten(list_transform(string_split({}, ''), lambda c: if(ascii(c) < 128, [ascii(c)::ubigint], [(192 + ascii(c) // 64)::ubigint, (128 + ascii(c) % 64)::ubigint])))"
+SPELLING = rf"""
+    with recursive docs as (
+      select row_number() over () as row, coalesce(doc_id::varchar, '') as doc_id,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t
+      from documents
+    ),
+    runs as (select row, doc_id, run, count(*) as c from (select row, doc_id, unnest(regexp_extract_all(t, '[a-z\x{{C0}}-\x{{FF}}]+')) as run from docs) where length(run) > 6 group by all),
+    hashed as (select run, c, {_crc32_of(_UTF8.format("doc_id || ':' || run"))} as h from runs),
+    dropped as (select if(h % 31 = 0, substr(run, 1, (h % length(run))::int) || substr(run, (h % length(run))::int + 2), run) as word, c from hashed),
+    words as (select word, sum(c)::bigint as n from dropped where length(word) > 6 group by word having sum(c) > 1),
+    less as (select word, n, i, substr(word, 1, i::int - 1) || substr(word, i::int + 1) as rest from (select word, n, unnest(range(1, length(word) + 1)) as i from words)),
+    ends as (
+      select a.word, b.word as other, b.n as n_other from less a join less b on a.rest = b.rest and a.i = b.i and a.word <> b.word
+      union select a.word, b.word, b.n from less a join words b on a.rest = b.word
+      union select b.word, a.word, a.n from less a join words b on a.rest = b.word
+    ),
+    near as (select word, count(*) as n_near, first(other order by n_other desc, encode(other)) as other, max(n_other) as n_other from ends group by word),
+    formed as (
+      select word, n, coalesce(n_near, 0) as n_near, if(n_other >= 10 * n, other, null) as form, if(n_other >= 10 * n, n_other, null) as form_n
+      from words left join near using (word)
+    ),
+    walk as (
+      select word, word as root from formed
+      union all select walk.word, form from walk join formed on walk.root = formed.word where form is not null
+    ),
+    roots as (select walk.word, walk.root from walk join formed on walk.root = formed.word where form is null)
+    select word, n, form, root, n_near, form_n from formed join roots using (word)"""
+
 #: For each query: the operator's query, the columns that it takes from that, and their SQL.
 _BASES: dict[str, tuple[str, list[str | Column], str]] = {
     "secrets_base": ("op6_secrets", ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256"], _found(SECRETS)),
@@ -130,4 +165,4 @@ def bases(operators: dict[str, Callable[[SparkSession, str], DataFrame]]) -> dic
     return {name: query(operator, columns) for name, (operator, columns, _) in _BASES.items()}
 
 
-ORACLES = {name: sql for name, (_, _, sql) in _BASES.items()} | {"op11_fill_middle": FILL_MIDDLE}
+ORACLES = {name: sql for name, (_, _, sql) in _BASES.items()} | {"op11_fill_middle": FILL_MIDDLE, "op13_spelling": SPELLING}
