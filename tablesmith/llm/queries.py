@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesmith.llm import decontaminate, fill_middle, forest, licenses, lines, lm, packing, pii, quality, secrets, spelling, toxicity
+from tablesmith.llm import decontaminate, fill_middle, forest, licenses, lines, lm, packing, pii, quality, secrets, spelling, style_tree, toxicity
 from tablesmith.llm.common import table
 from tablesmith.llm.findings import digest
 from tablesmith.llm.oracles import ORACLES, bases
@@ -73,6 +73,10 @@ def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), restored.alias("restored_sha256"))
 
 
+def op12_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return style_tree.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -89,6 +93,7 @@ OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_pii": op10_pii,
     "op11_fill_middle": op11_fill_middle,
+    "op12_html_text": op12_html_text,
     "op13_spelling": op13_spelling,
 }
 #: The operators' queries, and those columns of theirs that SQL can express, which have an oracle.
