@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablesmith.functions import league
-from tablesmith.functions.js import js_parse_int
+from tablesmith.functions.js import js_number, js_parse_int
 
 NUMBERS = {"pos": "pos", "played": "played", "won": "won", "drawn": "drawn", "lost": "lost", "goalsFor": "goals_for", "goalsAgainst": "goals_against", "points": "points"}
 FLAGS = {"wasRelegated": "was_relegated", "wasPromoted": "was_promoted", "isExpansionTeam": "is_expansion_team", "wasReElected": "was_re_elected", "wasReprieved": "was_reprieved"}
@@ -44,42 +44,53 @@ def raw_tiers(texts: DataFrame) -> DataFrame:
     )
 
 
-def _field(name: str) -> Column:
-    return F.try_variant_get("row", f"$.{name}", "string")
+#: Optional numbers of an entry, which follow the required ones.
+OPTIONAL = ("goalDifference", "goalAverage")
 
 
-def _flag(name: str, derived: Column) -> Column:
-    """A boolean counts as it is; anything else gives way to what the notes say."""
-    given = F.try_variant_get("row", f"$.{name}", "variant")
-    return F.when(F.schema_of_variant(given) == "BOOLEAN", F.try_variant_get("row", f"$.{name}", "boolean")).otherwise(derived)
+def _given(*names: str) -> Column:
+    """An array of these fields of a row as they are."""
+    return F.array(*[F.try_variant_get("row", f"$.{n}", "variant") for n in names])
 
 
-def _number_field(name: str) -> Column:
-    kind = F.schema_of_variant(F.try_variant_get("row", f"$.{name}", "variant"))
-    return F.when(kind == "BOOLEAN", F.try_variant_get("row", f"$.{name}", "int").cast("string")).otherwise(_field(name))
+def _number_text(value: Column) -> Column:
+    """A boolean counts as 0 or 1, all else by its text."""
+    boolean = F.when(F.schema_of_variant(value) == "BOOLEAN", F.try_variant_get(value, "$", "int").cast("string"))
+    return F.coalesce(boolean, F.try_variant_get(value, "$", "string"))
 
 
 def normalise_entries(rows: DataFrame, compat: bool = True) -> DataFrame:
     """Entries of rows(KEY, row_ord, row VARIANT): numbers, trimmed texts, flags from notes where no boolean is given.
 
     Rows that are no object or have no team fall away. Goal difference is goals for less goals against, whatever was
-    given. Required numbers are 0 if blank; `bad_fields` names fields whose text is no number.
+    given. Required numbers are 0 if blank; `bad_fields` names fields whose text is no number. A field is read and
+    parsed once: fields of a kind are an array, so that one small expression serves all of them.
     """
-    notes = league.string_value(_field("notes"))
+    kept = [c for c in rows.columns if c != "row"]
+    names = [*NUMBERS, *OPTIONAL]
+    read = rows.filter(F.schema_of_variant("row").startswith("OBJECT")).select(
+        *kept,
+        F.transform(_given(*names), _number_text).alias("__texts"),
+        F.transform(_given(*FLAGS), lambda v: F.when(F.schema_of_variant(v) == "BOOLEAN", F.try_variant_get(v, "$", "boolean"))).alias("__flags"),
+        F.transform(_given("team", "notes"), lambda v: league.string_value(F.try_variant_get(v, "$", "string"))).alias("__names"),
+    )
+    parsed = read.select("*", F.transform("__texts", js_number).alias("__numbers"), F.get("__names", 0).alias("team"), F.get("__names", 1).alias("notes")).filter("team is not null")
+    blank = lambda k: F.coalesce(F.get("__texts", k) == "", F.lit(True))
+    numbers = {n: F.when(blank(k), F.lit(0.0) if n in NUMBERS else F.lit(None).cast("double")).otherwise(F.get("__numbers", k)) for k, n in enumerate(names)}
+    bad = [F.when(~blank(k) & F.get("__numbers", k).isNull(), F.lit(n)) for k, n in enumerate(names)]
+    notes = F.col("notes")
     derived = (league.noted_relegated(notes), league.noted_promoted(notes), league.noted_expansion(notes), league.noted_re_elected(notes), league.noted_reprieved(notes, compat))
-    bad = [F.when(league.required_number(_number_field(n)).isNull(), F.lit(n)) for n in NUMBERS]
-    bad += [F.when(league.string_value(_number_field(n)).isNotNull() & league.optional_number(_number_field(n)).isNull(), F.lit(n)) for n in ("goalDifference", "goalAverage")]
-    numbered = rows.filter(F.schema_of_variant("row").startswith("OBJECT")).select(
-        *[c for c in rows.columns if c != "row"],
-        league.string_value(_field("team")).alias("team"),
-        *[league.required_number(_number_field(n)).alias(c) for n, c in NUMBERS.items()],
-        league.optional_number(_number_field("goalDifference")).alias("given_goal_difference"),
-        league.optional_number(_number_field("goalAverage")).alias("goal_average"),
-        notes.alias("notes"),
-        *[_flag(n, d).alias(c) for (n, c), d in zip(FLAGS.items(), derived)],
+    numbered = parsed.select(
+        *kept,
+        "team",
+        *[numbers[n].alias(c) for n, c in NUMBERS.items()],
+        numbers["goalDifference"].alias("given_goal_difference"),
+        numbers["goalAverage"].alias("goal_average"),
+        "notes",
+        *[F.coalesce(F.get("__flags", k), d).alias(c) for k, (c, d) in enumerate(zip(FLAGS.values(), derived, strict=True))],
         F.array_compact(F.array(*bad)).alias("bad_fields"),
     )
-    return numbered.filter("team is not null").withColumn("goal_difference", F.col("goals_for") - F.col("goals_against"))
+    return numbered.withColumn("goal_difference", F.col("goals_for") - F.col("goals_against"))
 
 
 def strict(entries: DataFrame) -> DataFrame:
