@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesmith.operators.dataset import Dataset, normalise, raw_tiers
+from tablesmith.sources.json_ranges import read_ranges
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -17,18 +18,34 @@ def exists(spark: SparkSession, path: str) -> bool:
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
+def _split_bytes(spark: SparkSession) -> int:
+    """The length of a file that Spark would read in one task."""
+    return spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+
+
+def length(spark: SparkSession, path: str) -> int:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
+
+
 def raw_dataset(spark: SparkSession, paths: str | list[str], missing: str = "empty") -> DataFrame:
-    """Raw tiers of JSON files as they are, source_rank being a file's place. A missing file is empty, or an error."""
-    frames = []
+    """Raw tiers of JSON files as they are, source_rank being a file's place. A missing file is empty, or an error.
+
+    Files that one task would read anyway are read as a whole, longer ones in ranges.
+    """
+    small, large = [], []
     for rank, path in enumerate([paths] if isinstance(paths, str) else paths):
         if exists(spark, path):
-            frames.append(spark.read.text(path, wholetext=True).select(F.lit(rank).alias("source_rank"), "value"))
+            (small if length(spark, path) <= _split_bytes(spark) else large).append((rank, path))
         elif missing == "error":
             raise FileNotFoundError(f"Input file not found: {path}")
     texts = spark.createDataFrame([], "source_rank int, value string")
-    for frame in frames:
-        texts = texts.unionByName(frame)
-    return raw_tiers(texts)
+    for rank, path in small:
+        texts = texts.unionByName(spark.read.text(path, wholetext=True).select(F.lit(rank).alias("source_rank"), "value"))
+    raw = raw_tiers(texts)
+    for rank, path in large:
+        raw = raw.unionByName(read_ranges(spark, path).withColumn("source_rank", F.lit(rank)))
+    return raw
 
 
 def raw_literal(spark: SparkSession, *texts: str) -> DataFrame:
