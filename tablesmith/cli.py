@@ -216,7 +216,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     args.interrupted = False
     if args.command == "minify":
         for path in args.inputs:
-            print(sinks.minify(path, args.in_place, args.suffix))
+            print(sinks.minify(spark or session(), path, args.in_place, args.suffix))
         return 0
     code = globals()[args.command.replace("-", "_")](spark or session(), args) or 0
     return 130 if args.interrupted else code

@@ -9,6 +9,7 @@ or the tiers of seasons alone.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -25,6 +26,8 @@ _PIECES = "cut long, root long, depth long, start long, batch long, place long,
 _PIECES_ARROW = pa.schema([*((name, pa.int64()) for name in ("cut", "root", "depth", "start", "batch", "place")), ("text", pa.string())])
 #: A key of an object and what follows it.
 _ENTRY = r'(?s)^\s*("(?:[^"\\]|\\.)*+")\s*:\s*(.*?)\s*$'
+_STRING = re.compile(r'"(?:[^"\\]|\\.)*+("?)', re.S)
+_STRING_END = re.compile(r'(?:[^"\\]|\\.)*+"', re.S)
 
 
 class Begin(NamedTuple):
@@ -154,14 +157,79 @@ def pieces(records: DataFrame, begin: dict[int, Begin]) -> DataFrame:
     return records.mapInArrow(cut, _PIECES)
 
 
+def records_of(spark: SparkSession, path: str) -> DataFrame:
+    """(start, value): records of a file, in order within the range that begins at start."""
+    return spark.read.option("lineSep", "}").text(path).select(F.col("_metadata.file_block_start").alias("start"), "value")
+
+
+def stripped(spark: SparkSession, path: str) -> DataFrame:
+    """(value) in order: the records of a JSON object's file without white space outside strings; a closing brace belongs behind each.
+
+    A file that is no whole object is an error.
+    """
+    records = records_of(spark, path)
+    begin, whole = begins(records)
+    if not whole or not begin:
+        raise ValueError(f"no whole JSON object: {path}")
+
+    def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now: int | None = None
+        inside, number = False, 0
+        for batch in batches:
+            out: list[list] = [[], [], []]
+            for start, value in zip(batch["start"].to_pylist(), batch["value"].to_pylist(), strict=True):
+                if start != now:
+                    now, inside, number = start, begin[start].inside, 0
+                parts, inside = without_space(value, inside)
+                number += 1
+                for column, x in zip(out, (start, number, parts), strict=True):
+                    column.append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.string())], ["start", "number", "value"])
+
+    made = records.mapInArrow(strip, "start long, number long, value string")
+    if not _ends_with_brace(spark, path):  # what follows the last brace is no record
+        last = made.filter(F.col("start") == max(begin)).orderBy(F.desc("number")).first()
+        if last["value"]:
+            raise ValueError(f"no whole JSON object: {path}")
+        made = made.filter((F.col("start") != last["start"]) | (F.col("number") != last["number"]))
+    return made.orderBy("start", "number").select("value")
+
+
+def without_space(value: str, inside: bool) -> tuple[str, bool]:
+    """A text that begins within a string or not, without white space outside strings; and whether it ends within one."""
+    out, at = [], 0
+    if inside:
+        m = _STRING_END.match(value)
+        if m is None:
+            return value, True
+        out.append(m[0])
+        at = m.end()
+    for m in _STRING.finditer(value, at):
+        out += ["".join(value[at : m.start()].split()), m[0]]
+        at = m.end()
+        if not m[1]:
+            return "".join(out), True
+    return "".join([*out, "".join(value[at:].split())]), False
+
+
+def _ends_with_brace(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    file = system.open(at)
+    try:
+        file.seek(system.getFileStatus(at).getLen() - 1)
+        return file.read() == ord("}")
+    finally:
+        file.close()
+
+
 def read_ranges(spark: SparkSession, path: str) -> DataFrame:
     """Raw tiers (without source_rank) of a JSON file, as raw_tiers() gives them; season_ord and tier_ord keep the order but skip numbers.
 
     A file that is no whole JSON object gives no rows. Only one season of {"seasons": ...}, or one tier, is a value of its
     own; the file itself is never one.
     """
-    text = spark.read.option("lineSep", "}").text(path)
-    records = text.select(F.col("_metadata.file_block_start").alias("start"), "value")
+    records = records_of(spark, path)
     begin, whole = begins(records)
     if not whole:
         begin = {}

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import json
 import os
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablesmith.functions.js import js_parse_int, key_order
 from tablesmith.operators.dataset import Dataset, tier_json
 from tablesmith.operators.lint import issue_order
+from tablesmith.sources.json_ranges import stripped
+from tablesmith.sources.publish import publish
 
 
 def seasons_json(data: Dataset) -> DataFrame:
@@ -25,41 +27,25 @@ def seasons_json(data: Dataset) -> DataFrame:
 def save_json(data: Dataset, path: str, pretty: bool | int = True) -> None:
     """One file {"seasons": {...}}: two spaces, a number of spaces, or compact; on any file system that Spark knows.
 
-    Seasons go into the file one after the other, so that the driver holds one of them and those of a partition that is
-    being fetched. The file is moved into place when it is whole.
+    Seasons are put in order by ranges and written by as many tasks; see publish(). A season is an object, so each ends
+    with the brace that ends a line of a fragment.
     """
     spaces = 2 if pretty is True else pretty or 0
     line, pad, colon = ("\n", " " * spaces, ": ") if spaces else ("", "", ":")
-    with replaced(data.tiers.sparkSession, path) as write:
-        write(f"{{{line}{pad}{json.dumps('seasons')}{colon}{{")
-        comma = ""
-        for r in seasons_json(data).toLocalIterator():
-            season = json.dumps(json.loads(r["json"]), ensure_ascii=False, indent=spaces or None, separators=None if spaces else (",", ":"))
-            write(f"{comma}{line}{pad * 2}{json.dumps(r['season_key'], ensure_ascii=False)}{colon}{season.replace(line, line + pad * 2) if spaces else season}")
-            comma = ","
-        write(f"{line + pad if comma else ''}}}{line}}}")
-
-
-@contextmanager
-def replaced(spark: SparkSession, path: str) -> Iterator[Callable[[str], object]]:
-    """A function that writes text to a file beside path, which takes path's place if all goes well."""
-    if "://" not in path:
-        os.makedirs(os.path.dirname(os.path.abspath(path)), exist_ok=True)
-        part = f"{path}.part"
-        with open(part, "w", encoding="utf-8") as out:
-            yield out.write
-        os.replace(part, path)
-        return
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    target, part = hadoop.Path(path), hadoop.Path(f"{path}.part")
-    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    out = system.create(part, True)
-    try:
-        yield lambda text: out.write(bytearray(text.encode()))
-    finally:
-        out.close()
-    system.delete(target, False)
-    system.rename(part, target)
+    places = data.tiers.groupBy("season_key").agg(F.min("season_ord").alias("place"))
+    first = places.orderBy(*key_order(F.col("season_key"), F.col("place"))).select("season_key").first()
+
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for key, held in zip(batch["season_key"].to_pylist(), batch["json"].to_pylist(), strict=True):
+                season = json.dumps(json.loads(held), ensure_ascii=False, indent=spaces or None, separators=None if spaces else (",", ":"))
+                whole = season.replace(line, line + pad * 2) if spaces else season
+                out.append(f"{'' if key == first[0] else ','}{line}{pad * 2}{json.dumps(key, ensure_ascii=False)}{colon}{whole[:-1]}")
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["value"])
+
+    head = f"{{{line}{pad}{json.dumps('seasons')}{colon}{{"
+    publish(seasons_json(data).mapInArrow(lines, "value string"), path, "}", head, f"{line + pad if first else ''}}}{line}}}")
 
 
 def write_json(path: str, value: object, pretty: bool | int = True) -> None:
@@ -69,13 +55,18 @@ def write_json(path: str, value: object, pretty: bool | int = True) -> None:
         json.dump(value, out, ensure_ascii=False, indent=spaces, separators=None if spaces else (",", ":"))
 
 
-def minify(path: str, in_place: bool = False, suffix: str = ".min") -> str:
-    """Rewrite a JSON file compactly, in place or beside it; key order stays. Returns the written path."""
+def minified_name(path: str, in_place: bool = False, suffix: str = ".min") -> str:
     base, ext = os.path.splitext(path)
-    target = path if in_place else f"{base}{suffix or '.min'}{ext or '.json'}"
-    with open(path, encoding="utf-8") as file:
-        value = json.load(file)
-    write_json(target, value, False)
+    return path if in_place else f"{base}{suffix or '.min'}{ext or '.json'}"
+
+
+def minify(spark: SparkSession, path: str, in_place: bool = False, suffix: str = ".min") -> str:
+    """Rewrite a JSON object's file compactly, in place or beside it; order, numbers and texts stay as they are written. Returns the written path.
+
+    White space outside strings is left out, in ranges of the file. A file that is no whole object is an error.
+    """
+    target = minified_name(path, in_place, suffix)
+    publish(stripped(spark, path), target, "}")
     return target
 
 

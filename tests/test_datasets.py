@@ -61,7 +61,7 @@ def test_json_round_trip(spark, tmp_path):
     assert saved["seasons"]["1955"]["seasonInfo"]["promoted"] == ['É "q"'] and saved["seasons"]["1955"]["seasonInfo"]["seasonSlug"] == "1955–56"
     sinks.save_json(datasets.load(spark, path), str(tmp_path / "b.json"), False)
     assert json.load(open(tmp_path / "b.json")) == saved and "\n" not in open(tmp_path / "b.json").read()
-    assert json.load(open(sinks.minify(path))) == saved and datasets.load(spark, str(tmp_path / "none.json")).tiers.count() == 0
+    assert json.load(open(sinks.minify(spark, path))) == saved and datasets.load(spark, str(tmp_path / "none.json")).tiers.count() == 0
 
 
 def test_combine(spark, tmp_path):
