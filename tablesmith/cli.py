@@ -6,6 +6,7 @@ import argparse
 import os
 import re
 import sys
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,48 +17,78 @@ from tablesmith.operators import html, merge, seasons, standings, textpages
 from tablesmith.operators import lint as rules
 from tablesmith.operators.dataset import Dataset, replace, strict
 from tablesmith.sources import datasets, matches, pages, sinks
+from tablesmith.sources.store import SeasonStore
 
 
 def session() -> SparkSession:
     return SparkSession.builder.appName("tablesmith").config("spark.sql.session.timeZone", "UTC").getOrCreate()
 
 
-def _fetched(spark: SparkSession, wanted: DataFrame, args: argparse.Namespace) -> DataFrame:
-    """Pages with html: of a table of pages if one is named, else of the network, a second apart, kept as they come."""
+def _fetched(spark: SparkSession, wanted: DataFrame, args: argparse.Namespace, done: Callable[[DataFrame], object] | None = None) -> DataFrame:
+    """Pages with html: of a table of pages if one is named, else of the network, a second apart, kept as they come; done gets them group by group."""
     if args.pages:
-        return pages.table_pages(wanted, spark.read.parquet(args.pages))
-    got, whole = pages.kept_pages(wanted, pages.wiki_fetcher(os.environ.get("WIKIPEDIA_USER_AGENT", "tablesmith")), args.keep_pages or f"{args.output}.pages", args.wait)
+        got = pages.table_pages(wanted, spark.read.parquet(args.pages))
+        if done:
+            done(got)
+        return got
+    got, whole = pages.kept_pages(wanted, pages.wiki_fetcher(os.environ.get("WIKIPEDIA_USER_AGENT", "tablesmith")), args.keep_pages or f"{args.output}.pages", args.wait, done=done)
     if not whole:
         print("interrupted: saving the seasons fetched so far", file=sys.stderr)
         args.interrupted = True
     return got
 
 
+def _store(spark: SparkSession, args: argparse.Namespace) -> SeasonStore:
+    return SeasonStore(spark, args.keep_seasons or f"{args.output}.seasons")
+
+
 def _stored(spark: SparkSession, args: argparse.Namespace) -> tuple[Dataset, DataFrame]:
-    have = datasets.load(spark, args.output)
+    """The seasons of the output, and over them those that a build has left in the store when it was stopped."""
+    have = replace(datasets.load(spark, args.output), _store(spark, args).load(), ("season_key",))
     years = pages.season_years(spark, args.start, args.end)
     return have, years
 
 
 def build(spark: SparkSession, args: argparse.Namespace, years: DataFrame | None = None) -> None:
-    """Seasons of division pages; a season is replaced whole, unless its page gave no rows."""
+    """Seasons of division pages; a season is replaced whole, unless its page gave no rows. Seasons are stored as their pages come."""
     have, own = _stored(spark, args)
     wanted = seasons.seasons_to_fetch(own if years is None else years, have, args.update_only, args.force_update, args.ignore_war_years, any_tier=False)
-    got = _fetched(spark, pages.promotion_pages(wanted), args).cache()
-    rows = html.division_rows(got, ["season"]).cache()
-    kept = got.join(rows.select("season").distinct(), "season", "left_semi") if args.force_update else got
-    save(replace(have, seasons.promotion_seasons(kept.select("season", "slug"), rows), ("season_key",)), args)
+    store = _store(spark, args)
+
+    def put(got: DataFrame) -> None:
+        got = got.cache()
+        rows = html.division_rows(got, ["season"]).cache()
+        kept = got.join(rows.select("season").distinct(), "season", "left_semi") if args.force_update else got
+        store.save(seasons.promotion_seasons(kept.select("season", "slug"), rows))
+        got.unpersist(), rows.unpersist()
+
+    _fetched(spark, pages.promotion_pages(wanted), args, put)
+    _publish(spark, args, store)
 
 
 def overview(spark: SparkSession, args: argparse.Namespace, years: DataFrame | None = None) -> None:
-    """Seasons of overview pages, with all their tables as tiers."""
+    """Seasons of overview pages, with all their tables as tiers. Seasons are stored as their pages come."""
     have, own = _stored(spark, args)
     wanted = seasons.seasons_to_fetch(own if years is None else years, have, args.update_only, args.force_update, args.ignore_war_years)
-    got = _fetched(spark, pages.overview_pages(wanted), args).cache()
-    rows = html.overview_rows(got, ["season_key"]).cache()
-    tables = rows.select("season_key", "table_no", "title", "heading_id", "table_index", "is_top_flight").distinct()
-    found = got.join(rows.select("season_key").distinct(), "season_key", "left_semi").select("season", "season_key", "slug")
-    save(replace(have, seasons.overview_seasons(found, tables, rows), ("season_key",)), args)
+    store = _store(spark, args)
+
+    def put(got: DataFrame) -> None:
+        got = got.cache()
+        rows = html.overview_rows(got, ["season_key"]).cache()
+        tables = rows.select("season_key", "table_no", "title", "heading_id", "table_index", "is_top_flight").distinct()
+        found = got.join(rows.select("season_key").distinct(), "season_key", "left_semi").select("season", "season_key", "slug")
+        store.save(seasons.overview_seasons(found, tables, rows))
+        got.unpersist(), rows.unpersist()
+
+    _fetched(spark, pages.overview_pages(wanted), args, put)
+    _publish(spark, args, store)
+
+
+def _publish(spark: SparkSession, args: argparse.Namespace, store: SeasonStore) -> None:
+    """The output with the store's seasons in it; the store is emptied when that is written."""
+    have, _ = _stored(spark, args)
+    save(have, args)
+    store.clear()
 
 
 def combined(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -167,6 +198,7 @@ def parser() -> argparse.ArgumentParser:
             p.add_argument("--wait", type=float, default=1.0)
             p.add_argument("--keep-pages", help="folder that fetched pages are kept in and not fetched again from; by default beside the output")
         if name in ("build", "overview", "combined"):
+            p.add_argument("--keep-seasons", help="folder that seasons are stored in until the output is written; by default beside the output")
             for flag in ("--update-only", "--force-update", "--ignore-war-years"):
                 p.add_argument(flag, action="store_true")
         return p

@@ -125,12 +125,13 @@ def fetch(pages: DataFrame, fetcher: Fetcher, wait_s: float = 1.0, tasks: int =
     return pages.repartition(tasks).mapInArrow(run, schema)
 
 
-def kept_pages(pages: DataFrame, fetcher: Fetcher, folder: str, wait_s: float = 1.0, each: int = 10) -> tuple[DataFrame, bool]:
+def kept_pages(pages: DataFrame, fetcher: Fetcher, folder: str, wait_s: float = 1.0, each: int = 10, *, done: Callable[[DataFrame], object] | None = None) -> tuple[DataFrame, bool]:
     """pages(url, ...) with html and error, kept in a folder of Parquet as they come; and whether all have come.
 
     What an earlier run has kept is not fetched again, unless it failed. `each` pages are fetched and written at a time,
     so that a run that fails or is interrupted loses no more than these; an interrupt ends the fetching, and the pages so
-    far are returned. Addresses are listed on the driver: at a page a second there are never many.
+    far are returned. Addresses are listed on the driver: at a page a second there are never many. done is called with
+    the pages that were kept before, and with each group of pages when it is kept.
     """
     spark = pages.sparkSession
     schema = "url string, html string, error string"
@@ -138,14 +139,18 @@ def kept_pages(pages: DataFrame, fetcher: Fetcher, folder: str, wait_s: float =
     kept = lambda: spark.read.schema(schema).parquet(folder).groupBy("url").agg(F.max("html").alias("html"), F.max("error").alias("error"))
     left = [r["url"] for r in pages.select("url").distinct().join(kept().filter("html is not null"), "url", "left_anti").orderBy("url").collect()]
     whole = True
+    got = lambda: kept().withColumn("error", F.when(F.col("html").isNull(), F.col("error")))
     try:
+        if done:
+            done(pages.join(got().filter("html is not null"), "url"))
         for k in range(0, len(left), each):
             some = spark.createDataFrame([(u,) for u in left[k : k + each]], "url string")
             fetch(some, fetcher, wait_s).write.mode("append").parquet(folder)
+            if done:
+                done(pages.join(got().join(some, "url", "left_semi"), "url"))
     except KeyboardInterrupt:
         whole = False
-    got = kept().withColumn("error", F.when(F.col("html").isNull(), F.col("error")))
-    return pages.join(got, "url"), whole
+    return pages.join(got(), "url"), whole
 
 
 def local_pages(spark: SparkSession, paths: str | list[str], encoding: str | None = None) -> DataFrame:
