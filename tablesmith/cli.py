@@ -181,8 +181,8 @@ def tables(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def split(spark: SparkSession, args: argparse.Namespace) -> None:
-    rows = matches.read_csv(spark, args.inputs).drop("file", "row_ord")
-    (sinks.save_chunks if args.chunks else sinks.save_by_tier)(rows, args.output)
+    rows = matches.read_csv(spark, args.inputs)
+    (sinks.save_chunks if args.chunks else sinks.save_by_tier)(rows, args.output, order=("file", "row_ord"))
 
 
 def parser() -> argparse.ArgumentParser:

@@ -35,6 +35,8 @@ ROW = (
     "row_ord int, pos double, team string, played double, won double, drawn double, lost double, goals_for double, goals_against double, goal_difference double, goal_average double, "
     "points double, notes string, was_relegated boolean, was_promoted boolean, is_expansion_team boolean, was_re_elected boolean, was_reprieved boolean"
 )
+OVERVIEW_TABLE = "table_no int, title string, heading_id string, table_index int, is_top_flight boolean"
+INFOBOX = "season string, relegated array<string>, new_clubs array<string>, folded array<string>, resigned array<string>"
 
 
 def _clutter(n: Node) -> bool:
@@ -299,12 +301,11 @@ def overview_rows(pages: DataFrame, keys: list[str]) -> DataFrame:
     def make(html: str | None) -> list[dict]:
         return [{"table_no": k, **{c: t[c] for c in ("title", "heading_id", "table_index", "is_top_flight")}} | r for k, t in enumerate(parse_overview(html)) for r in t["rows"]]
 
-    return _table(pages, keys, "table_no int, title string, heading_id string, table_index int, is_top_flight boolean, " + ROW, make)
+    return _table(pages, keys, f"{OVERVIEW_TABLE}, {ROW}", make)
 
 
 def infoboxes(pages: DataFrame, keys: list[str]) -> DataFrame:
-    lists = ", ".join(f"{f} array<string>" for f in ("relegated", "new_clubs", "folded", "resigned"))
-    return _table(pages, keys, f"season string, {lists}", lambda html: [parse_infobox(html)])
+    return _table(pages, keys, INFOBOX, lambda html: [parse_infobox(html)])
 
 
 def text_blocks(pages: DataFrame, keys: list[str]) -> DataFrame:

@@ -17,13 +17,6 @@ def union(datasets: list[Dataset]) -> Dataset:
     return Dataset(*(reduce(DataFrame.unionByName, parts) for parts in zip(*ranked)))
 
 
-def _folded(include_empty: bool) -> Column:
-    """The source that a fold over a tier's sources in order ends with, from `sources`, array<struct<source_rank, data>>."""
-    empty_wins = "true" if include_empty else "false"
-    step = f"if((not a.data and x.data) or (not x.data and {empty_wins}), x, a)"
-    return F.expr(f"aggregate(slice(sources, 2, size(sources)), sources[0], (a, x) -> {step}).source_rank")
-
-
 def _first(data: Column):
     """A tier's sources in the order in which they count: those with data first."""
     return Window.partitionBy("season_key", "tier_key").orderBy((data & is_tier(F.col("tier_key"))).desc(), "source_rank")
@@ -37,9 +30,11 @@ def first_wins(sources: DataFrame, include_empty: bool = False) -> DataFrame:
     """
     if not include_empty:
         return sources.withColumn("place", F.row_number().over(_first(F.col("data")))).filter("place = 1").select("season_key", "tier_key", "source_rank")
-    listed = sources.groupBy("season_key", "tier_key").agg(F.array_sort(F.collect_list(F.struct("source_rank", "data"))).alias("sources"))
-    first = F.col("sources")[0]["source_rank"]
-    return listed.select("season_key", "tier_key", F.when(is_tier(F.col("tier_key")), _folded(include_empty)).otherwise(first).alias("source_rank"))
+    # A fold over the sources in order ends with the first that has data behind the last empty one, else with that, else with the first.
+    last_empty = F.max(F.when(~F.col("data"), F.col("source_rank"))).over(Window.partitionBy("season_key", "tier_key"))
+    behind = F.col("data") & (F.col("empty").isNull() | (F.col("source_rank") > F.col("empty")))
+    folded = sources.select("season_key", "tier_key", "source_rank", "data", last_empty.alias("empty")).groupBy("season_key", "tier_key").agg(F.min("source_rank").alias("first"), F.max("empty").alias("empty"), F.min(F.when(behind, F.col("source_rank"))).alias("behind"))
+    return folded.select("season_key", "tier_key", F.when(is_tier(F.col("tier_key")), F.coalesce("behind", "empty", "first")).otherwise(F.col("first")).alias("source_rank"))
 
 
 def last_wins(sources: DataFrame) -> DataFrame:

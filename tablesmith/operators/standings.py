@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablesmith.functions.js import js_trim
 from tablesmith.functions.league import by_goal_average, goal_average, points_for_win, promoted_count, relegated_count
-
-#: First letters of a club's name that its number is counted by.
-HEAD = 8
-
+from tablesmith.operators.ordering import numbered
 
 def league_table(matches: DataFrame) -> DataFrame:
     """Ranked tables of matches(season, tier, match_ord, home, visitor, hgoal, vgoal, result).
@@ -73,17 +70,21 @@ def movements(table: DataFrame) -> DataFrame:
 def club_ids(matches: DataFrame) -> DataFrame:
     """(id, name): all different names of home teams and visitors, trimmed and not blank, numbered in order of name.
 
-    Names are counted by their first HEAD letters, whose running sums give each such group its first number; within a
-    group names are ranked, so that a task holds the names of one group alone. Null names are none; other columns are
-    ignored, and an empty table gives no rows.
+    Null names are none; other columns are ignored, and an empty table gives no rows.
     """
     names = matches.select(F.explode(F.array("home", "visitor")).alias("name")).select(js_trim(F.col("name")).alias("name")).filter("name <> ''").distinct()
-    head = F.substring("name", 1, HEAD).alias("head")
-    sizes = names.groupBy(head).agg(F.count("*").alias("n"))
-    before = sizes.select("head", (F.sum("n").over(Window.orderBy("head").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("before"))
-    place = F.row_number().over(Window.partitionBy("head").orderBy("name"))
-    ranked = names.select("name", head).withColumn("place", place).join(before, "head")
-    return ranked.select(F.concat(F.lit("club_"), (F.col("before") + F.col("place")).cast("string")).alias("id"), "name")
+    return numbered(names, ["name"]).select(F.concat(F.lit("club_"), F.col("number").cast("string")).alias("id"), "name")
+
+
+def carried(keys: list[str], order: list[str], value: str, span: str) -> Column:
+    """The value that a row has from an earlier one or itself: a value with a span stands for so many rows, counted by the first column of order.
+
+    As a cell that spans rows in a table: a later span ends an earlier one. Nulls in order come first; rows need no span.
+    """
+    so_far = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    last = lambda c: F.last(c, ignorenulls=True).over(so_far)
+    opened = F.max(F.when(F.col(span).isNotNull(), F.col(order[0]))).over(so_far)
+    return F.when(F.col(order[0]) < opened + last(span), last(value))
 
 
 def season_chunks(matches: DataFrame, size: int = 25) -> DataFrame:

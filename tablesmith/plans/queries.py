@@ -230,11 +230,11 @@ def tier_sequence_check(spark, sf_dir):
     return lint.tier_sequence(tiers, ["season_key"])
 
 
-@query("""select cast(y as int) as season, concat(y, '-', case when (y + 1) % 100 = 0 then cast(y + 1 as varchar) else lpad(cast((y + 1) % 100 as varchar), 2, '0') end, '_Football_League') as promotion,
+@query(f"""with m as ({MATCHES}) select cast(y as int) as season, concat(y, '-', case when (y + 1) % 100 = 0 then cast(y + 1 as varchar) else lpad(cast((y + 1) % 100 as varchar), 2, '0') end, '_Football_League') as promotion,
   concat(y, '–', case when (y + 1) % 100 = 0 then cast(y + 1 as varchar) else lpad(cast((y + 1) % 100 as varchar), 2, '0') end, '_in_English_football') as overview,
-  concat(y, '-', lpad(cast((y + 1) % 100 as varchar), 2, '0')) as slug from range(1888, 2025) t(y)""")
+  concat(y, '-', lpad(cast((y + 1) % 100 as varchar), 2, '0')) as slug from (select distinct season as y from m)""")
 def season_slug_generate(spark, sf_dir):
-    years = spark.range(1888, 2025).select(F.col("id").cast("int").alias("season"))
+    years = matches(spark, sf_dir).select("season").distinct()
     y = F.col("season")
     return years.select("season", league.promotion_slug(y).alias("promotion"), league.overview_slug(y).alias("overview"), league.season_labels(y)["seasonSlug"].alias("slug"))
 
@@ -256,10 +256,7 @@ def rowspan_carry(spark, sf_dir):
     opens = F.col("l_linenumber") % 3 == 1
     order = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
     rows = read(spark, sf_dir, "lineitem").select("l_orderkey", *order, F.when(opens, F.col("l_returnflag")).alias("note"), F.when(opens, 1 + F.col("l_quantity").cast("int") % 3).alias("span"))
-    so_far = Window.partitionBy("l_orderkey").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    last = lambda c: F.last(c, ignorenulls=True).over(so_far)
-    opened = F.max(F.when(F.col("span").isNotNull(), F.col("l_linenumber"))).over(so_far)
-    return rows.select("l_orderkey", "l_linenumber", "l_partkey", F.when(F.col("l_linenumber") < opened + last("span"), last("note")).alias("note"))
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", standings.carried(["l_orderkey"], order, "note", "span").alias("note"))
 
 
 @query("""select o_orderkey, cast(o_orderkey % 90 + 1 as bigint) as pos, concat('TEAM ', o_custkey % 50) as team, cast(p as bigint) as played, cast(a + h as bigint) as goals_for, cast(b + v as bigint) as goals_against, cast(pts as bigint) as points

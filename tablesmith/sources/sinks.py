@@ -16,6 +16,9 @@ from tablesmith.operators.lint import issue_order
 from tablesmith.sources.json_ranges import stripped
 from tablesmith.sources.publish import publish
 
+#: Rows of a CSV file at most.
+ROWS_A_FILE = 1_000_000
+
 
 def seasons_json(data: Dataset) -> DataFrame:
     """(season_key, json): a row for each season, its blocks in order."""
@@ -70,9 +73,20 @@ def minify(spark: SparkSession, path: str, in_place: bool = False, suffix: str =
     return target
 
 
-def save_by_tier(rows: DataFrame, path: str) -> None:
+def _save_csv(rows: DataFrame, path: str, parts: list[str], order: tuple[str, ...], rows_a_file: int) -> None:
+    """CSV with a header in folders of parts. With an order, the files of a folder, by name, hold its rows in that order, and the order's columns are not written.
+
+    Rows are dealt to tasks by ranges of parts and order, so that a folder of any size is spread over tasks and each task
+    writes few folders; a file ends at rows_a_file rows.
+    """
+    by = [*parts, *order]
+    placed = rows.repartitionByRange(*by).sortWithinPartitions(*by).drop(*order) if order else rows
+    placed.write.mode("overwrite").option("maxRecordsPerFile", rows_a_file).partitionBy(*parts).option("header", True).csv(path)
+
+
+def save_by_tier(rows: DataFrame, path: str, order: tuple[str, ...] = (), rows_a_file: int = ROWS_A_FILE) -> None:
     """CSV with a header, one folder for each tier. Rows of one tier are spread over tasks, so that none writes a whole tier."""
-    rows.write.mode("overwrite").partitionBy("tier").option("header", True).csv(path)
+    _save_csv(rows, path, ["tier"], order, rows_a_file)
 
 
 def with_chunks(rows: DataFrame, size: int = 25, season: str = "Season") -> DataFrame:
@@ -88,8 +102,9 @@ def with_chunks(rows: DataFrame, size: int = 25, season: str = "Season") -> Data
     return rows.drop("chunk").withColumn("__n", number).join(labelled, ["tier", "__n"]).drop("__n")
 
 
-def save_chunks(rows: DataFrame, path: str, size: int = 25) -> None:
-    with_chunks(rows, size).write.mode("overwrite").partitionBy("tier", "chunk").option("header", True).csv(path)
+def save_chunks(rows: DataFrame, path: str, size: int = 25, order: tuple[str, ...] = (), rows_a_file: int = ROWS_A_FILE) -> None:
+    """CSV with a header, one folder for each tier and chunk of seasons."""
+    _save_csv(with_chunks(rows, size), path, ["tier", "chunk"], order, rows_a_file)
 
 
 def save_pages(pages: DataFrame, path: str) -> None:
