@@ -15,17 +15,25 @@ from pyspark.sql import functions as F
 from tablesmith.llm.common import map_rows, small, text_of
 from tablesmith.llm.words import SHINGLE_WORDS, SIMILARITY, U, chunks, ngram_hashes, spans, utf8, word_hashes
 
-#: Bits that a fingerprint may differ in, of 64 in four blocks of 16: one block then differs in RADIUS // 4 bits at most.
-RADIUS, BLOCKS = 7, 4
-#: Lengths up to this ratio share windows; windows start at every eighth part of their length.
-ALIKE, STEPS = 1.08, 8
+#: Bits that a fingerprint may differ in, of 64 in four blocks of 16: one block then differs in RADIUS // BLOCKS bits at
+#: most, of which the index holds up to ITEM_BITS and a look-up tries the others.
+RADIUS, BLOCKS, ITEM_BITS = 19, 4, 1
+#: Lengths up to this ratio share windows; windows start at every thirty-second part of their length.
+ALIKE, STEPS = 1.08, 32
+#: Windows that are looked up together.
+ASKED = 64
 #: Items of one pass over the documents, whose index takes some 100 MB; more items take more passes.
 ITEMS = 1 << 16
 #: A shingle's weight: the mean length of its words in bytes, in whole numbers up to this.
 HEAVIEST = 8
 #: Shingles of a window from which its weights may overflow a lane of 16 bits, so that its lanes are summed one by one.
 WIDE = (1 << 16) // HEAVIEST
-MATCH = "doc_id long, item_id long, start_word long, n_words long, similarity double"
+MATCH = "doc_id long, item_id long, start_word long, n_words long, similarity double, via string"
+
+
+def _within(bits: int) -> np.ndarray:
+    """All 16-bit values of up to so many bits."""
+    return np.array([sum(1 << b for b in ones) for r in range(bits + 1) for ones in combinations(range(16), r)], np.uint16)
 
 
 def weighted_shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -79,9 +87,10 @@ def wide_fingerprints(hashes: np.ndarray, weights: np.ndarray, start: np.ndarray
 class Index:
     """Items grouped by about their length, with a multi-index from a length and a block's value to the items that may be near.
 
-    An entry leads from the number of a group of lengths, a block and each of its values within RADIUS // BLOCKS bits of
-    an item's to that item. Any two fingerprints within RADIUS bits agree in a block but for so many bits, so entries
-    lead to all of them. What a look-up costs does not depend on the number of items, but for those that it finds.
+    An entry leads from the number of a group of lengths, a block and each of its values within ITEM_BITS bits of an
+    item's to that item; a look-up tries all values within the other bits of RADIUS // BLOCKS. Any two fingerprints
+    within RADIUS bits agree in a block but for so many bits, so look-ups lead to all of them. What a look-up costs does
+    not depend on the number of items, but for those that it finds.
     """
 
     def __init__(self, items: list[tuple[int, np.ndarray, np.ndarray, int, int]]):
@@ -98,7 +107,7 @@ class Index:
         ranges = list(zip(self.bounds, self.bounds[1:]))
         self.sizes = [(items[i][4] + items[j - 1][4] + 1) // 2 for i, j in ranges]
         self.least = [min(int(x[2].sum()) for x in items[i:j]) for i, j in ranges]
-        near = np.array([sum(1 << b for b in bits) for r in range(RADIUS // BLOCKS + 1) for bits in combinations(range(16), r)], U)
+        near = _within(ITEM_BITS).astype(U)
         group = np.repeat(np.arange(len(ranges), dtype=U), [j - i for i, j in ranges])
         keys = [(group << U(18) | U(block << 16))[:, None] | (self.prints >> U(16 * block) & U(0xFFFF))[:, None] ^ near for block in range(BLOCKS)]
         key = np.concatenate(keys).reshape(-1) if items else np.zeros(0, U)
@@ -114,20 +123,23 @@ class Index:
         if "_some" not in self.__dict__:
             self._some = np.zeros(len(self.sizes) << 18, bool)
             self._some[self.keys] = True
-        out: set[tuple[int, int]] = set()
+        tried = _within(RADIUS // BLOCKS - ITEM_BITS)
         words = prints.view(np.uint16).reshape(-1, BLOCKS)
-        for block in range(BLOCKS):
-            some = np.take(self._some[(group << 18) + (block << 16) :][: 1 << 16], words[:, block])
-            place = np.flatnonzero(some)
-            if len(place):
-                key = words[place, block].astype(U) | U((group << 18) + (block << 16))
-                low = np.searchsorted(self.keys, key, "left")
-                n = np.searchsorted(self.keys, key, "right") - low
+        out: list[np.ndarray] = []
+        for low in range(0, len(prints), ASKED):
+            for block in range(BLOCKS):
+                values = words[low : low + ASKED, block][:, None] ^ tried
+                some = np.take(self._some[(group << 18) + (block << 16) :][: 1 << 16], values)
+                place, _ = np.nonzero(some)
+                key = values[some].astype(U) | U((group << 18) + (block << 16))
+                first = np.searchsorted(self.keys, key, "left")
+                n = np.searchsorted(self.keys, key, "right") - first
                 each = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                place, item = np.repeat(place, n), self.owners[np.repeat(low, n) + each]
-                near = np.bitwise_count(prints[place] ^ self.prints[item]) <= RADIUS
-                out.update(zip(place[near].tolist(), item[near].tolist()))
-        return sorted(out)
+                pair = np.unique((np.repeat(place, n) + low).astype(U) << U(32) | self.owners[np.repeat(first, n) + each].astype(U))
+                near = np.bitwise_count(prints[pair >> U(32)] ^ self.prints[pair & U(0xFFFFFFFF)]) <= RADIUS
+                out.append(pair[near])
+        found = np.unique(np.concatenate(out)) if out else np.zeros(0, U)
+        return list(zip((found >> U(32)).tolist(), (found & U(0xFFFFFFFF)).tolist(), strict=True))
 
 
 def index(items: list[tuple[int, str]]) -> Index:
@@ -144,18 +156,6 @@ def index(items: list[tuple[int, str]]) -> Index:
     return Index(sorted(made, key=lambda x: x[4]))
 
 
-def _starts(size: int, first: np.ndarray, end: np.ndarray, fits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of windows of the texts that fit: at each step, the last one flush with the end; a shorter text is one."""
-    n = end - first
-    step = max(1, size // STEPS)
-    first, n = first[fits], n[fits]
-    count = np.maximum(0, -(-(n - size) // step)) + 1
-    each = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    length = np.repeat(np.minimum(n, size), count)
-    start = np.repeat(first, count) + np.minimum(each * step, np.repeat(np.maximum(n - size, 0), count))
-    return start, start + length
-
-
 def similarity(hashes: np.ndarray, weights: np.ndarray, keys: np.ndarray, key_weights: np.ndarray) -> float:
     """Weighted Jaccard similarity of a window's shingles and an item's."""
     mine, first = np.unique(hashes, return_index=True)
@@ -198,8 +198,21 @@ def _anchored(found: tuple[np.ndarray, np.ndarray], hashes: np.ndarray, first: n
         yield *key, *places
 
 
-def _search(found: Index, threshold: float):
+def _windows(found: Index, hashes: np.ndarray, weights: np.ndarray, group: int, low: int, high: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and fingerprints of the windows of a group's length that start from low to high, at each step and at both, in a text that ends at end."""
+    size = found.sizes[group]
+    start = np.unique(np.append(np.arange(low, high + 1, max(1, size // STEPS)), high))
+    stop = np.minimum(start + size, end)
+    part = slice(low, min(high + size, end))
+    if size < WIDE:
+        return start, fingerprints(lane_sums(hashes[part], weights[part]), start - low, stop - low)
+    return start, wide_fingerprints(hashes[part], weights[part], start - low, stop - low)
+
+
+def _search(found: Index, threshold: float, rest: bool = True):
+    """A function from a batch of documents to rows of MATCH; rest: anchors lead to what fingerprints have missed."""
     found_by = anchors(found, threshold)
+    group_of = np.searchsorted(np.array(found.bounds[1:]), np.arange(len(found.items)), "right") if found.items else np.zeros(0, int)
 
     def run(batch: pa.RecordBatch) -> dict:
         text, ids = batch.column("text"), batch.column("doc_id").to_pylist()
@@ -208,12 +221,8 @@ def _search(found: Index, threshold: float):
             hashes, weights, first, end = weighted_shingles(text[i:j])
             if not len(hashes):
                 continue
-            sums = lane_sums(hashes, weights)
-            whole = sums[1][np.minimum(end, len(hashes))] - sums[1][np.minimum(first, len(hashes))]
-
-            owner_of = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(hashes) + SHINGLE_WORDS - 1)))
 
-            def compare(d: int, low: int, high: int, part: tuple) -> None:
+            def compare(d: int, low: int, high: int, part: tuple, via: str) -> None:
                 """Keep the best window of those from low to high, passing over what has too little of the item's weight."""
                 item, keys, key_weights, _, size = part
                 seg = slice(low, min(int(end[d]), high + size))
@@ -225,23 +234,25 @@ def _search(found: Index, threshold: float):
                     got = similarity(hashes[s:e], weights[s:e], keys, key_weights)
                     best = rows.get((i + d, item))
                     if got >= threshold - 1e-12 and (best is None or (-got, s) < best[:2]):
-                        rows[i + d, item] = (-got, s, s - int(first[d]), e - s + SHINGLE_WORDS - 1)
-
-            for d, k, p, q in _anchored(found_by, hashes, first, end):
-                part = found.items[k]
-                compare(d, max(int(first[d]), p - part[4] + 1), min(int(end[d]) - 1, q), part)
-            for group, (size, least) in enumerate(zip(found.sizes, found.least)):
-                fits = (end > first) & (whole >= threshold * least - 1e-9)
-                start, stop = _starts(size, first, end, fits)
-                if not len(start):
-                    continue
-                prints = fingerprints(sums, start, stop) if size < WIDE else wide_fingerprints(hashes, weights, start, stop)
-                for window, k in found.hits(group, prints):
-                    part, p = found.items[k], int(start[window])
-                    d = int(owner_of[p])
-                    slack = max(1, size // STEPS) + abs(size - part[4])
-                    if (i + d, part[0]) not in rows:
-                        compare(d, max(int(first[d]), p - slack), min(int(end[d]) - 1, p + slack), part)
+                        rows[i + d, item] = (-got, s, s - int(first[d]), e - s + SHINGLE_WORDS - 1, via if best is None else best[4])
+
+            near = [(d, k, max(int(first[d]), p - found.items[k][4] + 1), min(int(end[d]) - 1, q)) for d, k, p, q in _anchored(found_by, hashes, first, end)]
+            places: dict[tuple[int, int], list[tuple[int, int]]] = {}
+            for d, k, low, high in near:
+                slack = abs(found.sizes[group_of[k]] - found.items[k][4])
+                places.setdefault((d, int(group_of[k])), []).append((max(int(first[d]), low - slack), min(int(end[d]) - 1, high + slack)))
+            for (d, group), ranges in places.items():
+                reached: dict[int, tuple[int, int]] = {}
+                for low, high in _merged(ranges):
+                    starts, prints = _windows(found, hashes, weights, group, low, high, int(end[d]))
+                    for window, k in found.hits(group, prints):
+                        s = int(starts[window])
+                        reached[k] = (min(reached.get(k, (s, s))[0], s), max(reached.get(k, (s, s))[1], s))
+                for k, (low, high) in reached.items():
+                    slack = max(1, found.sizes[group] // STEPS) + abs(found.sizes[group] - found.items[k][4])
+                    compare(d, max(int(first[d]), low - slack), min(int(end[d]) - 1, high + slack), found.items[k], "simhash")
+            for d, k, low, high in near if rest else ():
+                compare(d, low, high, found.items[k], "anchor")
         held = sorted(rows.items(), key=lambda x: (x[0][0], x[0][1] is None, x[0][1] or 0))
         return {
             "doc_id": [ids[d] for (d, _), _ in held],
@@ -249,19 +260,36 @@ def _search(found: Index, threshold: float):
             "start_word": [x[2] for _, x in held],
             "n_words": [x[3] for _, x in held],
             "similarity": [-x[0] for _, x in held],
+            "via": [x[4] for _, x in held],
         }
 
     return run
 
 
+def _merged(ranges: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """The union of ranges, as ranges that do not meet."""
+    now: tuple[int, int] | None = None
+    for low, high in sorted(ranges):
+        if now and low <= now[1] + 1:
+            now = now[0], max(now[1], high)
+        else:
+            if now:
+                yield now
+            now = low, high
+    if now:
+        yield now
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     """Items of benchmark(item_id, text) that docs(doc_id, text, ...) hold: one row for each row of docs and item.
 
-    Every document's windows of the items' lengths get a 64-bit SimHash of their weighted five-word shingles. Four
-    blocks of 16 bits lead to all items within RADIUS bits. As that alone misses passages near the threshold, an item's
-    heaviest shingles, without one of which no window can reach it, lead to the others. Around each such place the
-    item-sized windows at every word are compared with the item by exact weighted Jaccard similarity; the best is returned if it reaches the
-    threshold, with its first word, its number of words and the similarity.
+    No window that reaches the threshold lacks all of an item's heaviest shingles (those of more than 1 - threshold of
+    its weight), so only windows round such a shingle are looked at. They get a 64-bit SimHash of their weighted
+    five-word shingles at each STEPS-th part of the items' length, and four blocks of 16 bits lead to all items within
+    RADIUS bits. Around each hit the item-sized windows at every word are compared with the item by exact weighted
+    Jaccard similarity; the best is returned if it reaches the threshold, with its first word, its number of words and
+    the similarity. via tells what led to the item: its fingerprint ("simhash"), or, where that is further off than
+    RADIUS, the heavy shingle alone ("anchor"), so that no match is lost.
 
     The documents are the large side and never shuffled. The benchmark goes to the tasks as one index, in one pass over the
     documents, up to ITEMS items; for each such number more there is a further pass, so that memory stays bounded. Letters are

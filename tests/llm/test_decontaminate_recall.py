@@ -7,8 +7,8 @@ from tablesmith.llm import decontaminate
 from tests.llm.test_decontaminate import WORDS, brute
 
 
-def found(docs, items):
-    out = decontaminate._search(decontaminate.index(items), 0.8)(pa.RecordBatch.from_pydict({"doc_id": list(range(len(docs))), "text": pa.array(docs, pa.large_string())}))
+def found(docs, items, rest=True):
+    out = decontaminate._search(decontaminate.index(items), 0.8, rest)(pa.RecordBatch.from_pydict({"doc_id": list(range(len(docs))), "text": pa.array(docs, pa.large_string())}))
     return {(d, i): s for d, i, s in zip(out["doc_id"], out["item_id"], out["similarity"])}
 
 
@@ -37,6 +37,11 @@ def test_no_passage_near_the_threshold_is_lost():
     want = {(d, d % 30): s for d, text in enumerate(docs) if (s := brute(text, items[d % 30][1])) >= 0.8}
     got = found(docs, items)
     assert len(want) > 300 and set(want) == set(got) and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    alone = found(docs, items, rest=False)
+    for low, high, least in ((0.8, 0.85, 0.95), (0.85, 0.9, 0.98), (0.9, 1.01, 0.99)):
+        own = [k for k, s in want.items() if low <= s < high]
+        assert len(own) > 30 and sum(k in alone for k in own) >= least * len(own)
+    assert all(abs(alone[k] - want[k]) < 1e-9 for k in alone)
 
 
 def test_blocks_lead_to_all_prints_within_the_radius():
