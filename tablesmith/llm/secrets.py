@@ -36,7 +36,29 @@ _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\U[0-9A-Fa-f]{8}|\\u\{[0-9A-Fa-f]{1,6}\})+")
 _ESCAPED = re.compile(r"\\(?:u\{([0-9A-Fa-f]{1,6})\}|u([0-9A-Fa-f]{4})|x([0-9A-Fa-f]{2})|U([0-9A-Fa-f]{8}))")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: Base64 that is broken into lines: a run up to a line's end, and what the next lines begin with.
+_BROKEN_LINES = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[\x20\t]*[A-Za-z0-9+/_-]+)+={0,2}")
+_LINE_END = re.compile(r"\r?\n[\x20\t]*")
 _URL_SAFE = str.maketrans("-_", "+/")
+#: Bytes as a text may write them out: as %XX, as escapes of a language, or as characters of those numbers.
+_AS_PERCENT = re.compile(r"%([0-9A-Fa-f]{2})|([\x00-\x24\x26-\xff])")
+_AS_ESCAPES = re.compile(r"\\(?:x|u00)([0-9A-Fa-f]{2})|([\x00-\x5b\x5d-\xff])|\\u\{0*([0-9A-Fa-f]{1,2})\}|\\([abfnrtv0'\"\\])")
+_AS_CHARACTERS = re.compile(r"()([\x00-\xff])")
+_NAMED = dict(zip("abfnrtv0'\"\\", "\x07\x08\x0c\n\r\t\x0b\x00'\"\\", strict=True))
+#: Characters of a text that are taken for bytes at first, and at most, at a time: what only looks like a stream breaks soon.
+_AT_FIRST, _AT_MOST = 24, 4096
+
+
+def _written(*codes: int) -> str:
+    """A pattern of bytes in any way of writing them."""
+    return "".join(rf"(?:%{c:02x}|\\x{c:02x}|\\u00{c:02x}|\\u\{{0*{c:x}\}}|{re.escape(chr(c))}{'|' + chr(92) * 2 + {0: '0', 8: 'b'}[c] if c in (0, 8) else ''})" for c in codes)
+
+
+#: Where a compressed stream may begin in a text that writes out its bytes.
+_STREAM = re.compile("|".join([_written(0x1F, 0x8B, 8), *(_written(0x78, c) for c in (0x01, 0x5E, 0x9C, 0xDA)), _written(*b"BZh") + r"[1-9]" + _written(*b"1AY&SY"), _written(*b"\xfd7zXZ\0")]), re.I)
+
+#: What a text has at least if it writes out such a stream.
+_HINTS = ("%", "\\", "\x1f\x8b", "x\x01", "x^", "x\x9c", "x\xda", "BZh", "7zXZ")
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -256,6 +278,76 @@ def _blobs(layer: Layer) -> list[Iterator[Layer]]:
     return out
 
 
+def _lines(layer: Layer) -> list[Iterator[Layer]]:
+    """Layers of base64 that is broken into lines, which are joined for that."""
+    out = []
+    for m in _BROKEN_LINES.finditer(layer.text) if "\n" in layer.text else ():
+        kept = np.ones(len(m[0]), bool)
+        for e in _LINE_END.finditer(m[0]):
+            kept[e.start() : e.end()] = False
+        place = np.flatnonzero(kept)
+        out += _blobs(layer.derived("".join(m[0][k] for k in place.tolist()), "lines", m.start() + place, m.start() + place))
+    return out
+
+
+def _byte_pieces(text: str, start: int, written: re.Pattern) -> Iterator[bytes]:
+    """The bytes that a text writes out from start on, up to a character that is none."""
+    at, size = start, _AT_FIRST
+    while at < len(text):
+        out, high = bytearray(), min(len(text), at + size)
+        size = min(2 * size, _AT_MOST)
+        while at < high and (m := written.match(text, at)):
+            out.append(_byte(m))
+            at = m.end()
+        if out:
+            yield bytes(out)
+        if at < high:
+            return
+
+
+def _byte(m: re.Match) -> int:
+    if m[2]:
+        return ord(m[2])
+    return int(m[1], 16) if m[1] else int(m[3], 16) if m[3] else ord(_NAMED[m[4]])
+
+
+def _streams_in(layer: Layer) -> list[Iterator[Layer]]:
+    """Layers of compressed streams whose bytes are written out in the text, as %XX, as escapes, or as characters."""
+    out, behind = [], 0
+    for m in _STREAM.finditer(layer.text) if any(x in layer.text for x in _HINTS) else ():
+        for written in (_AS_PERCENT,) if "%" in m[0] else (_AS_ESCAPES,) if "\\" in m[0] else (_AS_CHARACTERS, _AS_ESCAPES):
+            if m.start() >= behind and (squeezed := _inflated(_byte_pieces(layer.text, m.start(), written))):
+                behind = _stream_end(layer.text, m.start(), written)
+                out.append(_unwrapped(squeezed, f"{layer.via}>bytes", *layer.source(m.start(), behind)))
+    return out
+
+
+def _stream_end(text: str, start: int, written: re.Pattern) -> int:
+    """The character behind the first stream whose bytes are written out from start on."""
+    taken = 0
+    for magic, _, new in _PACKED:
+        pieces = _byte_pieces(text, start, written)
+        if not (data := next(pieces)).startswith(magic):
+            continue
+        unpack, taken = new(), len(data)
+        try:
+            while not unpack.eof:
+                if not data and getattr(unpack, "needs_input", True):
+                    if not (data := next(pieces, b"")):
+                        break
+                    taken += len(data)
+                unpack.decompress(data, PIECE)
+                data = getattr(unpack, "unconsumed_tail", b"")
+        except _BROKEN:
+            continue
+        taken -= len(unpack.unused_data)
+        break
+    at = start
+    for _ in range(taken):
+        at = written.match(text, at).end()
+    return at
+
+
 def _plain(body: str) -> bytes:
     return base64.b64decode(body + "=" * (-len(body) % 4))
 
@@ -274,12 +366,36 @@ def _decoded(layer: Layer, body: str, start: int, end: int) -> Iterator[Layer] |
         return _unwrapped(squeezed, f"{layer.via}>base64", *layer.source(start, end))
     if found := _readable(raw):
         return _text_layer(layer, *found, start, 0, start + len(body))
-    return None
+    return _deflated(layer, raw, start, end)
+
+
+def _deflated(layer: Layer, raw: bytes, start: int, end: int) -> Iterator[Layer] | None:
+    """The layers of a raw deflate stream, which nothing marks: it has to end where the bytes end."""
+
+    def pieces() -> Iterator[bytes]:
+        unpack, data = zlib.decompressobj(-15), raw
+        while not unpack.eof:
+            out = unpack.decompress(data, PIECE)
+            data = unpack.unconsumed_tail
+            if out:
+                yield out
+            elif not data and not unpack.eof:
+                raise EOFError
+        if len(unpack.unused_data) > 2:  # what a last group of base64 may have beyond it
+            raise EOFError
+
+    try:
+        size = sum(map(len, pieces()))
+    except _BROKEN:
+        return None
+    return _unwrapped(("deflate", pieces()), f"{layer.via}>base64", *layer.source(start, end)) if size else None
 
 
 def _inside(layer: Layer, body: str, start: int, end: int) -> Iterator[Iterator[Layer]]:
     """The layers of what is compressed or readable in a run."""
     raw = _plain(body)
+    if deflated := _deflated(layer, raw, start, end):
+        yield deflated
     for m in _MAGIC.finditer(raw):
         if squeezed := _inflated(iter([raw[m.start() :]])):
             yield _unwrapped(squeezed, f"{layer.via}>base64", *layer.source(start + m.start() * 4 // 3, end))
@@ -321,7 +437,7 @@ def find(text: str) -> list[dict]:
         for kind, start, end in base_spans(layer.text):
             span = (kind, *layer.source(start, end))
             found.setdefault(span, {"kind": kind, "start": span[1], "end": span[2], "base": layer.is_document, "via": layer.via, "value": layer.text[start:end]})
-        work.extend([iter([x]) for x in (_percent(layer), _escapes(layer)) if x] + _blobs(layer))
+        work.extend([iter([x]) for x in (_percent(layer), _escapes(layer)) if x] + _blobs(layer) + _lines(layer) + _streams_in(layer))
     return ordered(list(found.values()), KINDS)
 
 
@@ -330,8 +446,9 @@ def scan(docs: DataFrame) -> DataFrame:
 
     A worklist starts with the text. Each layer is scanned with the base patterns, then unwrapped: runs of %XX and of
     Unicode escapes are decoded in place, base64 (and its URL-safe form) of 16 characters or more becomes a layer of
-    its own if it holds readable text (UTF-8, UTF-16 or Latin) or gzip, zlib, bz2 or xz streams of such, one after another
-    and of any length. Where characters that stand before the base64 belong to its alphabet too, as in a path, the run is
+    its own if it holds readable text (UTF-8, UTF-16 or Latin), a raw deflate stream, or gzip, zlib, bz2 or xz streams of
+    such, one after another and of any length; base64 that is broken into lines is joined for that. Compressed streams
+    whose bytes a text writes out as %XX, as escapes or as characters are layers too. Where characters that stand before the base64 belong to its alphabet too, as in a path, the run is
     decoded in all four steps. Hexadecimal and HTML entities are no layers. Parts
     of LAYER_BYTES that overlap by OVERLAP are scanned of a longer one, so that only a longer run can be cut. New layers join the list until none
     is left; a layer that was seen with the same span is not taken twice, which ends cycles. A finding's start and end
