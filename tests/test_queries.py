@@ -5,7 +5,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from tablesmith.plans import assembly, queries, storage  # noqa: F401
+from tablesmith.plans import assembly, commands, queries, storage  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 
