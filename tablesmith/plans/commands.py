@@ -14,7 +14,7 @@ from tablesmith.plans.matches import SQL as MATCHES
 from tablesmith.plans.matches import matches
 from tablesmith.plans.queries import _CELLS, _SIDES, _TITLES, _noted, _pages, query, read
 from tablesmith.plans.storage import _COUNTED, _counts, _dataset
-from tablesmith.sources import datasets, pages, sinks
+from tablesmith.sources import datasets, page_source, pages, sinks
 from tablesmith.sources.matches import as_matches, read_csv
 from tablesmith.sources.shared import shared_folder
 
@@ -164,3 +164,10 @@ def season_order(spark, sf_dir):
     keys = years.select(F.col("season").cast("string").alias("key"), F.lit(0).alias("place")).unionByName(years.filter("season % 2 = 0").select(F.concat(F.lit("x"), "season").alias("key"), F.col("season").alias("place")))
     ordered = keys.select("key", F.coalesce(F.col("key").try_cast("long"), F.lit(1 << 40)).alias("number"), "place")
     return numbered(ordered, ["number", "place"], "at").select("key", F.col("at").alias("place"))
+
+
+@query(r"""select lower(regexp_extract(url, '^[a-zA-Z]+://([^/?#:]+)', 1)) as host, count(*) as n, cast(sum(length(html)) as bigint) as n_chars from pages where url is not null group by host""")
+def source_pages(spark, sf_dir):
+    """Pages read by the data source of known pages, by host."""
+    page_source.register(spark)
+    return spark.read.format("pages").option("known", f"{sf_dir}/pages.parquet").load().groupBy("host").agg(F.count("*").alias("n"), F.sum(F.length("html")).alias("n_chars"))
