@@ -190,7 +190,9 @@ def jaccard_join(docs: DataFrame, threshold: float = SIMILARITY, trees: int = TR
 
     Null is the empty text. A text without words links to nothing and only equals other such texts' copies; one of
     fewer than five words has a single shingle. Rows that repeat a doc_id with the same text give one row each; with
-    different texts they are one node, with the links of both. Extra columns are ignored. An empty table gives no rows.
+    different texts they are one node, with the links of both. A row without a doc_id is no node, as nothing could name
+    it in a link: it is in the class of the rows of its text that have one, else in none (class_id and rep_id null, no
+    links), and it gives others no link. Extra columns are ignored. An empty table gives no rows.
     """
     if depth * BITS > 60:
         raise ValueError(f"labels have {60 // BITS} values at most")

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 
 from tablesmith.llm.queries import OPERATORS
-from tests.llm import test_decontaminate, test_forest, test_line_shingles, test_lm, test_pii, test_quality, test_secrets
+from tests.llm import test_decontaminate, test_fill_middle, test_forest, test_line_shingles, test_lm, test_pii, test_quality, test_secrets, test_spelling, test_style_tree
 
 PLAIN = [a + b for a in "bcdfghklmnprst" for b in ("an", "e", "illo", "os", "um", "ari")]
 BAD = ["scumbag", "vermin", "loathsome", "wretched", "filthy", "trashy"]
@@ -43,6 +43,8 @@ def tables(spark, tmp_path_factory):
     spark.createDataFrame([(d, 1, t) for d, t in labels.items()], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     benchmark = [(1, " ".join(items)), (2, " ".join(words(30))), (3, None)]
     spark.createDataFrame(benchmark, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    made = test_style_tree.host_pages(random.Random(22), 40, "one.example.com") + [("http://b.org/", "<nav>n</nav><article><h1>T</h1><p>x &amp; y</article>", "T\nx & y"), (None, None, "")]
+    spark.createDataFrame([(k, u, h) for k, (u, h, _) in enumerate(made)], "page_id long, url string, html string").write.parquet(f"{folder}/pages.parquet")
     return folder, docs, labels, benchmark
 
 
@@ -183,3 +185,26 @@ def test_op9(spark, tables):
         assert r["kept"] == (not r["base_failed"] and not far)
         rejected += far and not r["base_failed"]
     assert rejected and got[708]["n_repeat_words"] == 6
+
+
+def test_op11(spark, tables):
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    want = {}
+    for d, t in tables[1].items():
+        n, form, prefix, middle, output = test_fill_middle.brute(d, t)
+        want[d] = (n, form, prefix, middle, sha(output), sha(t or ""))
+    got = by_doc(run(spark, tables, 11))
+    assert {d: tuple(r[c] for c in ("n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")) for d, r in got.items()} == want
+
+
+def test_op12(spark, tables):
+    made = test_style_tree.host_pages(random.Random(22), 40, "one.example.com")
+    want = {k: (u, t) for k, (u, _, t) in enumerate(made)} | {40: ("http://b.org/", "T\nx & y"), 41: (None, "")}
+    rows = run(spark, tables, 12)
+    assert {r["page_id"]: (r["url"], r["text"]) for r in rows} == want and len(rows) == 42 and all(r["n_chars"] == len(r["text"]) for r in rows)
+
+
+def test_op13(spark, tables):
+    got = run(spark, tables, 13)
+    want = test_spelling.brute(tables[1].items())
+    assert {tuple(r[c] for c in ("word", "n", "form", "root", "n_near", "form_n")) for r in got} == want and len(got) == len(want) >= 10
