@@ -44,6 +44,15 @@ def total(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return keys[first], np.add.reduceat(counts, first)
 
 
+def ranges(keys: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
+    """The ranges, of 2**bits, that sorted keys lie in, and where in them."""
+    if len(keys):
+        part = keys >> U(64 - bits)
+        starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(keys)], strict=True):
+            yield int(part[a]), slice(a, b)
+
+
 class Tally:
     """Counts of keys under a tag; hands on sorted blocks for each of 2**bits ranges of keys."""
 
@@ -70,13 +79,11 @@ class Tally:
     def blocks(self) -> Iterator[pa.RecordBatch]:
         """One row for each range that has keys: the tags' sorted blocks of that range."""
         self.squeeze()
-        rows: list[list[tuple[str, bytes, bytes]]] = [[] for _ in range(1 << self.bits)]
+        rows: dict[int, list[tuple[str, bytes, bytes]]] = {}
         for tag, [(keys, counts)] in self.parts.items():
-            bounds = np.append(np.searchsorted(keys, np.arange(1 << self.bits, dtype=U) << U(64 - self.bits)), len(keys))
-            for i in np.flatnonzero(np.diff(bounds)):
-                cut = slice(bounds[i], bounds[i + 1])
-                rows[i].append((tag, pack_keys(keys[cut]), planes(counts[cut])))
-        some = [i for i, row in enumerate(rows) if row]
+            for i, cut in ranges(keys, self.bits):
+                rows.setdefault(i, []).append((tag, pack_keys(keys[cut]), planes(counts[cut])))
+        some = sorted(rows)
         columns = [[[x[k] for x in rows[i]] for i in some] for k in range(3)]
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *(pa.array(c, f.type) for c, f in zip(columns, list(BLOCK_SCHEMA)[1:]))], schema=BLOCK_SCHEMA)
         self.parts, self.size = {}, 0
@@ -100,6 +107,38 @@ def tally(fill: Callable[[pa.RecordBatch, Tally], None], bits: int):
     return run
 
 
+def resplit(bits: int):
+    """A mapInArrow function: blocks as blocks for 2**bits ranges, those of one range that a task has put together."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = Tally(bits)
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("tags", "keys", "counts")), strict=True):
+                for tag, keys, counts in zip(*row, strict=True):
+                    held.add(tag, unpack_keys(keys), from_planes(counts, np.int64))
+                if held.full():
+                    yield from held.blocks()
+        yield from held.blocks()
+
+    return run
+
+
+#: Bits of ranges that a task hands on to at once: a block for each of 2**FAN ranges and each time that its memory is full.
+FAN = 10
+
+
+def levels(bits: int) -> list[int]:
+    """Ranges that blocks are dealt to one shuffle after another, so that their number grows with the data and not with its square."""
+    return [*range(FAN, bits, FAN), bits]
+
+
+def dealt(blocks: DataFrame, bits: int, split: Callable, schema: str) -> DataFrame:
+    """Blocks for levels(bits)[0] ranges as blocks for 2**bits, by way of the other levels."""
+    for level in levels(bits)[1:]:
+        blocks = blocks.repartition("part").mapInArrow(split(level), schema)
+    return blocks
+
+
 def merged(table: pa.Table) -> dict[str, tuple[np.ndarray, np.ndarray]]:
     """The sorted keys and counts of all blocks of one range, by tag."""
     out: dict[str, list] = {}

@@ -16,13 +16,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablesmith.llm.common import Stash, map_rows, small, text_of
-from tablesmith.llm.counting import BLOCK_SCHEMA, BLOCKS, HELD, U, Tally, from_planes, merged, pack_keys, planes, range_bits, unpack_keys
+from tablesmith.llm.counting import BLOCK_SCHEMA, BLOCKS, HELD, U, Tally, dealt, from_planes, levels, merged, pack_keys, planes, range_bits, ranges, resplit, unpack_keys
 from tablesmith.llm.words import chunks, mix, spans, utf8, word_hashes
 
 #: Hashes of a text's end, which is a token, and of its start, which is a context alone.
 END, START = (mix(np.array([k], U))[0] for k in (0xE17D, 0x57A27))
 #: A bigram's key is its first word's hash times this, plus its second word's hash.
 FIRST = U(0x9FB21C651E98DF25)
+#: Arrays that a worker keeps open, as a process may have so many maps only.
+MAPS = 2048
 _BIGRAMS = "part int, keys binary, firsts binary, counts binary"
 
 
@@ -42,31 +44,55 @@ def contexts(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return before
 
 
-def _count(bits: int):
-    def blocks(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+Counts = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def _blocks(counted: Iterator[Counts], bits: int) -> Iterator[pa.RecordBatch]:
+    """Counts put together as far as memory goes, as blocks for 2**bits ranges of keys."""
+    held: list[Counts] = []
+
+    def blocks() -> Iterator[pa.RecordBatch]:
         keys, firsts, counts = _sum(held)
-        bounds = np.append(np.searchsorted(keys, np.arange(1 << bits, dtype=U) << U(64 - bits)), len(keys))
-        for i in np.flatnonzero(np.diff(bounds)):
-            cut = slice(bounds[i], bounds[i + 1])
+        for i, cut in ranges(keys, bits):
             yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), *(pa.array([x], pa.binary()) for x in (pack_keys(keys[cut]), firsts[cut].tobytes(), planes(counts[cut])))], ["part", "keys", "firsts", "counts"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    size = 0
+    for some in counted:
+        held.append(some)
+        size += len(some[0])
+        if size > HELD:
+            held[:] = [_sum(held)]
+            size = len(held[0][0])
+            if size > HELD // 2:
+                yield from blocks()
+                held.clear()
+                size = 0
+    if held:
+        yield from blocks()
+
+
+def _count(bits: int):
+    """Bigrams of texts."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[Counts]:
         for batch in small(batches):
             column = batch.column("text")
             for i, j in chunks(utf8(column)[1]):
                 hashes, first = tokens(column[i:j])
                 before = contexts(hashes, first)
-                held.append(_sum([(before * FIRST + hashes, before, np.ones(len(hashes), np.int64))]))
-            if sum(len(k) for k, _, _ in held) > HELD:
-                held = [_sum(held)]
-                if len(held[0][0]) > HELD // 2:
-                    yield from blocks(held)
-                    held = []
-        if held:
-            yield from blocks(held)
+                yield _sum([(before * FIRST + hashes, before, np.ones(len(hashes), np.int64))])
 
-    return run
+    return lambda batches: _blocks(counted(batches), bits)
+
+
+def _resplit(bits: int):
+    """Blocks of bigrams as blocks for more ranges."""
+    return lambda batches: _blocks((c for batch in batches for c in _unpacked(batch)), bits)
+
+
+def _unpacked(table: pa.Table | pa.RecordBatch) -> Iterator[Counts]:
+    for keys, firsts, counts in zip(*(table.column(c).to_pylist() for c in ("keys", "firsts", "counts")), strict=True):
+        yield unpack_keys(keys), np.frombuffer(firsts, U), from_planes(counts, np.int64)
 
 
 def _sum(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -101,8 +127,7 @@ def _bigrams(folder: str, bits: int):
     """Writes a range of bigrams, and hands on what contexts and words need of them, for 2**bits ranges of these."""
 
     def run(table: pa.Table) -> pa.Table:
-        columns = [table.column(c).to_pylist() for c in ("keys", "firsts", "counts")]
-        keys, firsts, counts = _sum([(unpack_keys(k), np.frombuffer(f, U), from_planes(c, np.int64)) for k, f, c in zip(*columns)])
+        keys, firsts, counts = _sum(list(_unpacked(table)))
         _write(folder, f"bigram-{table.column('part')[0].as_py()}", keys=keys, **_narrow("counts", counts, np.uint8))
         held = Tally(bits)
         seconds, one = keys - firsts * FIRST, np.ones(len(keys), np.int64)
@@ -159,7 +184,11 @@ class Model:
     def array(self, name: str, kind: str, dtype) -> np.ndarray:
         """A memory-mapped array; where the shared folder is no file system of this machine, of one copy for all of its workers."""
         held = self.__dict__.setdefault("_arrays", {})
-        if (name, kind) not in held:
+        if (name, kind) in held:
+            held[name, kind] = held.pop((name, kind))  # the latest comes last
+        else:
+            if len(held) >= MAPS:
+                del held[next(iter(held))]
             path = f"{urlparse(self.folder).path}/{name}.{kind}"
             if urlparse(self.folder).scheme not in ("", "file"):
                 path = self._copied(f"{name}.{kind}")
@@ -227,7 +256,8 @@ def train(docs: DataFrame) -> Model:
     Each task counts its bigrams, summed before they travel as sorted blocks for ranges of keys; a range is merged,
     written, and hands on what it adds to contexts and words, which are merged and written likewise. Keys are hashes, so
     a frequent word's bigrams spread over all ranges. Only a dozen sums reach the driver. Words are told apart by 64-bit
-    hashes. Ranges grow in number with the table (range_bits), so that each fits a worker. An empty table gives a model in
+    hashes. Ranges grow in number with the table (range_bits), so that each fits a worker; where they are many, blocks
+    are dealt in several shuffles (levels), each to a bounded number of ranges at once. An empty table gives a model in
     which every token is unknown.
     """
     spark = docs.sparkSession
@@ -235,9 +265,9 @@ def train(docs: DataFrame) -> Model:
     folder = folder if "://" in folder or not folder.startswith("file:") else "file://" + folder[5:]
     system, path = fs.FileSystem.from_uri(folder)
     system.create_dir(path, recursive=True)
-    counted = docs.select(text_of().alias("text")).mapInArrow(_count(bits), _BIGRAMS)
-    fewer = max(2, bits - 2)  # a block from each range of bigrams to each of these
-    singles = counted.groupBy("part").applyInArrow(_bigrams(folder, fewer), BLOCKS)
+    counted = dealt(docs.select(text_of().alias("text")).mapInArrow(_count(levels(bits)[0]), _BIGRAMS), bits, _resplit, _BIGRAMS)
+    fewer = max(2, bits - 2)  # words and contexts are fewer than bigrams
+    singles = dealt(counted.groupBy("part").applyInArrow(_bigrams(folder, levels(fewer)[0]), BLOCKS), fewer, resplit, BLOCKS)
     figures = singles.groupBy("part").applyInArrow(_singles(folder), "name string, value long").groupBy("name").agg(F.sum("value").alias("value"))
     zero = {k: 0 for k in ("tokens", "words", "pairs", "word1", "word2", "word3", "word4")}
     return Model(folder, {"bigram": bits, "context": fewer, "word": fewer}, zero | {r["name"]: r["value"] for r in figures.collect()})

@@ -3,6 +3,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 
 from tablesmith.llm import counting, lm
 
@@ -56,6 +57,37 @@ def test_scores_match_plain_counting(spark):
     assert all(math.isclose(r["perplexity"], 10 ** (-r["score"] / r["n_tokens"])) for r in got.collect())
 
 
+def test_many_ranges_in_several_shuffles(spark, monkeypatch):
+    """As for a table of terabytes: blocks are dealt to few ranges at once, and few arrays are open."""
+    assert counting.levels(9) == [9] and counting.levels(10) == [10] and counting.levels(21) == [10, 20, 21]
+    rng = random.Random(2)
+    train = [" ".join(rng.choice(WORDS) for _ in range(rng.randint(0, 60))) for _ in range(80)] + [None, ""]
+    docs = spark.createDataFrame([(t,) for t in train], "text string")
+    monkeypatch.setattr(counting, "FAN", 3)
+    monkeypatch.setattr(lm, "range_bits", lambda docs: 8)
+    monkeypatch.setattr(lm, "MAPS", 5)
+    assert counting.levels(8) == [3, 6, 8]
+    model = lm.train(docs)
+    assert model.bits == {"bigram": 8, "context": 6, "word": 6}
+    tests = train[:10] + ["never seen"]
+    want = brute(train, tests)
+    for text, (n, known, _, score) in zip(tests, want, strict=True):
+        hashes, first = lm.tokens(pa.array([text or ""], pa.large_string()))
+        logs, counts = model.log10(hashes, lm.contexts(hashes, first))
+        assert (len(logs), (counts > 0).sum()) == (n, known) and math.isclose(logs.sum(), score)
+    assert len(model._arrays) == 5
+
+
+def test_blocks_of_a_task_are_few():
+    """A task hands on a block a range, and what it reads of many tasks as one."""
+    keys = np.sort(np.random.default_rng(1).integers(0, 1 << 63, 5000).astype(np.uint64) * np.uint64(2))
+    one = (keys, keys, np.ones(5000, np.int64))
+    made = list(lm._blocks(iter([one] * 7), 4))
+    assert [b.column("part")[0].as_py() for b in made] == list(range(16))
+    again = list(lm._resplit(6)(iter(made * 2)))
+    assert len(again) == 64 and sum(int(lm._sum(list(lm._unpacked(b)))[2].sum()) for b in again) == 2 * 7 * 5000
+
+
 def test_ranges_grow_with_the_table(spark, tmp_path, monkeypatch):
     spark.range(20000).selectExpr("id doc_id", "uuid() text").write.parquet(str(tmp_path / "t"))
     docs = spark.read.parquet(str(tmp_path / "t"))
