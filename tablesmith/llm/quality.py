@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +21,16 @@ COMMON_WORDS = 100
 LEAST_CHARS, LEAST_WORDS, LEAST_REFERENCE = 100, 50, 2000
 #: Jensen-Shannon distances (0 to 1) from which a text is rejected.
 CHARS_APART, WORDS_APART = 0.3, 0.5
-#: A language tag: at most 26**2 + 26**3 of them, which bounds the references.
-LANGUAGE = "^[a-z]{2,3}$"
+#: A language tag, with parts for regions or scripts that don't count: at most 26**2 + 26**3 languages, which bounds the references.
+LANGUAGE = "^([A-Za-z]{2,3})(?:[-_].*)?$"
+
+
+@lru_cache(maxsize=1 << 16)
+def language(tag: str | None) -> str:
+    """The language of a tag: pt of pt-BR, en of EN; none of what is no tag."""
+    m = re.match(LANGUAGE, tag or "", re.S)
+    return m[1].lower() if m else ""
+
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -70,11 +80,11 @@ def references(docs: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray, np.nd
     Counted over all words of all documents. Only tags of LANGUAGE with LEAST_REFERENCE words or more count, so what
     reaches the driver is bounded by 18,252 languages of about 1.7 kB.
     """
-    bits = range_bits(docs, most=14)
+    bits = range_bits(docs, most=14)  # of different words, which are far fewer than words: some million a range at 100 TB
     keys_of_classes = _class_keys()
 
     def fill(batch: pa.RecordBatch, held: Tally) -> None:
-        text, langs = batch.column("text"), np.array(batch.column("lang").to_pylist(), object)
+        text, langs = batch.column("text"), np.array([language(x) for x in batch.column("lang").to_pylist()], object)
         for i, j in chunks(utf8(text)[1]):
             raw, at = utf8(text[i:j])
             classes = class_counts(raw, at)
@@ -121,7 +131,7 @@ _TOPS = pa.schema([("lang", pa.string()), ("keys", pa.list_(pa.int64())), ("coun
 def _measure(refs: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]]):
     def run(batch: pa.RecordBatch) -> dict:
         columns: dict[str, list] = {k: [] for k in ("n_words", "word_chars", "n_symbols", "n_repeat_words", "n_chars", "chars_apart", "words_apart")}
-        text, langs = batch.column("text"), np.array(batch.column("lang").to_pylist(), object)
+        text, langs = batch.column("text"), np.array([language(x) for x in batch.column("lang").to_pylist()], object)
         for i, j in chunks(utf8(text)[1]):
             raw, at = utf8(text[i:j])
             starts, ends, first = spans(raw, at)
@@ -189,8 +199,8 @@ def quality(docs: DataFrame) -> DataFrame:
     three-word windows that the text has twice or more. Method: the histograms of character classes and of the
     language's 100 commonest words (lower-cased A-Z) are compared with those of all documents of that language by
     Jensen-Shannon distance. A text is rejected if its characters are CHARS_APART or more and it has LEAST_CHARS
-    characters, or if its words are WORDS_APART or more and it has LEAST_WORDS words. Where the language is null, no
-    two- or three-letter tag, or has fewer than LEAST_REFERENCE words in all documents, distances are 0.
+    characters, or if its words are WORDS_APART or more and it has LEAST_WORDS words. Tags are read as their language
+    (pt-BR as pt, EN as en). Where the language is null, no two- or three-letter tag, or has fewer than LEAST_REFERENCE words in all documents, distances are 0.
 
     Null is the empty text, which fails the base. Very long texts are measured whole. Repeated rows give a row each.
     Extra columns are ignored; an empty table gives no rows.

@@ -53,3 +53,11 @@ def test_references_match_plain_counting(spark):
         classes, keys, counts = refs[lang]
         assert sorted(counts[:-1].tolist(), reverse=True) == [n for _, n in words.most_common(quality.COMMON_WORDS)] and counts.sum() == sum(words.values())
         assert classes[0] == sum(len(w) * n for w, n in words.items()) and len(keys) == quality.COMMON_WORDS
+
+
+def test_tags_are_read_as_their_language(spark):
+    assert [quality.language(t) for t in ("en", "EN", "pt-BR", "zh_Hant", "deu", None, "", "english", "e")] == ["en", "en", "pt", "zh", "deu", "", "", "", ""]
+    rng = random.Random(4)
+    docs = [(k, " ".join(word(rng) for _ in range(200)), tag) for k in range(20) for tag in ("en", "EN", "en-GB", "no tag at all")]
+    refs = quality.references(spark.createDataFrame(docs, "doc_id long, text string, lang string"))
+    assert list(refs) == ["en"] and refs["en"][2].sum() == 3 * 20 * 200
