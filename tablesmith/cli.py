@@ -194,7 +194,7 @@ def parser() -> argparse.ArgumentParser:
         if name in ("build", "overview", "combined", "scrape"):
             p.add_argument("-s", "--start", type=int, default=start)
             p.add_argument("-e", "--end", type=int, default=end)
-            p.add_argument("--pages", help="Parquet table (url, html) to read pages from")
+            p.add_argument("--pages", default=os.environ.get("TABLESMITH_PAGES"), help="Parquet table (url, html) to read pages from; by default that of TABLESMITH_PAGES, if set, else the network")
             p.add_argument("--wait", type=float, default=1.0)
             p.add_argument("--keep-pages", help="folder that fetched pages are kept in and not fetched again from; by default beside the output")
         if name in ("build", "overview", "combined"):
