@@ -49,6 +49,10 @@ NAMES = frozenset(
     " masthead footer sidebar aside widget widgets related recommended recommendations social share sharing newsletter subscribe subscription signup login search cookie cookies consent"
     " gdpr notice notices notification alert popup modal overlay disclaimer copyright comment comments disqus reply replies respond pagination pager skip paywall".split()
 )
+#: Beginnings of such words that others are put together from: cookiebar, sidebarleft.
+NAME_STEMS = ("cookie", "advert", "adsby", "adslot", "adbox", "sidebar", "breadcrumb", "newsletter", "sponsor")
+#: Those that count for inline elements, whose names also mark up words of a text (a comment in a listing).
+INLINE_NAMES = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo share sharing skip reply".split())
 #: Names of articles that are none: readers' comments, adverts and links to others.
 BESIDE = frozenset("comment comments reply sponsored advert ad promo related".split())
 #: First words of names that tell of a part elsewhere: has-sidebar, no-comments.
@@ -85,12 +89,13 @@ class Page:
 
 
 class Kind(NamedTuple):
-    """What an element's tag and attributes say of it; rank: 0, or how surely it is an article's place."""
+    """What an element's tag and attributes say of it; rank: 0, or how surely it is an article's place; loose: it is beside articles only if it holds none."""
 
     label: str
     aside: bool = False
     rank: int = 0
     header: bool = False
+    loose: bool = False
 
 
 def path_key(parent: int, label: str) -> int:
@@ -129,8 +134,9 @@ def _kind(tag: str, raw: str) -> Kind:
         beside = tag != "main" and role != "main" and told & BESIDE
         return Kind(label, aside or bool(beside), REAL_MAIN)
     rank = NAMED_MAIN if any(n.lower() in MAIN for n in names) else 0
-    aside = aside or tag in ASIDE or role in ROLES or (not rank and bool(told & NAMES))
-    return Kind(label, aside, rank, tag == "header" or (not rank and "header" in told))
+    named = bool(told & INLINE_NAMES) if tag in INLINE else not rank and (bool(told & NAMES) or any(w.startswith(NAME_STEMS) for w in told))
+    sure = aside or (tag in ASIDE and tag != "form") or role in ROLES
+    return Kind(label, sure or tag == "form" or named, rank, tag == "header" or (not rank and "header" in told), not sure)
 
 
 def read(html: str) -> Page:
@@ -236,13 +242,12 @@ def _ended(stack: list[tuple[str, int, bool]], tag: str) -> int:
 
 
 def _settle(page: Page, kinds: list[Kind]) -> None:
-    """What stands beside articles, and what in their place: elements take after those round them; a form round an article is only a form."""
+    """What stands beside articles, and what in their place: elements take after those round them; a form or a name round an article is only that."""
     holds = [False] * len(kinds)
     for e in range(len(kinds) - 1, 0, -1):
         if holds[e] or kinds[e].rank == REAL_MAIN:
             holds[page.parents[e]] = True
     for e in range(1, len(kinds)):
         p, own = page.parents[e], kinds[e]
-        form = own.label.partition(".")[0] == "form" and holds[e]
-        page.aside.append(page.aside[p] or (own.aside and not form) or (own.header and not page.main[p]))
+        page.aside.append(page.aside[p] or (own.aside and not (own.loose and holds[e])) or (own.header and not page.main[p] and not holds[e]))
         page.main.append(0 if page.aside[e] else max(page.main[p], own.rank))

@@ -33,6 +33,8 @@ def text(html, nodes=None):
         ('<div class="cookie-notice">We use</div><div role="navigation">n</div><div hidden>h</div><p style="display: none">d</p><p>body</p>', "body"),
         ('<article><p>body <span class="ad">buy</span> goes on</p></article><section class="comments"><article class="comment">c</article></section>', "body goes on"),
         ("<form><nav>n</nav><article><p>body</p></article><select><option>o</select></form>", "body"),
+        ('<div class="wrap sidebar-right"><article><p>body</p></article><div class="sidebarBox">s</div><div id="cookiebar">c</div><ins class="adsbygoogle">a</ins></div>', "body"),
+        ('<div class="header"><main><pre><span class="hljs-comment"># code</span> x</pre><a class="share" href="#">tell</a><p>body <a class="related" href="/">link</a></p></main></div>', "# code x\nbody link"),
         ("<table><tr><td>a<td>b<tr><th>c</table><dl><dt>d<dd>e</dl><pre>f\n  g</pre>", "a\nb\nc\nd\ne\nf g"),
         ("<ul><li>a<ul><li>b</ul>c<li>d</ul>", "a\nb\nc\nd"),
         ("<div>x</span></section></div>y<title>t</title><textarea><p>q</textarea>", "x\ny"),
