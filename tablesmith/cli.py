@@ -146,8 +146,9 @@ def save(data: Dataset, args: argparse.Namespace, path: str | None = None) -> No
 def combine(spark: SparkSession, args: argparse.Namespace) -> None:
     data, figures = merge.combine([datasets.load(spark, p, "error") for p in args.inputs], args.include_empty)
     save(data, args)
-    print(figures.first().asDict())
-    for row in merge.missing_by_war(figures).collect():
+    row = figures.first()
+    print(row.asDict())
+    for row in merge.missing_by_war(spark.createDataFrame([row], figures.schema)).collect():
         print(f"missing, {row['bucket']}: {', '.join(map(str, row['seasons']))}")
 
 
@@ -156,7 +157,10 @@ def lint(spark: SparkSession, args: argparse.Namespace) -> int:
     for path in datasets.expand_targets(args.targets, spark):
         issues = rules.lint(datasets.load(spark, path), args.raw_differences).cache()
         found = rules.summary(issues)
-        print(path, *sinks.issue_lines(issues), f"{found['issues']} issues in {found['seasons']} seasons", sep="\n")
+        print(path)
+        for line in sinks.told_issues(issues):
+            print(line)
+        print(f"{found['issues']} issues in {found['seasons']} seasons")
         code |= sinks.exit_code(issues, args.fail_on_issues)
     return code
 

@@ -112,10 +112,15 @@ def save_pages(pages: DataFrame, path: str) -> None:
     pages.select("slug", "html").filter("html is not null").write.mode("overwrite").partitionBy("slug").text(path)
 
 
+def told_issues(issues: DataFrame) -> Iterator[str]:
+    """A line for each issue, in order, fetched a partition at a time."""
+    for r in issues.orderBy(*issue_order()).toLocalIterator():
+        yield f"[{r['rule']}] {r['season_key']}{' ' + r['tier_key'] if r['tier_key'] else ''}: {r['message']}"
+
+
 def issue_lines(issues: DataFrame) -> list[str]:
-    """A line for each issue, in order."""
-    rows = issues.orderBy(*issue_order()).toLocalIterator()
-    return [f"[{r['rule']}] {r['season_key']}{' ' + r['tier_key'] if r['tier_key'] else ''}: {r['message']}" for r in rows]
+    """All lines of few issues."""
+    return list(told_issues(issues))
 
 
 def exit_code(issues: DataFrame, fail: bool = True) -> int:
