@@ -54,4 +54,4 @@ def test_stages_take_empty_tables(spark, tables):
 
 
 def test_a_query_for_each_operator():
-    assert [int(q[2:].split("_")[0]) for q in OPERATORS] == list(range(1, 11))
+    assert [int(q[2:].split("_")[0]) for q in OPERATORS] == list(range(1, 14))
