@@ -20,12 +20,17 @@ PARTS = BANDS * ROWS
 PLACE, KEPT = 40, 3 * PARTS
 #: More than any text's lines.
 LINES = 1 << 32
+#: The largest doc_id, positive or negative, whose lines' places are long integers.
+SMALL = (1 << 30) - 1
 #: Stands for a null doc_id, which comes after all others.
 NO_DOC = str(1 << 63)
 #: Lines of one side of a block of pairs.
 BLOCK = 128
 #: Letters of one side of a block, which very long lines may exceed.
 LETTERS = 1 << 20
+#: Words of 64 bits of a line's sketch, and their columns; two sketches stay within the 100 fields that Spark compiles a stage of.
+WORDS = 40
+SKETCH = [f"w{k}" for k in range(WORDS)]
 #: Rows that a class's keeper is joined by, as one class may hold most lines.
 SALTS = 16
 
@@ -36,6 +41,20 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return texts.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).filter(F.expr(r"trim(LEADING ' \t\n\u000B\u000C\r' FROM line) <> ''"))
 
 
+def _shingles(lines: DataFrame) -> DataFrame:
+    """(h, n, i, s) of lines(line): hashes of all shingles of all lines, a row each; n is how many the line has.
+
+    A shingle is hashed as UTF-16, of which it is a slice of the line's unless there is a character of four bytes.
+    """
+    wide, narrow = (F.encode("line", code) for code in ("UTF-32", "UTF-16LE"))
+    coded = lines.select(F.xxhash64("line").alias("h"), wide.alias("wide"), narrow.alias("narrow"))
+    each = F.expr("if(octet_length(wide) = 2 * octet_length(narrow), 2, 4)").alias("each")
+    sized = coded.select("h", "wide", "narrow", each, F.expr(f"greatest(1, octet_length(wide) div 4 - {SHINGLE - 1})").alias("n"))
+    rows = sized.select("h", "n", "wide", "narrow", "each", F.explode(F.sequence(F.lit(0), F.col("n").cast("int") - 1)).alias("i"))
+    slow = f"encode(decode(substring(wide, 4 * i + 1, {4 * SHINGLE}), 'UTF-32'), 'UTF-16LE')"
+    return rows.select("h", "n", "i", F.expr(f"xxhash64(if(each = 2, substring(narrow, 2 * i + 1, {2 * SHINGLE}), {slow}))").alias("s"))
+
+
 def signatures(lines: DataFrame, kept: int | None = KEPT) -> DataFrame:
     """(h, n, bands, poor) of lines(line): a line's hash, which stands for its text, its shingles, and the bands of its signature.
 
@@ -43,32 +62,35 @@ def signatures(lines: DataFrame, kept: int | None = KEPT) -> DataFrame:
     combined by line on the map side. A part that no shingle fell into is passed over for the next one that has some,
     round the last part's end, so that each row of a band is a MinHash. poor: the kept hashes filled too few parts.
     """
-    coded = lines.select(F.xxhash64("line").alias("h"), F.encode("line", "UTF-32").alias("code"))
-    sized = coded.withColumn("n", F.expr(f"greatest(1, octet_length(code) div 4 - {SHINGLE - 1})"))
-    each = sized.select("h", "n", "code", F.explode(F.sequence(F.lit(0), F.col("n").cast("int") - 1)).alias("i"))
-    hashed = each.select("h", "n", "i", F.expr(f"xxhash64(substring(code, 4 * i + 1, {4 * SHINGLE}))").alias("s"))
     top = 1 << PLACE
-    placed = hashed.select("h", "n", "i", F.expr(f"pmod(shiftright(s, {PLACE}), {PARTS})").alias("part"), F.expr(f"s & {top - 1}L").alias("place"))
+    placed = _shingles(lines).select("h", "n", "i", F.expr(f"cast(pmod(shiftright(s, {PLACE}), {PARTS}) as int)").alias("part"), F.expr(f"s & {top - 1}L").alias("place"))
     low = F.expr(f"place * n < {top * kept}L" if kept else "true")
     kept_rows = placed.filter(low | (F.col("i") == 0)).select("h", "n", F.when(low, F.col("part")).alias("part"), "place")
-    least = [F.min(F.when(F.col("part") == k, F.col("place"))).alias(f"m{k}") for k in range(PARTS)]
+    # With FILTER, a row touches the one least hash of its own part and skips the others.
+    least = [F.expr(f"min(place) FILTER (WHERE part = {k})").alias(f"m{k}") for k in range(PARTS)]
     mins = kept_rows.groupBy("h").agg(F.max("n").alias("n"), *least)
     full = [F.expr(" + ".join(f"if(m{k} is null, 0, 1)" for k in range(upto)) or "0") for upto in range(0, PARTS + 1, ROWS)]
-    values = F.array_compact(F.array(*[F.col(f"m{k}") + k * top for k in range(PARTS)]))
-    ordered = mins.select("h", "n", values.alias("v"), *[f.alias(f"at{b}") for b, f in enumerate(full)])
-    bands = [F.expr("xxhash64(" + ", ".join(f"v[(at{b} + {r}) % size(v)]" for r in range(ROWS)) + ")") for b in range(BANDS)]
+    value = [f"m{k} + {k * top}L" for k in range(PARTS)]
+    ordered = mins.select("*", *[f.alias(f"at{b}") for b, f in enumerate(full)])
+    # Where no part is empty, as in most lines, the bands are hashes of columns, without arrays.
+    whole = F.array(*[F.expr(f"xxhash64({', '.join(value[b * ROWS:(b + 1) * ROWS])})") for b in range(BANDS)])
+    ordered = ordered.withColumn("v", F.when(F.col(f"at{BANDS}") < PARTS, F.array_compact(F.array(*map(F.expr, value)))))
+    some = F.array(*[F.expr("xxhash64(" + ", ".join(f"v[(at{b} + {r}) % size(v)]" for r in range(ROWS)) + ")") for b in range(BANDS)])
     poor = (F.col(f"at{BANDS}") < BANDS) & (F.col("n") > (kept or 0)) if kept else F.lit(False)
-    made = F.when(F.col(f"at{BANDS}") > 0, F.array_distinct(F.array(*bands))).otherwise(F.array().cast("array<bigint>"))
+    made = F.when(F.col(f"at{BANDS}") == PARTS, whole).when(F.col(f"at{BANDS}") > 0, F.array_distinct(some)).otherwise(F.array().cast("array<bigint>"))
     return ordered.select("h", "n", made.alias("bands"), poor.alias("poor"))
 
 
-def _signed(docs: DataFrame, stash: Stash) -> DataFrame:
+def _signed(docs: DataFrame, placed: DataFrame, stash: Stash) -> DataFrame:
     """(h, n, bands) of all different lines of docs."""
     signed = stash(signatures(lines_of(docs).select("line")), plain=True)
     poor = signed.filter("poor").select("h")
     if poor.isEmpty():
         return signed.select("h", "n", "bands")
-    again = Sieve(poor, "h").keep(lines_of(docs).select("line", F.xxhash64("line").alias("h")), "h")
+    sieve = Sieve(poor, "h")
+    held = stash(sieve.keep(placed, "h").select(F.xxhash64("doc_id").alias("key")).distinct())
+    some = Sieve(held, "key").keep(docs.select("doc_id", "text", F.xxhash64(F.col("doc_id").cast("long")).alias("key")), "key")
+    again = sieve.keep(lines_of(some).select("line", F.xxhash64("line").alias("h")), "h")
     full = stash(signatures(again, None).join(poor, "h", "left_semi"), plain=True)
     return signed.filter("not poor").select("h", "n", "bands").unionByName(full.select("h", "n", "bands"))
 
@@ -81,8 +103,26 @@ def _set(line: str) -> str:
 
 def _similar(a: str, b: str, threshold: float) -> str:
     """Whether two sets reach the similarity; their sizes alone may rule it out."""
-    sizes = f"least(size({a}), size({b})) >= {threshold} * greatest(size({a}), size({b})) - 1e-9"
-    return f"({sizes} and size(array_intersect({a}, {b})) >= {threshold} / (1 + {threshold}) * (size({a}) + size({b})) - 1e-9)"
+    sizes = f"least(size({a}), size({b})) >= {float(threshold)}D * greatest(size({a}), size({b})) - 1e-9D"
+    return f"({sizes} and size(array_intersect({a}, {b})) >= {threshold / (1 + threshold)}D * (size({a}) + size({b})) - 1e-9D)"
+
+
+def _sketches(texts: DataFrame) -> DataFrame:
+    """(h, n, w0, w1, ...) of texts(h, line): n is a line's shingles, and its WORDS words have a bit set for each of their hashes."""
+    at = _shingles(texts.select("line")).select("h", "n", F.expr(f"cast(pmod(s, {WORDS}) as int)").alias("word"), F.expr("shiftleft(1L, cast(shiftright(s, 32) & 63L as int))").alias("bit"))
+    words = [F.expr(f"bit_or(bit) FILTER (WHERE word = {k})").alias(w) for k, w in enumerate(SKETCH)]
+    return at.groupBy("h").agg(F.max("n").alias("n"), *words).select("h", "n", *[F.coalesce(w, F.lit(0).cast("long")).alias(w) for w in SKETCH])
+
+
+def _perhaps(a: str, b: str, threshold: float) -> str:
+    """False if the sketches of two rows show that they can't reach the similarity.
+
+    Each bit that is set in one sketch alone stands for a shingle that the other line lacks, and two similar sets differ
+    by (1 - t) / (1 + t) of the sum of their sizes at most. Columns, not an array, keep the compiled method short enough
+    for the JVM to compile it in its turn.
+    """
+    differ = " + ".join(f"bit_count({a}.{w} ^ {b}.{w})" for w in SKETCH)
+    return f"{differ} <= {(1 - threshold) / (1 + threshold)}D * ({a}.n + {b}.n) + 1e-9D"
 
 
 def _blocks(some: Column) -> Column:
@@ -91,17 +131,15 @@ def _blocks(some: Column) -> Column:
 
 
 def _labels(threshold: float) -> Column:
-    """Components of a block's `lines`, array<struct<h, comp, bands, shingles>>: for each line the place of another one of its component.
+    """Components of a block's `lines`, array<struct<h, comp, shingles>>: for each line the place of another one of its component.
 
-    Lines of one comp are connected from the start. Lines are taken in turn and compared with those before. A line that
-    is already in a component that the new line has joined is not compared again, nor one that both meet in an earlier band.
+    Lines of one comp are connected from the start. The pairs of `links`, array<struct<i, j>> of places, are compared in
+    turn, but for those that are connected by then.
     """
-    here = "array_min(array_intersect(lines[i].bands, lines[j].bands)) = band"
-    similar = f"({here} and {_similar('lines[i].shingles', 'lines[j].shingles', threshold)})"
-    joined = f"aggregate(sequence(0, i - 1), array(label[i]), (met, j) -> if(array_contains(met, label[j]) or not {similar}, met, array_append(met, label[j])))"
-    renamed = f"transform(array({joined}), met -> if(size(met) = 1, label, transform(label, x -> if(array_contains(met, x), array_min(met), x))))[0]"
+    near = _similar("lines[l.i].shingles", "lines[l.j].shingles", threshold)
+    renamed = "transform(label, x -> if(x = label[l.j], label[l.i], x))"
     first = "transform(lines.comp, c -> cast(array_position(lines.comp, c) as int) - 1)"
-    return F.expr(f"aggregate(sequence(0, size(lines) - 1), {first}, (label, i) -> if(i = 0, label, {renamed}))")
+    return F.expr(f"aggregate(links, {first}, (label, l) -> if(label[l.i] = label[l.j] or not {near}, label, {renamed}))")
 
 
 def _members(signed: DataFrame, stash: Stash) -> DataFrame:
@@ -111,23 +149,41 @@ def _members(signed: DataFrame, stash: Stash) -> DataFrame:
     return stash(Sieve(crowded, "band").keep(bands, "band").join(crowded, "band").select("band", "h", "n", "centre"))
 
 
-def _star_edges(members: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+def _star_edges(members: DataFrame, texts: DataFrame, sketches: DataFrame, stash: Stash, threshold: float) -> DataFrame:
     """(src, dst): lines as similar as the threshold to the centre of a band of theirs."""
-    pairs = members.filter("h <> centre").select("centre", "h", "n").distinct()
+    pairs = members.filter("h <> centre").select("centre", "h").distinct()
+    sides = [sketches.select(F.col("h").alias(name), F.struct("n", *SKETCH).alias(side)) for name, side in (("h", "x"), ("centre", "y"))]
+    near = pairs.hint("merge").join(sides[0], "h").hint("merge").join(sides[1], "centre").filter(_perhaps("x", "y", threshold))
+    pairs = stash(near.select("centre", "h", F.col("x.n").alias("n")))
     sizes = pairs.groupBy("centre").agg(_blocks(F.lit(True)).alias("m"))
     dealt = pairs.join(sizes, "centre").select("centre", "h", F.expr("pmod(xxhash64(h, 'chunk'), m)").alias("chunk"))
     blocks = dealt.hint("merge").join(texts, "h").groupBy("centre", "chunk").agg(F.collect_list(F.struct("h", "line")).alias("lines"))
     both = blocks.hint("merge").join(texts.select(F.col("h").alias("centre"), F.col("line").alias("middle")), "centre")
-    near = f"exists(array({_set('x.line')}), t -> {_similar('c', 't', threshold)})"
-    found = both.select("centre", F.explode(F.expr(f"transform(array({_set('middle')}), c -> filter(lines, x -> {near}))[0].h")).alias("dst"))
+    sets = both.select("centre", F.expr(_set("middle")).alias("mid"), F.expr(f"transform(lines, x -> struct(x.h as h, {_set('x.line')} as shingles))").alias("lines"))
+    # Rows and not a lambda, so that intersections are compiled; outer, as Spark would filter by the sets, made once more, for an inner explode.
+    each = sets.select("centre", "mid", F.explode_outer("lines").alias("x"))
+    found = each.filter(_similar("mid", "x.shingles", threshold)).select("centre", F.col("x.h").alias("dst"))
     return found.select(F.col("centre").alias("src"), "dst")
 
 
-def _rest_edges(members: DataFrame, labels: DataFrame, texts: DataFrame, stash: Stash, threshold: float) -> DataFrame | None:
+def _likely(dealt: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
+    """(band, i, j, a, b): pairs of rows of dealt(band, i, j, h, comp, bands) of a block, each a struct of h and comp, that
+    are of different comps and, by their sketches, may be similar. A pair is named in the first band alone that both are in.
+    """
+    sketched = dealt.hint("merge").join(sketches, "h")
+    blocks = sketched.groupBy("band", "i", "j").agg(F.collect_list(F.struct("h", "comp", "bands", "chunk", "n", *SKETCH)).alias("lines"))
+    pairs = blocks.select("band", "i", "j", "lines", F.explode("lines").alias("x")).select("band", "i", "j", "x", F.explode("lines").alias("y"))
+    # Pairs of one chunk are compared in the block of that chunk alone.
+    pairs = pairs.filter("x.h < y.h and x.comp <> y.comp and (i = j or x.chunk <> y.chunk)").filter(_perhaps("x", "y", threshold))
+    here = pairs.filter("array_min(array_intersect(x.bands, y.bands)) = band")
+    return here.select("band", "i", "j", F.struct("x.h", "x.comp").alias("a"), F.struct("y.h", "y.comp").alias("b"))
+
+
+def _rest_edges(members: DataFrame, labels: DataFrame, texts: DataFrame, sketches: DataFrame, stash: Stash, threshold: float) -> DataFrame | None:
     """(src, dst): comps that lines of a band link, which its star has left apart; none if there is no such band.
 
     All pairs of lines of different comps are compared, in blocks of BLOCK lines a side, but for the centre, which all
-    have been compared with. The lines of one comp, the `same` ones, meet the others alone, not each other.
+    have been compared with: first by their sketches, then, where these leave it open, by all their shingles. The lines of one comp, the `same` ones, meet the others alone, not each other.
     """
     comp = F.coalesce("label", "h")
     known = members.filter("h <> centre").join(labels.toDF("h", "label"), "h", "left").select("band", "h", "n", comp.alias("comp"))
@@ -144,18 +200,23 @@ def _rest_edges(members: DataFrame, labels: DataFrame, texts: DataFrame, stash:
     sized = sided.join(left.groupBy("band").agg(*chunks), "band")
     chunk = F.expr("if(same, others + pmod(xxhash64(h, 'chunk'), sames), pmod(xxhash64(h, 'chunk'), others))").cast("int")
     dealt = sized.withColumn("chunk", chunk).withColumn("other", F.expr("explode(sequence(0, if(same, others, others + sames) - 1))"))
-    texted = dealt.select("band", "h", "comp", "bands", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j")).hint("merge").join(texts, "h")
-    blocks = texted.groupBy("band", "i", "j").agg(F.collect_list(F.struct("h", "comp", "bands", "line")).alias("lines"))
+    dealt = dealt.select("band", "h", "comp", "bands", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"))
+    # A table of their own, as the JVM compiles no method as long as that of the pairs with what follows.
+    links = stash(_likely(dealt, sketches, threshold))
+    ends = links.select("band", "i", "j", F.explode(F.array("a", "b")).alias("e")).select("band", "i", "j", "e.h", "e.comp").distinct()
+    blocks = ends.hint("merge").join(texts, "h").groupBy("band", "i", "j").agg(F.collect_list(F.struct("h", "comp", "line")).alias("lines"))
+    linked = blocks.join(links.groupBy("band", "i", "j").agg(F.collect_list(F.struct("a.h", F.col("b.h").alias("to"))).alias("links")), ["band", "i", "j"])
     # Texts are dealt, as hashes of all their shingles are eight times as long.
-    sets = blocks.select("band", F.expr(f"transform(lines, x -> struct(x.h as h, x.comp as comp, x.bands as bands, {_set('x.line')} as shingles))").alias("lines"))
-    labelled = sets.withColumn("label", _labels(threshold))
+    sets = F.expr(f"transform(lines, x -> struct(x.h as h, x.comp as comp, {_set('x.line')} as shingles))")
+    places = F.expr("transform(links, l -> struct(cast(array_position(lines.h, l.h) as int) - 1 as i, cast(array_position(lines.h, l.to) as int) - 1 as j))")
+    labelled = linked.select("band", sets.alias("lines"), places.alias("links")).withColumn("label", _labels(threshold))
     member = labelled.select(F.explode(F.expr("transform(sequence(0, size(lines) - 1), i -> struct(lines[i].comp as src, lines[label[i]].comp as dst))")).alias("e"))
     return member.select("e.src", "e.dst").filter("src <> dst").distinct()
 
 
 def fuzzy_classes(docs: DataFrame, placed: DataFrame, first: DataFrame, stash: Stash, threshold: float) -> DataFrame:
     """(h, class) of the lines that are in one component with a different one as similar as the threshold."""
-    members = _members(_signed(docs, stash), stash)
+    members = _members(_signed(docs, placed, stash), stash)
     stash.keep_only(placed, first, members)
     own = F.xxhash64("doc_id", "line_no").alias("own")
     wanted = stash(members.select("h").distinct().join(first, "h").select("h", "doc_id", "line_no", own))
@@ -164,9 +225,10 @@ def fuzzy_classes(docs: DataFrame, placed: DataFrame, first: DataFrame, stash: S
     same = F.col("doc_id").eqNullSafe(F.col("at_doc")) & (F.col("line_no") == F.col("at_line"))
     held = found.join(wanted.select("h", F.col("doc_id").alias("at_doc"), F.col("line_no").alias("at_line")), "h").filter(same)
     texts = stash(held.select("h", "line").dropDuplicates(["h"]))
-    stars = stash(_star_edges(members, texts, threshold))
+    sketches = stash(_sketches(texts), plain=True)
+    stars = stash(_star_edges(members, texts, sketches, stash, threshold))
     labels = components(stars, stash)
-    rest = _rest_edges(members, labels, texts, stash, threshold)
+    rest = _rest_edges(members, labels, texts, sketches, stash, threshold)
     if rest is None:
         return labels.toDF("h", "class")
     merged = components(stash(rest), stash).toDF("label", "class")
@@ -203,11 +265,20 @@ def line_classes(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     """
     stash = Stash(docs.sparkSession, "lines")
     placed = stash(lines_of(docs).select("doc_id", "line_no", F.xxhash64("line").alias("h")), plain=True)
-    # A line's place as one number, which Spark's hash aggregate can hold, while the least of structs would be sorted for.
+    # A line's place as one number, which Spark's hash aggregate can hold, while the least of structs would be sorted for:
+    # a long integer where the doc_id is small enough, else a decimal.
     doc = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit(NO_DOC).cast("decimal(20,0)"))
     place = doc * F.lit(LINES).cast("decimal(11,0)") + F.col("line_no")
-    least = placed.groupBy("h").agg(F.min(place).alias("place"), F.count("*").alias("n"))
-    first = stash(least.select("h", "place", "n", *_unplaced("place")))
+    small = F.expr(f"coalesce(doc_id between {-SMALL} and {SMALL}, false)")
+    least = placed.withColumn("small", small).groupBy("h").agg(
+        F.min(F.when(~F.col("small"), place)).alias("far"),
+        F.min(F.when(F.col("small"), F.col("doc_id") * LINES + F.col("line_no"))).alias("near"),
+        F.count("*").alias("n"),
+    )
+    least = least.withColumn("place", F.least("far", F.col("near").cast("decimal(33,0)")))
+    nearby = F.expr("cast(shiftright(near, 32) as bigint)"), F.expr(f"cast(near & {LINES - 1}L as int)")
+    ends = [F.when(F.col("far").isNull(), own).otherwise(other).alias(name) for name, own, other in zip(("doc_id", "line_no"), nearby, _unplaced("place"))]
+    first = stash(least.select("h", "place", "n", *ends))
     fuzzy = stash(fuzzy_classes(docs, placed, first, stash, threshold))
     stash.keep_only(placed, first, fuzzy)
     classed = stash(fuzzy.join(first, "h").select("h", "class", "place"))
