@@ -254,7 +254,8 @@ def line_classes(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     Signatures are MinHash bands over all shingles of a line: 8 bands of 3 values. A pair at the threshold shares a band
     with a chance of 0.51, so of 8 bands it misses all in 0.3 % of cases. Lines are first compared with the least line
     of each of their bands, on all their shingles, and connected by union-find; then, in bands that are still apart, all
-    pairs of lines that are not connected. Both run in blocks of 128 lines and some
+    pairs of lines that are not connected. Sketches of all shingles first rule out, exactly, most pairs that are not similar.
+    Both run in blocks of 128 lines and some
     million letters a side, so that no task holds a band. Equal
     lines are one line throughout, aggregated before any shuffle, however often they occur. Lines are told apart by a
     64-bit hash of their text.
