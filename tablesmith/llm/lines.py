@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablesmith.llm.common import Stash, text_of
@@ -26,6 +26,8 @@ SMALL = (1 << 30) - 1
 NO_DOC = str(1 << 63)
 #: Lines of one side of a block of pairs.
 BLOCK = 128
+#: Lines round a centre up to which all pairs of them are looked at; more lines meet by what they share.
+CROWD = 64
 #: Letters of one side of a block, which very long lines may exceed.
 LETTERS = 1 << 20
 #: Words of 64 bits of a line's sketch, and their columns; two sketches stay within the 100 fields that Spark compiles a stage of.
@@ -171,22 +173,76 @@ def _likely(dealt: DataFrame, sketches: DataFrame, threshold: float) -> DataFram
     are of different comps and, by their sketches, may be similar. A pair is named in the first band alone that both are in.
     """
     sketched = dealt.hint("merge").join(sketches, "h")
-    blocks = sketched.groupBy("band", "i", "j").agg(F.collect_list(F.struct("h", "comp", "bands", "chunk", "n", *SKETCH)).alias("lines"))
-    pairs = blocks.select("band", "i", "j", "lines", F.explode("lines").alias("x")).select("band", "i", "j", "x", F.explode("lines").alias("y"))
-    # Pairs of one chunk are compared in the block of that chunk alone.
-    pairs = pairs.filter("x.h < y.h and x.comp <> y.comp and (i = j or x.chunk <> y.chunk)").filter(_perhaps("x", "y", threshold))
+    sides = [F.collect_list(F.when(F.expr(which), F.struct("h", "comp", "bands", "n", *SKETCH))).alias(name) for name, which in (("xs", "chunk = i"), ("ys", "chunk = j and i <> j"))]
+    blocks = sketched.groupBy("band", "i", "j").agg(*sides).withColumn("ys", F.expr("if(i = j, xs, ys)"))
+    # Pairs of one chunk are compared in the block of that chunk alone, all others from one side to the other.
+    pairs = blocks.select("band", "i", "j", "ys", F.explode("xs").alias("x")).select("band", "i", "j", "x", F.explode("ys").alias("y"))
+    pairs = pairs.filter("x.comp <> y.comp and (i <> j or x.h < y.h)").filter(_perhaps("x", "y", threshold))
     here = pairs.filter("array_min(array_intersect(x.bands, y.bands)) = band")
     return here.select("band", "i", "j", F.struct("x.h", "x.comp").alias("a"), F.struct("y.h", "y.comp").alias("b"))
 
 
+def _differences(crowd: DataFrame, texts: DataFrame, stash: Stash) -> DataFrame:
+    """crowd(centre, c, h, ...) with n, the line's different shingles, and d, those that it or the majority lacks.
+
+    The majority of a centre's c lines has the shingles that more than half of them have.
+    """
+    sets = crowd.hint("merge").join(texts, "h").select(*crowd.columns, F.expr(_set("line")).alias("x"))
+    counts = sets.select("centre", "c", F.explode_outer("x").alias("e")).groupBy("centre", "e").agg(F.count("*").alias("df"), F.max("c").alias("c"))
+    major = stash(counts.filter("2 * df > c").groupBy("centre").agg(F.collect_list("e").alias("major")))
+    both = sets.join(major, "centre", "left").withColumn("major", F.coalesce("major", F.array().cast("array<bigint>")))
+    return stash(both.select(*crowd.columns, F.size("x").alias("n"), F.expr("concat(array_except(x, major), array_except(major, x))").alias("d")))
+
+
+def _crowd_links(crowd: DataFrame, texts: DataFrame, sketches: DataFrame, stash: Stash, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Of crowd(centre, c, chunk, h, comp): links as _likely has them, and edges (src, dst) of comps that are surely linked.
+
+    Near copies differ from their majority M in few shingles, most of them their own. With d(x) the shingles that x or M
+    lacks, x and y differ in |d(x)| + |d(y)| - 2 |d(x) & d(y)| shingles, and are similar if that is at most share * (n(x) + n(y)).
+    So with s = |d| - share * n they are similar if s(x) + s(y) <= 2 |d(x) & d(y)|. The line of the least s is thus similar
+    to all whose s is at most its negative. All other pairs need common shingles in their differences, that many that two
+    lines have one among the rarest |d| - a + 1 of each, where a is the least overlap that any partner asks for, and the
+    first such one so early that enough can follow. No pair is lost, whatever the majority is.
+    """
+    share = (1 - threshold) / (1 + threshold)
+    slack = f"dl - {share}D * n"
+    lines = _differences(crowd, texts, stash).withColumn("dl", F.size("d")).withColumn("s", F.expr(slack))
+    low = lines.groupBy("centre").agg(F.min("s").alias("least"), F.min_by("comp", "s").alias("best"))
+    tied = stash(lines.join(low, "centre").filter("comp = best or s + least <= 1e-9D").select("centre", "comp", "best").distinct())
+    sided = lines.join(tied.select("centre", "comp", F.lit(True).alias("same")), ["centre", "comp"], "left").withColumn("same", F.coalesce("same", F.lit(False)))
+    bounds = sided.groupBy("centre").agg(F.min("s").alias("least"), F.min(F.when(~F.col("same"), F.col("s"))).alias("other")).filter("other is not null")
+    asked = F.expr("cast(ceil(greatest(1D, (s + if(same, other, least)) / 2 - 1e-9D)) as int)")
+    bound = sided.join(bounds, "centre").withColumn("upto", F.col("dl") - asked + 1).filter("upto > 0")
+    own = ["centre", "chunk", "h", "comp", "same", "n", "dl"]
+    # Dealt by line, as a centre's lines would be one task's after joins by centre.
+    rows = bound.select(*own, "upto", "d").repartition("h").select(*own, "upto", F.explode_outer("d").alias("e"))
+    rare = rows.withColumn("df", F.count("*").over(Window.partitionBy("centre", "e"))).filter("df > 1")
+    line = Window.partitionBy("centre", "h")
+    # Shingles that no other difference has come first, and are left out.
+    placed = rare.withColumn("r", F.row_number().over(line.orderBy("df", "e")) + F.col("dl") - F.count("*").over(line))
+    heads = stash(placed.filter("r <= upto").select(*own, "e", "r"))
+    sides = [heads.select("centre", "e", F.struct("chunk", "h", "comp", "same", "n", "dl", "r", F.expr(slack).alias("s")).alias(name)) for name in ("x", "y")]
+    apart = f"x.comp <> y.comp and (y.same or x.h < y.h) and least(x.n, y.n) >= {float(threshold)}D * greatest(x.n, y.n) - 1e-9D"
+    enough = "2 * (1 + least(x.dl - x.r, y.dl - y.r)) >= x.s + y.s - 1e-9D"
+    met = sides[0].filter("not x.same").hint("merge").join(sides[1], ["centre", "e"]).filter(f"{apart} and {enough}")
+    ends = [F.struct(f"{name}.h", f"{name}.comp").alias(to) for name, to in (("x", "a"), ("y", "b"))]
+    pairs = stash(met.select("centre", F.least("x.chunk", "y.chunk").alias("i"), F.greatest("x.chunk", "y.chunk").alias("j"), *ends).distinct())
+    sketched = [sketches.select(F.col("h").alias(name), F.struct("n", *SKETCH).alias(side)) for name, side in (("at", "x"), ("to", "y"))]
+    both = pairs.withColumn("at", F.col("a.h")).withColumn("to", F.col("b.h")).hint("merge").join(sketched[0], "at").hint("merge").join(sketched[1], "to")
+    links = both.filter(_perhaps("x", "y", threshold)).select(F.col("centre").alias("band"), "i", "j", "a", "b")
+    return links, tied.filter("comp <> best").select(F.col("comp").alias("src"), F.col("best").alias("dst"))
+
+
 def _rest_edges(members: DataFrame, labels: DataFrame, texts: DataFrame, sketches: DataFrame, stash: Stash, threshold: float) -> DataFrame | None:
     """(src, dst): comps that lines of a band link, which its star has left apart; none if there is no such band.
 
-    All pairs of lines of different comps are compared, in blocks of BLOCK lines a side, but for the centre, which all
-    have been compared with: first by their sketches, then, where these leave it open, by all their shingles. The lines of one comp, the `same` ones, meet the others alone, not each other.
+    Round a centre that at most CROWD lines are left of, all pairs of lines of different comps in a band are compared, in
+    blocks of BLOCK lines a side, but for the centre, which all have been compared with: first by their sketches, then,
+    where these leave it open, by all their shingles. The lines of one comp, the `same` ones, meet the others alone, not
+    each other. Of more lines only those pairs are compared so whose common differences allow them to be similar.
     """
     comp = F.coalesce("label", "h")
-    known = members.filter("h <> centre").join(labels.toDF("h", "label"), "h", "left").select("band", "h", "n", comp.alias("comp"))
+    known = members.filter("h <> centre").join(labels.toDF("h", "label"), "h", "left").select("band", "centre", "h", "n", comp.alias("comp"))
     # Bands of the same lines need one look: they have the same number of lines and the same checksums.
     sums = [F.expr(f"bit_xor(xxhash64(h, {k}))").alias(f"sum{k}") for k in (1, 2)]
     ends = F.min("comp").alias("low"), F.max("comp").alias("high"), F.min_by("comp", "h").alias("top")
@@ -194,7 +250,12 @@ def _rest_edges(members: DataFrame, labels: DataFrame, texts: DataFrame, sketche
     apart = stash(apart.groupBy("n", "sum1", "sum2").agg(F.min("band").alias("band"), F.first("top").alias("top")).select("band", "top"))
     if apart.isEmpty():
         return None
-    left = stash(Sieve(apart, "band").keep(known, "band").join(apart, "band").select("band", "h", "n", "comp", (F.col("comp") == F.col("top")).alias("same")))
+    every = stash(Sieve(apart, "band").keep(known, "band").join(apart, "band").select("band", "centre", "h", "n", "comp", (F.col("comp") == F.col("top")).alias("same")))
+    groups = every.select("centre", "h", "n", "comp").distinct()
+    crowds = stash(groups.groupBy("centre").agg(F.count("*").alias("c"), _blocks(F.lit(True)).alias("m")).filter(f"c > {CROWD}"))
+    crowd = groups.join(crowds, "centre").select("centre", "c", F.expr("cast(pmod(xxhash64(h, 'chunk'), m) as int)").alias("chunk"), "h", "comp")
+    met, sure = _crowd_links(stash(crowd), texts, sketches, stash, threshold)
+    left = every.join(crowds, "centre", "left_anti").drop("centre")
     sided = left.join(left.groupBy("h").agg(F.collect_list("band").alias("bands")), "h")
     chunks = [_blocks(F.col("same") == same).alias(name) for name, same in (("others", False), ("sames", True))]
     sized = sided.join(left.groupBy("band").agg(*chunks), "band")
@@ -202,7 +263,7 @@ def _rest_edges(members: DataFrame, labels: DataFrame, texts: DataFrame, sketche
     dealt = sized.withColumn("chunk", chunk).withColumn("other", F.expr("explode(sequence(0, if(same, others, others + sames) - 1))"))
     dealt = dealt.select("band", "h", "comp", "bands", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"))
     # A table of their own, as the JVM compiles no method as long as that of the pairs with what follows.
-    links = stash(_likely(dealt, sketches, threshold))
+    links = stash(_likely(dealt, sketches, threshold).unionByName(met))
     ends = links.select("band", "i", "j", F.explode(F.array("a", "b")).alias("e")).select("band", "i", "j", "e.h", "e.comp").distinct()
     blocks = ends.hint("merge").join(texts, "h").groupBy("band", "i", "j").agg(F.collect_list(F.struct("h", "comp", "line")).alias("lines"))
     linked = blocks.join(links.groupBy("band", "i", "j").agg(F.collect_list(F.struct("a.h", F.col("b.h").alias("to"))).alias("links")), ["band", "i", "j"])
@@ -211,7 +272,7 @@ def _rest_edges(members: DataFrame, labels: DataFrame, texts: DataFrame, sketche
     places = F.expr("transform(links, l -> struct(cast(array_position(lines.h, l.h) as int) - 1 as i, cast(array_position(lines.h, l.to) as int) - 1 as j))")
     labelled = linked.select("band", sets.alias("lines"), places.alias("links")).withColumn("label", _labels(threshold))
     member = labelled.select(F.explode(F.expr("transform(sequence(0, size(lines) - 1), i -> struct(lines[i].comp as src, lines[label[i]].comp as dst))")).alias("e"))
-    return member.select("e.src", "e.dst").filter("src <> dst").distinct()
+    return member.select("e.src", "e.dst").filter("src <> dst").unionByName(sure).distinct()
 
 
 def fuzzy_classes(docs: DataFrame, placed: DataFrame, first: DataFrame, stash: Stash, threshold: float) -> DataFrame:
@@ -256,7 +317,8 @@ def line_classes(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     of each of their bands, on all their shingles, and connected by union-find; then, in bands that are still apart, all
     pairs of lines that are not connected. Sketches of all shingles first rule out, exactly, most pairs that are not similar.
     Both run in blocks of 128 lines and some
-    million letters a side, so that no task holds a band. Equal
+    million letters a side, so that no task holds a band. Where more than 64 lines are left round a centre, only those
+    pairs meet whose common differences from the majority allow them to be similar, which rules out no similar pair. Equal
     lines are one line throughout, aggregated before any shuffle, however often they occur. Lines are told apart by a
     64-bit hash of their text.
 
