@@ -46,15 +46,16 @@ def lines_of(docs: DataFrame) -> DataFrame:
 def _shingles(lines: DataFrame) -> DataFrame:
     """(h, n, i, s) of lines(line): hashes of all shingles of all lines, a row each; n is how many the line has.
 
-    A shingle is hashed as UTF-16, of which it is a slice of the line's unless there is a character of four bytes.
+    A shingle is hashed as UTF-16, of which it is a slice of the line's unless there is a character of four bytes; only
+    then is the line coded once more, as UTF-32.
     """
-    wide, narrow = (F.encode("line", code) for code in ("UTF-32", "UTF-16LE"))
-    coded = lines.select(F.xxhash64("line").alias("h"), wide.alias("wide"), narrow.alias("narrow"))
-    each = F.expr("if(octet_length(wide) = 2 * octet_length(narrow), 2, 4)").alias("each")
-    sized = coded.select("h", "wide", "narrow", each, F.expr(f"greatest(1, octet_length(wide) div 4 - {SHINGLE - 1})").alias("n"))
-    rows = sized.select("h", "n", "wide", "narrow", "each", F.explode(F.sequence(F.lit(0), F.col("n").cast("int") - 1)).alias("i"))
+    coded = lines.select("line", F.xxhash64("line").alias("h"), F.encode("line", "UTF-16LE").alias("narrow"))
+    wide = F.expr("if(octet_length(narrow) = 2 * length(line), null, encode(line, 'UTF-32'))").alias("wide")
+    n = F.expr(f"greatest(1, if(wide is null, octet_length(narrow) div 2, octet_length(wide) div 4) - {SHINGLE - 1})").alias("n")
+    sized = coded.select("h", "narrow", wide).select("h", "narrow", "wide", n)
+    rows = sized.select("h", "n", "wide", "narrow", F.explode(F.sequence(F.lit(0), F.col("n").cast("int") - 1)).alias("i"))
     slow = f"encode(decode(substring(wide, 4 * i + 1, {4 * SHINGLE}), 'UTF-32'), 'UTF-16LE')"
-    return rows.select("h", "n", "i", F.expr(f"xxhash64(if(each = 2, substring(narrow, 2 * i + 1, {2 * SHINGLE}), {slow}))").alias("s"))
+    return rows.select("h", "n", "i", F.expr(f"xxhash64(if(wide is null, substring(narrow, 2 * i + 1, {2 * SHINGLE}), {slow}))").alias("s"))
 
 
 def signatures(lines: DataFrame, kept: int | None = KEPT) -> DataFrame:
@@ -65,9 +66,11 @@ def signatures(lines: DataFrame, kept: int | None = KEPT) -> DataFrame:
     round the last part's end, so that each row of a band is a MinHash. poor: the kept hashes filled too few parts.
     """
     top = 1 << PLACE
-    placed = _shingles(lines).select("h", "n", "i", F.expr(f"cast(pmod(shiftright(s, {PLACE}), {PARTS}) as int)").alias("part"), F.expr(f"s & {top - 1}L").alias("place"))
-    low = F.expr(f"place * n < {top * kept}L" if kept else "true")
-    kept_rows = placed.filter(low | (F.col("i") == 0)).select("h", "n", F.when(low, F.col("part")).alias("part"), "place")
+    # The partition's number, which is never negative, keeps the filter above the hashes: Spark would make them twice, for the filter and for the rows.
+    hashed = _shingles(lines).select("h", "n", "i", "s", F.spark_partition_id().alias("task"))
+    place, part = F.expr(f"s & {top - 1}L").alias("place"), F.expr(f"cast(pmod(shiftright(s, {PLACE}), {PARTS}) as int)")
+    low = F.expr(f"(s & {top - 1}L) * n < {top * kept}L" if kept else "true")
+    kept_rows = hashed.filter(low | (F.col("i") == 0) | (F.col("task") < 0)).select("h", "n", F.when(low, part).alias("part"), place)
     # With FILTER, a row touches the one least hash of its own part and skips the others.
     least = [F.expr(f"min(place) FILTER (WHERE part = {k})").alias(f"m{k}") for k in range(PARTS)]
     mins = kept_rows.groupBy("h").agg(F.max("n").alias("n"), *least)
@@ -83,10 +86,28 @@ def signatures(lines: DataFrame, kept: int | None = KEPT) -> DataFrame:
     return ordered.select("h", "n", made.alias("bands"), poor.alias("poor"))
 
 
-def _signed(docs: DataFrame, placed: DataFrame, stash: Stash) -> DataFrame:
+def _own() -> Column:
+    """A line's place, as one number."""
+    return F.xxhash64("doc_id", "line_no").alias("own")
+
+
+def _once(docs: DataFrame, first: DataFrame, stash: Stash) -> DataFrame:
+    """(line) of docs: each different line at least once, of most copies the first(h, doc_id, line_no, n) alone.
+
+    A line goes if its hash may be that of copied lines and its place is surely none of the first places of all lines,
+    copied or not, of which that holds. Each line's first place is thus kept, whatever the filters let pass besides.
+    """
+    copied = Sieve(stash(first.filter("n > 1").select("h"), plain=True), "h")
+    places = Sieve(stash(copied.keep(first, "h").select(_own()), plain=True), "own")
+    rows = lines_of(docs).select("line", F.xxhash64("line").alias("h"), _own())
+    maybe = copied.split(rows, "h").withColumnRenamed(MAYBE, "copied")
+    return places.split(maybe, "own").filter(f"not copied or {MAYBE}").select("line")
+
+
+def _signed(docs: DataFrame, placed: DataFrame, first: DataFrame, stash: Stash) -> DataFrame:
     """(h, n, bands) of all different lines of docs."""
-    signed = stash(signatures(lines_of(docs).select("line")), plain=True)
-    poor = signed.filter("poor").select("h")
+    signed = stash(signatures(_once(docs, first, stash)), plain=True)
+    poor = stash(signed.filter("poor").select("h"), plain=True)
     if poor.isEmpty():
         return signed.select("h", "n", "bands")
     sieve = Sieve(poor, "h")
@@ -147,8 +168,8 @@ def _labels(threshold: float) -> Column:
 def _members(signed: DataFrame, stash: Stash) -> DataFrame:
     """(band, h, n, centre): the lines of all bands that different lines share; the centre is a band's least line."""
     bands = signed.select("h", "n", F.explode("bands").alias("band"))
-    crowded = stash(bands.groupBy("band").agg(F.min("h").alias("centre"), F.max("h").alias("last")).filter("centre <> last").select("band", "centre"))
-    return stash(Sieve(crowded, "band").keep(bands, "band").join(crowded, "band").select("band", "h", "n", "centre"))
+    crowded = stash(bands.groupBy("band").agg(F.min("h").alias("centre"), F.max("h").alias("last")).filter("centre <> last").select("band", "centre"), plain=True)
+    return stash(Sieve(crowded, "band").keep(bands, "band").join(crowded, "band").select("band", "h", "n", "centre"), plain=True)
 
 
 def _star_edges(members: DataFrame, texts: DataFrame, sketches: DataFrame, stash: Stash, threshold: float) -> DataFrame:
@@ -156,10 +177,10 @@ def _star_edges(members: DataFrame, texts: DataFrame, sketches: DataFrame, stash
     pairs = members.filter("h <> centre").select("centre", "h").distinct()
     sides = [sketches.select(F.col("h").alias(name), F.struct("n", *SKETCH).alias(side)) for name, side in (("h", "x"), ("centre", "y"))]
     near = pairs.hint("merge").join(sides[0], "h").hint("merge").join(sides[1], "centre").filter(_perhaps("x", "y", threshold))
-    pairs = stash(near.select("centre", "h", F.col("x.n").alias("n")))
+    pairs = stash(near.select("centre", "h", F.col("x.n").alias("n")), plain=True)
     sizes = pairs.groupBy("centre").agg(_blocks(F.lit(True)).alias("m"))
     dealt = pairs.join(sizes, "centre").select("centre", "h", F.expr("pmod(xxhash64(h, 'chunk'), m)").alias("chunk"))
-    blocks = dealt.hint("merge").join(texts, "h").groupBy("centre", "chunk").agg(F.collect_list(F.struct("h", "line")).alias("lines"))
+    blocks = dealt.hint("merge").join(Sieve(pairs, "h").keep(texts, "h"), "h").groupBy("centre", "chunk").agg(F.collect_list(F.struct("h", "line")).alias("lines"))
     both = blocks.hint("merge").join(texts.select(F.col("h").alias("centre"), F.col("line").alias("middle")), "centre")
     sets = both.select("centre", F.expr(_set("middle")).alias("mid"), F.expr(f"transform(lines, x -> struct(x.h as h, {_set('x.line')} as shingles))").alias("lines"))
     # Rows and not a lambda, so that intersections are compiled; outer, as Spark would filter by the sets, made once more, for an inner explode.
@@ -187,11 +208,11 @@ def _differences(crowd: DataFrame, texts: DataFrame, stash: Stash) -> DataFrame:
 
     The majority of a centre's c lines has the shingles that more than half of them have.
     """
-    sets = crowd.hint("merge").join(texts, "h").select(*crowd.columns, F.expr(_set("line")).alias("x"))
+    sets = stash(crowd.hint("merge").join(Sieve(crowd, "h").keep(texts, "h"), "h").select(*crowd.columns, F.expr(_set("line")).alias("x")), plain=True)
     counts = sets.select("centre", "c", F.explode_outer("x").alias("e")).groupBy("centre", "e").agg(F.count("*").alias("df"), F.max("c").alias("c"))
     major = stash(counts.filter("2 * df > c").groupBy("centre").agg(F.collect_list("e").alias("major")))
     both = sets.join(major, "centre", "left").withColumn("major", F.coalesce("major", F.array().cast("array<bigint>")))
-    return stash(both.select(*crowd.columns, F.size("x").alias("n"), F.expr("concat(array_except(x, major), array_except(major, x))").alias("d")))
+    return stash(both.select(*crowd.columns, F.size("x").alias("n"), F.expr("concat(array_except(x, major), array_except(major, x))").alias("d")), plain=True)
 
 
 def _crowd_links(crowd: DataFrame, texts: DataFrame, sketches: DataFrame, stash: Stash, threshold: float) -> tuple[DataFrame, DataFrame]:
@@ -220,15 +241,16 @@ def _crowd_links(crowd: DataFrame, texts: DataFrame, sketches: DataFrame, stash:
     line = Window.partitionBy("centre", "h")
     # Shingles that no other difference has come first, and are left out.
     placed = rare.withColumn("r", F.row_number().over(line.orderBy("df", "e")) + F.col("dl") - F.count("*").over(line))
-    heads = stash(placed.filter("r <= upto").select(*own, "e", "r"))
+    heads = stash(placed.filter("r <= upto").select(*own, "e", "r"), plain=True)
     sides = [heads.select("centre", "e", F.struct("chunk", "h", "comp", "same", "n", "dl", "r", F.expr(slack).alias("s")).alias(name)) for name in ("x", "y")]
     apart = f"x.comp <> y.comp and (y.same or x.h < y.h) and least(x.n, y.n) >= {float(threshold)}D * greatest(x.n, y.n) - 1e-9D"
     enough = "2 * (1 + least(x.dl - x.r, y.dl - y.r)) >= x.s + y.s - 1e-9D"
     met = sides[0].filter("not x.same").hint("merge").join(sides[1], ["centre", "e"]).filter(f"{apart} and {enough}")
     ends = [F.struct(f"{name}.h", f"{name}.comp").alias(to) for name, to in (("x", "a"), ("y", "b"))]
-    pairs = stash(met.select("centre", F.least("x.chunk", "y.chunk").alias("i"), F.greatest("x.chunk", "y.chunk").alias("j"), *ends).distinct())
-    sketched = [sketches.select(F.col("h").alias(name), F.struct("n", *SKETCH).alias(side)) for name, side in (("at", "x"), ("to", "y"))]
-    both = pairs.withColumn("at", F.col("a.h")).withColumn("to", F.col("b.h")).hint("merge").join(sketched[0], "at").hint("merge").join(sketched[1], "to")
+    pairs = met.select("centre", F.least("x.chunk", "y.chunk").alias("i"), F.greatest("x.chunk", "y.chunk").alias("j"), *ends).distinct()
+    pairs = stash(pairs.withColumn("at", F.col("a.h")).withColumn("to", F.col("b.h")))
+    sketched = [Sieve(pairs, name).keep(sketches.select(F.col("h").alias(name), F.struct("n", *SKETCH).alias(side)), name) for name, side in (("at", "x"), ("to", "y"))]
+    both = pairs.hint("merge").join(sketched[0], "at").hint("merge").join(sketched[1], "to")
     links = both.filter(_perhaps("x", "y", threshold)).select(F.col("centre").alias("band"), "i", "j", "a", "b")
     return links, tied.filter("comp <> best").select(F.col("comp").alias("src"), F.col("best").alias("dst"))
 
@@ -242,7 +264,7 @@ def _rest_edges(members: DataFrame, labels: DataFrame, texts: DataFrame, sketche
     each other. Of more lines only those pairs are compared so whose common differences allow them to be similar.
     """
     comp = F.coalesce("label", "h")
-    known = members.filter("h <> centre").join(labels.toDF("h", "label"), "h", "left").select("band", "centre", "h", "n", comp.alias("comp"))
+    known = stash(members.filter("h <> centre").join(labels.toDF("h", "label"), "h", "left").select("band", "centre", "h", "n", comp.alias("comp")), plain=True)
     # Bands of the same lines need one look: they have the same number of lines and the same checksums.
     sums = [F.expr(f"bit_xor(xxhash64(h, {k}))").alias(f"sum{k}") for k in (1, 2)]
     ends = F.min("comp").alias("low"), F.max("comp").alias("high"), F.min_by("comp", "h").alias("top")
@@ -254,7 +276,7 @@ def _rest_edges(members: DataFrame, labels: DataFrame, texts: DataFrame, sketche
     groups = every.select("centre", "h", "n", "comp").distinct()
     crowds = stash(groups.groupBy("centre").agg(F.count("*").alias("c"), _blocks(F.lit(True)).alias("m")).filter(f"c > {CROWD}"))
     crowd = groups.join(crowds, "centre").select("centre", "c", F.expr("cast(pmod(xxhash64(h, 'chunk'), m) as int)").alias("chunk"), "h", "comp")
-    met, sure = _crowd_links(stash(crowd), texts, sketches, stash, threshold)
+    met, sure = _crowd_links(stash(crowd, plain=True), texts, sketches, stash, threshold)
     left = every.join(crowds, "centre", "left_anti").drop("centre")
     sided = left.join(left.groupBy("h").agg(F.collect_list("band").alias("bands")), "h")
     chunks = [_blocks(F.col("same") == same).alias(name) for name, same in (("others", False), ("sames", True))]
@@ -264,8 +286,8 @@ def _rest_edges(members: DataFrame, labels: DataFrame, texts: DataFrame, sketche
     dealt = dealt.select("band", "h", "comp", "bands", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"))
     # A table of their own, as the JVM compiles no method as long as that of the pairs with what follows.
     links = stash(_likely(dealt, sketches, threshold).unionByName(met))
-    ends = links.select("band", "i", "j", F.explode(F.array("a", "b")).alias("e")).select("band", "i", "j", "e.h", "e.comp").distinct()
-    blocks = ends.hint("merge").join(texts, "h").groupBy("band", "i", "j").agg(F.collect_list(F.struct("h", "comp", "line")).alias("lines"))
+    ends = stash(links.select("band", "i", "j", F.explode(F.array("a", "b")).alias("e")).select("band", "i", "j", "e.h", "e.comp").distinct(), plain=True)
+    blocks = ends.hint("merge").join(Sieve(ends, "h").keep(texts, "h"), "h").groupBy("band", "i", "j").agg(F.collect_list(F.struct("h", "comp", "line")).alias("lines"))
     linked = blocks.join(links.groupBy("band", "i", "j").agg(F.collect_list(F.struct("a.h", F.col("b.h").alias("to"))).alias("links")), ["band", "i", "j"])
     # Texts are dealt, as hashes of all their shingles are eight times as long.
     sets = F.expr(f"transform(lines, x -> struct(x.h as h, x.comp as comp, {_set('x.line')} as shingles))")
@@ -277,11 +299,11 @@ def _rest_edges(members: DataFrame, labels: DataFrame, texts: DataFrame, sketche
 
 def fuzzy_classes(docs: DataFrame, placed: DataFrame, first: DataFrame, stash: Stash, threshold: float) -> DataFrame:
     """(h, class) of the lines that are in one component with a different one as similar as the threshold."""
-    members = _members(_signed(docs, placed, stash), stash)
+    members = _members(_signed(docs, placed, first, stash), stash)
     stash.keep_only(placed, first, members)
-    own = F.xxhash64("doc_id", "line_no").alias("own")
-    wanted = stash(members.select("h").distinct().join(first, "h").select("h", "doc_id", "line_no", own))
-    rows = lines_of(docs).select("doc_id", "line_no", "line", own)
+    named = stash(members.select("h").distinct(), plain=True)
+    wanted = stash(Sieve(named, "h").keep(first, "h").join(named, "h").select("h", "doc_id", "line_no", _own()), plain=True)
+    rows = lines_of(docs).select("doc_id", "line_no", "line", _own())
     found = Sieve(wanted, "own").keep(rows, "own").select(F.xxhash64("line").alias("h"), "line", "doc_id", "line_no")
     same = F.col("doc_id").eqNullSafe(F.col("at_doc")) & (F.col("line_no") == F.col("at_line"))
     held = found.join(wanted.select("h", F.col("doc_id").alias("at_doc"), F.col("line_no").alias("at_line")), "h").filter(same)
@@ -341,10 +363,10 @@ def line_classes(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     least = least.withColumn("place", F.least("far", F.col("near").cast("decimal(33,0)")))
     nearby = F.expr("cast(shiftright(near, 32) as bigint)"), F.expr(f"cast(near & {LINES - 1}L as int)")
     ends = [F.when(F.col("far").isNull(), own).otherwise(other).alias(name) for name, own, other in zip(("doc_id", "line_no"), nearby, _unplaced("place"))]
-    first = stash(least.select("h", "place", "n", *ends))
-    fuzzy = stash(fuzzy_classes(docs, placed, first, stash, threshold))
+    first = stash(least.select("h", "place", "n", *ends), plain=True)
+    fuzzy = stash(fuzzy_classes(docs, placed, first, stash, threshold), plain=True)
     stash.keep_only(placed, first, fuzzy)
-    classed = stash(fuzzy.join(first, "h").select("h", "class", "place"))
+    classed = stash(Sieve(fuzzy, "h").keep(first, "h").join(fuzzy, "h").select("h", "class", "place"))
     keeper = classed.groupBy("class").agg(F.min("place").alias("keeper")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salted = classed.withColumn("salt", F.pmod(F.xxhash64("h"), F.lit(SALTS)).cast("int"))
     alone = first.filter("n > 1").join(fuzzy.select("h"), "h", "left_anti").select("h", F.col("place").alias("keeper"))
